@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.llm import encode, leakage, split
+from docloom.llm import encode, leakage, sentences, split
 from docloom.session import table
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    prose = F.col("source").isin(*sentences.PROSE_SOURCES)
+    return sentences.sentences(table(spark, d, "documents"), prose, with_text=False).select(
+        "doc_id", "sent_start", "sent_end"
+    )
+
+
+def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Sentence units of all documents, whatever their source."""
+    return sentences.sentences(table(spark, d, "documents"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return split.forced_documents(split.split_documents(table(spark, d, "documents"), with_text=False))
 
@@ -33,7 +45,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_pieces, p8_ids, p9_found, p9_items)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items)}
 
 SQL = {
     "p7_found": """
