@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.llm import encode, leakage, sentences, split
+from docloom.llm import encode, leakage, markup, sentences, split
 from docloom.session import table
 
 
+def _cleaned(spark: SparkSession, d: str) -> DataFrame:
+    return markup.clean_items(markup.text_items(table(spark, d, "documents"), table(spark, d, "record_fields")))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.found_kinds(_cleaned(spark, d))
+
+
+def p1_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text and typed blocks of every document and field."""
+    return _cleaned(spark, d)
+
+
+def p1_templates(spark: SparkSession, d: str) -> DataFrame:
+    """How many subtrees count as template of each site."""
+    items = markup.text_items(table(spark, d, "documents"), table(spark, d, "record_fields"))
+    return markup.site_templates(items).select(F.col("t_site").alias("site_id"), F.size("template").alias("n_subtrees"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     prose = F.col("source").isin(*sentences.PROSE_SOURCES)
     return sentences.sentences(table(spark, d, "documents"), prose, with_text=False).select(
@@ -45,7 +64,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items)}
 
 SQL = {
     "p7_found": """
