@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.llm import encode, leakage, markup, sentences, split
+from docloom.llm import encode, leakage, markup, moderation, sentences, split
 from docloom.session import table
 
 
@@ -64,7 +64,25 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items)}
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    return moderation.score_documents(table(spark, d, "documents"), table(spark, d, "review_labels"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return moderation.found_categories(_scores(spark, d))
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d)
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Share of documents with such content, per source and category."""
+    flag = [F.avg((F.col(c) >= moderation.FOUND_SEVERITY).cast("int")).alias(f"{c}_rate") for c in moderation.CATEGORIES]
+    return _scores(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), *flag)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items, p10_found, p10_scores, p10_rates)}
 
 SQL = {
     "p7_found": """
