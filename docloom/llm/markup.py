@@ -411,6 +411,7 @@ def clean(text: str, kinds: set[str], template: set[int] = frozenset()) -> tuple
 # --- operators ---------------------------------------------------------------------
 
 TEMPLATE_PAGES, TEMPLATE_SHARE = 10, 0.05
+SALTS = 32
 
 CLEAN = (
     "tab string, item_id bigint, kinds array<string>, clean_text string, "
@@ -496,8 +497,17 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def clean_items(items: DataFrame) -> DataFrame:
     """Clean text, blocks and kinds of markup of every item, templates removed."""
-    joined = items.join(site_templates(items), F.col("site") == F.col("t_site"), "left")
-    return joined.select("tab", "item_id", "strings", "template").mapInArrow(_clean, CLEAN)
+    pages = F.col("site").isNotNull() & F.exists("strings", lambda s: s.contains("<"))
+    pages = F.coalesce(pages, F.lit(False))
+    salts = F.array([F.lit(i) for i in range(SALTS)])
+    templates = site_templates(items).withColumn("t_salt", F.explode(salts))
+    # a site that holds a third of all pages is spread over SALTS tasks; items that
+    # can hold no template skip the join
+    salted = items.where(pages).withColumn("salt", F.pmod(F.hash("tab", "item_id"), F.lit(SALTS)))
+    joined = salted.join(templates, (F.col("site") == F.col("t_site")) & (F.col("salt") == F.col("t_salt")), "left")
+    rest = items.where(~pages).withColumn("template", F.lit(None).cast("array<bigint>"))
+    every = joined.select("tab", "item_id", "strings", "template").unionByName(rest.select("tab", "item_id", "strings", "template"))
+    return every.mapInArrow(_clean, CLEAN)
 
 
 def found_kinds(cleaned: DataFrame) -> DataFrame:
