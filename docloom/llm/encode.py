@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.session import scratch_path
+from docloom.session import materialise, scratch_path
 
 LEXICON_WORDS = 65_536
 LONGEST_WORD = 24
@@ -249,15 +249,24 @@ def _encode(place: str, path: str, pattern: str):
 def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS) -> list[str]:
     """The most frequent blank-separated words of all documents, at most ``n``.
 
-    Counted on the JVM side with partial sums before the shuffle. Words above
-    ``LONGEST_WORD`` characters are left to the exact merge: they only cost
-    speed there and in scripts without blanks they hardly repeat.
+    Counted on the JVM side with partial sums before the shuffle. A histogram of
+    the counts gives the least count that keeps the list within ``n``, so only
+    the list itself reaches the driver, whatever the number of partitions.
+    Words above ``LONGEST_WORD`` characters are left to the exact merge: they
+    only cost speed there and in scripts without blanks they hardly repeat.
     """
     words = docs.select(F.explode(F.split("text", "[ \n]", -1)).alias("w")).where(
         F.char_length("w").between(1, LONGEST_WORD)
     )
-    top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(n)
-    return [r.w for r in top.collect()]
+    counts = materialise(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "words")
+    top = 1 << 14
+    histogram = counts.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count(F.lit(1)).alias("words"))
+    least, kept = top + 1, 0
+    for r in sorted(histogram.collect(), key=lambda r: -r["n"]):
+        if kept + r["words"] > n:
+            break
+        least, kept = r["n"], kept + r["words"]
+    return sorted(r.w for r in counts.where(F.col("n") >= least).select("w").collect())
 
 
 def build_lexicon(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> str:
