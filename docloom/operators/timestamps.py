@@ -112,8 +112,8 @@ def _calendar(p: Column, america: Column) -> Column:
 
 
 def parsed(df: DataFrame, value: str, time_zone: str) -> DataFrame:
-    """Adds p_epoch (micros of epoch values), p_local (local seconds), p_micros,
-    p_offset (seconds, of values that name one), p_abbr and p_zone.
+    """Adds _dl_epoch (micros of epoch values), _dl_local (local seconds), _dl_micros,
+    _dl_offset (seconds, of values that name one), _dl_abbr and _dl_zone.
 
     Each stage is bound by a one-element array, so no expression is repeated in
     the next one and the plan stays small.
@@ -129,13 +129,13 @@ def parsed(df: DataFrame, value: str, time_zone: str) -> DataFrame:
         )
 
     p = bind(bind(bind(trimmed, parts), lambda x: F.split(x, r"\|")), lambda x: _calendar(x, america))
-    df = df.withColumns({"p_epoch": bind(trimmed, epoch), "p": p})
-    given = F.col("p.offset").isNotNull()
+    df = df.withColumns({"_dl_epoch": bind(trimmed, epoch), "_dl_parts": p})
+    given = F.col("_dl_parts.offset").isNotNull()
     return df.select(
-        *[c for c in df.columns if c != "p"],
-        F.col("p.local").alias("p_local"), F.col("p.micros").alias("p_micros"), F.col("p.offset").alias("p_offset"),
-        F.when(~given, F.col("p.abbr")).alias("p_abbr"),
-        F.coalesce(F.when(~given, F.col("p.zone")), F.col(time_zone)).alias("p_zone"),
+        *[c for c in df.columns if c != "_dl_parts"],
+        F.col("_dl_parts.local").alias("_dl_local"), F.col("_dl_parts.micros").alias("_dl_micros"), F.col("_dl_parts.offset").alias("_dl_offset"),
+        F.when(~given, F.col("_dl_parts.abbr")).alias("_dl_abbr"),
+        F.coalesce(F.when(~given, F.col("_dl_parts.zone")), F.col(time_zone)).alias("_dl_zone"),
     )
 
 
@@ -169,7 +169,7 @@ def zone_intervals(name: str) -> list[tuple[int, int, int, str]]:
     return out
 
 
-INTERVALS = "z_zone string, z_year int, z_list array<struct<lo: bigint, hi: bigint, off: int, abbr: string>>"
+INTERVALS = "_dl_z_zone string, _dl_z_year int, _dl_z_list array<struct<lo: bigint, hi: bigint, off: int, abbr: string>>"
 
 
 def _year(second: int) -> int:
@@ -192,7 +192,7 @@ def _explode(frames):
                 for y in range(_year(lo - 86400), _year(hi + 86400) + 1):
                     years.setdefault(y, []).append({"lo": lo, "hi": hi, "off": off, "abbr": abbr})
             rows += [(name, y, sorted(v, key=lambda x: x["hi"] - x["off"])) for y, v in years.items()]
-        yield pd.DataFrame(rows, columns=["z_zone", "z_year", "z_list"])
+        yield pd.DataFrame(rows, columns=["_dl_z_zone", "_dl_z_year", "_dl_z_list"])
 
 
 def offset_intervals(zones: DataFrame) -> DataFrame:
@@ -211,23 +211,23 @@ def to_utc(df: DataFrame, value: str, time_zone: str) -> DataFrame:
     """
     keep = df.columns
     p = parsed(df, value, time_zone)
-    need = F.col("p_local").isNotNull() & F.col("p_offset").isNull() & F.col("p_zone").isNotNull()
-    zones = p.where(need).select(F.col("p_zone").alias("z")).distinct()
+    need = F.col("_dl_local").isNotNull() & F.col("_dl_offset").isNull() & F.col("_dl_zone").isNotNull()
+    zones = p.where(need).select(F.col("_dl_zone").alias("z")).distinct()
     intervals = offset_intervals(zones)
-    seconds = F.col("p_local")
+    seconds = F.col("_dl_local")
     bucket = F.greatest(F.lit(FIRST_YEAR), F.least(F.lit(LAST_YEAR), F.year(F.timestamp_seconds(seconds))))
-    j = p.withColumn("p_year", F.when(need, bucket)).join(
-        F.broadcast(intervals), (F.col("p_zone") == F.col("z_zone")) & (F.col("p_year") == F.col("z_year")), "left"
+    j = p.withColumn("_dl_year", F.when(need, bucket)).join(
+        F.broadcast(intervals), (F.col("_dl_zone") == F.col("_dl_z_zone")) & (F.col("_dl_year") == F.col("_dl_z_year")), "left"
     )
-    match = F.filter("z_list", lambda x: (x["lo"] <= seconds) & (seconds < x["hi"]))
-    before = F.filter("z_list", lambda x: x["hi"] <= seconds)
-    by_abbr = F.filter("z_list", lambda x: x["abbr"] == F.col("p_abbr"))
+    match = F.filter("_dl_z_list", lambda x: (x["lo"] <= seconds) & (seconds < x["hi"]))
+    before = F.filter("_dl_z_list", lambda x: x["hi"] <= seconds)
+    by_abbr = F.filter("_dl_z_list", lambda x: x["abbr"] == F.col("_dl_abbr"))
     known = F.create_map(*[F.lit(x) for k, v in KNOWN_OFFSETS.items() for x in (k, v * 60)])
     local_off = F.coalesce(F.get(match, F.lit(0))["off"], F.try_element_at(before, F.lit(-1))["off"])
-    abbr_off = F.coalesce(F.get(by_abbr, F.lit(0))["off"], F.try_element_at(known, F.col("p_abbr")))
-    offset = F.coalesce("p_offset", F.when(F.col("p_abbr").isNotNull(), abbr_off).otherwise(local_off))
-    micros = F.coalesce("p_epoch", (seconds - offset) * 1_000_000 + F.col("p_micros"))
-    given = F.col("p_epoch").isNotNull() | F.col("p_offset").isNotNull() | F.col("p_abbr").isNotNull()
+    abbr_off = F.coalesce(F.get(by_abbr, F.lit(0))["off"], F.try_element_at(known, F.col("_dl_abbr")))
+    offset = F.coalesce("_dl_offset", F.when(F.col("_dl_abbr").isNotNull(), abbr_off).otherwise(local_off))
+    micros = F.coalesce("_dl_epoch", (seconds - offset) * 1_000_000 + F.col("_dl_micros"))
+    given = F.col("_dl_epoch").isNotNull() | F.col("_dl_offset").isNotNull() | F.col("_dl_abbr").isNotNull()
     status = (
         F.when(micros.isNull(), None).when(given, "given").when(F.size(match) > 1, "ambiguous")
         .when(F.size(match) == 0, "skipped").otherwise("unique")

@@ -196,7 +196,7 @@ def qa_pairs(spark: SparkSession, path: str) -> DataFrame:
     pairs = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get("c", 2 + 2 * i).alias("question"), F.get("c", 3 + 2 * i).alias("answer"))))
     return rows.select(
         F.get("c", F.lit(0)).alias("intent"),
-        F.transform(F.split(F.coalesce(F.get("c", F.lit(1)), F.lit("")), ","), F.trim).alias("entities"), F.explode(pairs).alias("p"),
+        F.transform(F.split(F.coalesce(F.get("c", F.lit(1)), F.lit("")), ","), lambda x: F.trim(x)).alias("entities"), F.explode(pairs).alias("p"),
     ).select("intent", "entities", "p.*")
 
 
