@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docloom.html.segment import classify
 from docloom.html.tree import Element, parse_html
 from docloom.schema import PARSED
+from docloom.session import spread
 
 HEADINGS = frozenset(("title", "h1", "h2", "h3", "h4"))
 LISTS = frozenset(("ul", "ol"))
@@ -394,5 +395,5 @@ def html_blocks(html: Column, json_values: bool = False, **options) -> Column:
 
 def exploded_blocks(df: DataFrame, html: str, *keys: str, **options) -> DataFrame:
     """keys and one row per block of ``html``."""
-    parsed = df.select(*keys, html_blocks(F.col(html), **options).alias("p"))
+    parsed = spread(df.select(*keys, html)).select(*keys, html_blocks(F.col(html), **options).alias("p"))
     return parsed.select(*keys, F.explode("p.structured_content").alias("b")).select(*keys, "b.*")

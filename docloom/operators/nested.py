@@ -22,6 +22,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docloom.session import spread
+
 NODES = (
     "raw_id bigint, node string, parent string, variant string, field_name string, block_path string, "
     "part_name string, pos string, seq int, block_type string, text string, url string, title string, "
@@ -199,7 +201,7 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def flatten_records(raw: DataFrame) -> DataFrame:
     """All nodes of all documents as supertype rows (see ``NODES``)."""
-    return raw.select("raw_id", "payload").mapInArrow(_flatten, NODES)
+    return spread(raw.select("raw_id", "payload")).mapInArrow(_flatten, NODES)
 
 
 def subtype_tables(nodes: DataFrame) -> dict[str, DataFrame]:

@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from docloom.functions.text import clean_text, is_question
+from docloom.session import spread
 
 
 def line_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, seq, text: the non-blank lines of a text as text blocks."""
-    lines = docs.select(F.col(key), F.posexplode(F.split(text, "\n")).alias("seq", "line"))
+    lines = spread(docs.select(key, text)).select(F.col(key), F.posexplode(F.split(text, "\n")).alias("seq", "line"))
     return lines.select(key, "seq", clean_text("line").alias("text")).where("text <> ''")
 
 
