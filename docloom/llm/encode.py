@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.session import materialise, scratch_path
+from docloom.session import materialise, scratch_path, spread
 
 LEXICON_WORDS = 65_536
 LONGEST_WORD = 24
@@ -305,4 +305,4 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     if path is None or pattern is None:
         path, pattern = public_tokenizer()
     place = build_lexicon(docs.sparkSession, docs, path, pattern)
-    return docs.select("doc_id", "text").mapInArrow(_encode(place, path, pattern), "doc_id bigint, ids array<int>")
+    return spread(docs.select("doc_id", "text")).mapInArrow(_encode(place, path, pattern), "doc_id bigint, ids array<int>")

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docloom.session import materialise
+from docloom.session import materialise, spread
 
 RUN = 12  # consecutive words that make a verbatim leak
 GAP = 2  # foreign words that a segment may hold in a row
@@ -285,7 +285,7 @@ def leaks(docs: DataFrame, heldout: DataFrame, least: float = LEAST_COSINE, para
     items = Items([(r.item_id, r.text) for r in heldout.select("item_id", "text").where("text is not null").collect()])
     if not items.items:
         return spark.createDataFrame([], FOUND)
-    read = materialise(docs.select("doc_id", "text").mapInArrow(_read(items.index), PASSAGES), "passages")
+    read = materialise(spread(docs.select("doc_id", "text")).mapInArrow(_read(items.index), PASSAGES), "passages")
     counts = np.zeros(len(items.index))
     n_docs = 0
     df = read.where("kind = 1").select(F.arrays_zip(F.get("lists", F.lit(0)), F.get("lists", F.lit(1))).alias("z"), F.get(F.get("lists", F.lit(2)), F.lit(0)).alias("n"))

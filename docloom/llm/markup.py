@@ -23,6 +23,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docloom.session import spread
+
 KINDS = ("html", "markdown", "wiki", "latex")
 
 # Element names of HTML.
@@ -425,7 +427,7 @@ _CLEAN = pa.schema([
 
 def text_items(docs: DataFrame, fields: DataFrame) -> DataFrame:
     """tab, item_id, site, strings: every text and every string within fields."""
-    a = docs.select(
+    a = spread(docs.select("doc_id", "site_id", "text")).select(
         F.lit("documents").alias("tab"), F.col("doc_id").alias("item_id"), F.col("site_id").alias("site"),
         F.array("text").alias("strings"),
     )
@@ -436,7 +438,7 @@ def text_items(docs: DataFrame, fields: DataFrame) -> DataFrame:
         F.flatten(F.filter(F.flatten(F.filter(f"{c}.{k}", F.isnotnull)), F.isnotnull)) for k in ("head", "body")
     ]
     strings = F.concat(*[F.coalesce(x, none) for x in (F.col("text"), *flat, *nested)])
-    b = fields.select(
+    b = spread(fields.select("field_id", "text", "structured_content")).select(
         F.lit("record_fields").alias("tab"), F.col("field_id").alias("item_id"), F.lit(None).cast("string").alias("site"),
         F.filter(strings, lambda s: F.isnotnull(s)).alias("strings"),
     )

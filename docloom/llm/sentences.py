@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.session import spread
+
 PROSE_SOURCES = ("call_summaries", "field_notes", "handbook", "newsroom")
 
 # Abbreviations that stand before a name, a noun or a number.
@@ -262,4 +264,4 @@ def sentences(docs: DataFrame, where: Column | None = None, with_text: bool = Tr
     """Sentence units of every document, or of those that meet ``where``."""
     chosen = docs if where is None else docs.where(where)
     texts = chosen.select("doc_id", "text").where(F.col("text").isNotNull())
-    return texts.mapInArrow(_segment(with_text), SENTENCES)
+    return spread(texts).mapInArrow(_segment(with_text), SENTENCES)
