@@ -48,11 +48,13 @@ _STRIP = [
     (re.compile(r"</?[a-z][a-z0-9]*\b[^<>]*>|<![a-z][^<>]*>", re.I), " "),
 ]
 _WIKI = [
-    (re.compile(r"\{\{[^{}]*\}\}"), " "),
+    (re.compile(r"\{\{(?:main|see also|infobox[^{}|]*|navbox[^{}|]*|cite[^{}|]*)(?:\|[^{}]*)?\}\}", re.I), " "),
+    (re.compile(r"\{\{(?:[^{}|]*\|)*([^{}|]*)\}\}"), r"\1"),
     (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]"), r"\1"),
 ]
+_EXTERNAL = re.compile(r"\[(?:https?|ftp)://[^\s\[\]]+[ \t]+([^\[\]]*)\]")
 _LINK = re.compile(r"!?\[([^\[\]]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)")
-_COMMAND = re.compile(r"\\(?:begin|end|label|ref|cite|includegraphics)\*?(?:\[[^\]]*\])?\{[^{}]*\}|\\[a-zA-Z]+\*?(?:\[[^\]]*\])?")
+_COMMAND = re.compile(r"\\(?:begin|end|label|ref|cite|includegraphics|footnote|footnotemark)\*?(?:\[[^\]]*\])?\{[^{}]*\}|\\[a-zA-Z]+\*?(?:\[[^\]]*\])?")
 _WORDS = re.compile(r"[^\W_]+")
 _INVISIBLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufe00-\ufe0f\ufeff]")
 
@@ -70,6 +72,8 @@ def words_of(text: str | None) -> list[str]:
     if "{{" in text or "[[" in text:
         for p, to in _WIKI:
             text = p.sub(to, text)
+    if "[http" in text or "[ftp" in text:
+        text = _EXTERNAL.sub(r"\1", text)
     if "](" in text:
         text = _LINK.sub(r"\1", text)
     if "\\" in text:
