@@ -254,12 +254,72 @@ def first_files(spark, d):
     return table(spark, d, "content_records").select("file_path").distinct().orderBy("file_path").limit(25)
 
 
+def flatten_heads(spark, d):
+    """One-level flattening of the head rows of each table."""
+    return blocks(spark, d).where("type = 'table' and head is not null").select("field_id", "seq", F.flatten("head").alias("names"))
+
+
+def has_letters(spark, d):
+    docs = table(spark, d, "documents").where("text is not null")
+    return docs.select("doc_id", t.has_alpha(t.tokens("text")).alias("alpha"))
+
+
+def config_props(spark, d):
+    """The configuration as an ordered dimension, with how often each field occurs."""
+    used = typed_fields(spark, d).groupBy(F.col("doc_type").alias("u_type"), "field_name").agg(F.count(F.lit(1)).alias("n"))
+    j = used.join(config(spark), (F.col("u_type") == F.col("doc_type")) & (F.col("field_name") == F.col("prop")), "right")
+    return j.select("doc_type", "prop", "ord", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def table_cells(spark, d):
+    """Head and body rows of each table as one frame of cells."""
+    tb = blocks(spark, d).where("type = 'table'").withColumn("table_id", F.concat_ws("|", "field_id", "seq"))
+    return tables.cells(tb)
+
+
+def value_words(spark, d):
+    part = table(spark, d, "part")
+    return part.select(
+        "p_partkey", tables.value_text(F.col("p_size").cast("string")).alias("size"),
+        tables.value_text((F.col("p_partkey") * 1000003).cast("string")).alias("key"), tables.label_text("p_name").alias("name"),
+    )
+
+
+def column_uniqueness(spark, d):
+    part = table(spark, d, "part")
+    pairs = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in ("p_name", "p_brand", "p_type")]
+    typed = part.select(F.inline(F.array(*pairs))).withColumn("value_type", tables.value_type("value"))
+    return tables.column_types(typed, "col").select("col", F.round("uniqueness", 6).alias("uniqueness"))
+
+
+def date_validity(spark, d):
+    """Date mentions that stay: long enough, readable, and between 1990 and 2025."""
+    orders = table(spark, d, "orders")
+    year = F.lit(1985) + F.pmod("o_orderkey", F.lit(50))
+    value = F.format_string("%04d-%02d-%02d", year, F.pmod("o_orderkey", F.lit(12)) + 1, F.pmod("o_orderkey", F.lit(28)) + 1)
+    end = F.when(F.pmod("o_orderkey", F.lit(7)) == 0, 6).otherwise(10)
+    none = F.lit(None).cast("array<struct<grp: int, start: int, end: int>>")
+    mention = F.struct(
+        F.lit("sys-date").alias("entity"), F.lit(0).alias("start"), end.alias("end"), value.alias("value"), F.lit(1.0).alias("confidence"), none.alias("groups")
+    )
+    kept = orders.select("o_orderkey", F.explode(entities.valid_mentions(F.array(mention))).alias("e"))
+    return kept.select("o_orderkey", "e.value")
+
+
+def step_progress(spark, d):
+    """Entries of each step and job by outcome."""
+    e = table(spark, d, "control_entries")
+    ok = F.coalesce(control.is_success(F.col("status")), F.lit(False))
+    return e.groupBy("job_id", "step_name").agg(F.count_if(ok).alias("n_processed"), F.count_if(~ok).alias("n_other"))
+
+
 _NAMES = """
 clean_text strip_bullets link_strip underscore_name template_variables iso_millis fix_content job_key doc_type deep_update
 line_questions block_questions extract_questions found_questions list_markers block_counts list_items html_structure
 html_lines json_dispatch graph_nodes graph_order graph_headings graph_links graph_lists graph_tables collect_fields
 combine_text prepare_qa doc_type_filter value_types column_types table_schemas table_sentences token_entities
 pattern_entities pruned_entities restart_pending restart_carried fileset_diff file_status control_tables first_files
+flatten_heads has_letters config_props table_cells value_words column_uniqueness date_validity step_progress
 """.split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 
@@ -395,6 +455,20 @@ SQL = {
         f as (select distinct file_path as path from content_records)
         select coalesce(m[2], 'new') as status, count(*) as n from f left join o on f.path = o.input group by 1""",
     "control_tables": "select f.status as status, count(*) as n from (select unnest(files_output) as f from control_jobs) group by 1",
+    "flatten_heads": f"with {_BLOCKS} select field_id, seq, flatten(head) as names from blocks where type = 'table' and head is not null",
+    "has_letters": f"select doc_id, len(list_filter(string_split({_clean('text')}, ' '), lambda x: regexp_full_match(x, '\\p{{L}}+'))) > 0 as alpha from documents where text is not null",
+    "config_props": f"""with {_CONFIG}, u as (select r.doc_type, f.field_name, count(*) as n from record_fields f join content_records r using (row_id) group by all)
+        select c.doc_type, c.prop, c.ord, coalesce(u.n, 0) as n from config c left join u on u.doc_type = c.doc_type and u.field_name = c.prop""",
+    "table_cells": f"with {_CELLS} select table_id, r, r < n_head as is_head, c, value from typed",
+    "value_words": """select p_partkey, case when p_size is null then 'NA' else cast(p_size as varchar) end as size,
+        case when p_partkey * 1000003 < 1e6 then cast(p_partkey * 1000003 as varchar) when p_partkey * 1000003 >= 1e9 then printf('%.1f billion', p_partkey * 1000003 / 1e9) else printf('%.1f million', p_partkey * 1000003 / 1e6) end as key,
+        replace(p_name, '_', ' ') as name from part""",
+    "column_uniqueness": """with v as (unpivot (select p_name, p_brand, p_type from part) on columns(*) into name col value value)
+        select col, round(count(distinct value) / count(*), 6) as uniqueness from v group by col""",
+    "date_validity": """select o_orderkey, printf('%04d-%02d-%02d', 1985 + o_orderkey % 50, o_orderkey % 12 + 1, o_orderkey % 28 + 1) as value
+        from orders where o_orderkey % 7 <> 0 and 1985 + o_orderkey % 50 between 1990 and 2025""",
+    "step_progress": """select job_id, step_name, count(*) filter (where lower(trim(status)) = 'processed') as n_processed,
+        count(*) filter (where coalesce(lower(trim(status)) <> 'processed', true)) as n_other from control_entries group by job_id, step_name""",
     "first_files": "select distinct file_path from content_records order by file_path limit 25",
 }
 SQL["column_types"] = SQL["column_types"].replace("{cols}", "p_partkey::varchar as p_partkey, p_name, p_brand, p_type, p_size::varchar as p_size")
