@@ -119,7 +119,7 @@ def list_items(spark, d):
 
 def html_structure(spark, d):
     """Blocks by type of the texts that are HTML."""
-    pages = table(spark, d, "documents").where(F.col("text").rlike(r"(?i)<(h[1-4]|p|div|ul|ol|table)\b"))
+    pages = table(spark, d, "documents").where(F.col("text").contains("<") & F.col("text").rlike(r"(?i)<(h[1-4]|p|div|ul|ol|table)\b"))
     return exploded_blocks(pages, "text", "doc_id").groupBy("doc_id", "type").agg(F.count(F.lit(1)).alias("n"))
 
 

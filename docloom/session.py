@@ -30,6 +30,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_at_exit(spark: SparkSession, uri: str) -> None:
+    """Let the driver's JVM delete an existing scratch path when it ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -39,6 +45,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.parquet(path)
 
 
