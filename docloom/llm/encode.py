@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.session import materialise, scratch_path, spread
+from docloom.session import delete_at_exit, materialise, scratch_path, spread
 
 LEXICON_WORDS = 65_536
 LONGEST_WORD = 24
@@ -286,6 +286,7 @@ def build_lexicon(spark: SparkSession, docs: DataFrame, path: str, pattern: str)
     out = fs.create(target, False)
     out.write(bytearray(packed))
     out.close()
+    delete_at_exit(spark, uri)
     scheme = urlparse(uri).scheme
     if scheme in ("", "file"):
         return urlparse(uri).path

@@ -41,7 +41,7 @@ NAMES = {"Max", "Min", "No", "Par", "Art", "Ed", "Al", "Me"}
 # German month names, before which a number with a dot is a date.
 GERMAN_MONTHS = tuple("Januar Jänner Februar März April Mai Juni Juli August September Oktober November Dezember".split())
 
-_PARAGRAPH = re.compile(r"(?>\r\n|\r|\n| | )[^\S\r\n  ]*(?>\r\n|\r|\n| | )\s*")
+_PARAGRAPH = re.compile(r"(?>\r\n|\r|\n|\u2029|\u2028)[^\S\r\n\u2028\u2029]*(?>\r\n|\r|\n|\u2029|\u2028)\s*")
 _CANDIDATE = re.compile(r"[.!?…]+|[。！？।॥؟｡．۔]+")
 _THAI_GAP = re.compile(r"(?<=[฀-๿])\s+(?=[฀-๿])")
 _HAS_THAI = re.compile(r"[฀-๿]").search
@@ -166,7 +166,7 @@ def _best_ends(text: str, start: int, stop: int) -> list[int]:
         while e < n:
             if e in closing:
                 e += 1
-            elif part[e] in "   " and e + 1 < n and part[e + 1] == "»" and e + 1 in closing:
+            elif part[e] in " \u00a0\u202f" and e + 1 < n and part[e + 1] == "»" and e + 1 in closing:
                 e += 2
             else:
                 break
@@ -177,7 +177,7 @@ def _best_ends(text: str, start: int, stop: int) -> list[int]:
             k += 1
         if k >= n:
             continue
-        score = _end_score(part, 0, m.group(), at, e, part[closed:e].replace(" ", "").replace(" ", "").replace(" ", ""), part[k : k + 12], k > e)
+        score = _end_score(part, 0, m.group(), at, e, part[closed:e].replace(" ", "").replace("\u00a0", "").replace("\u202f", ""), part[k : k + 12], k > e)
         if score > -5:
             depth = sum(a < e <= b for a, b in pairs) if pairs else 0
             ends.append((e, score, depth))
