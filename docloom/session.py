@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the setting is absent (tests, a laptop) a local folder is made
     and set as the checkpoint folder of this session.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -49,12 +52,41 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once per application.
+
+    Needed where executors don't find it by themselves (no installation, other
+    working folder). The archive lies in the shared folder.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = Path(__file__).parent
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    uri = f"{scratch_path(spark, 'package')}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, False)
+    out.write(bytearray(archive.getvalue()))
+    out.close()
+    delete_at_exit(spark, uri)
+    spark.sparkContext.addPyFile(uri)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores.
 
     Only a small input (a single file, say) has fewer; it is spread before
     costly work. Larger inputs are left as they are, without a shuffle.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df  # it has been partitioned, and asking for the number would run its stages
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
