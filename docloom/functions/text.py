@@ -96,9 +96,9 @@ def has_length(array_column) -> Column:
     return F.coalesce(F.size(_col(array_column)) > 0, F.lit(False))
 
 
-def is_question(c) -> Column:
+def is_question(c, cleaned: bool = False) -> Column:
     """Ends in '?' or begins with a question word; null and blank are none."""
-    t = clean_text(c)
+    t = F.coalesce(_col(c), F.lit("")) if cleaned else clean_text(c)
     first = F.lower(F.element_at(F.split(t, " "), 1))
     return F.when(t == "", False).otherwise(t.endswith("?") | first.isin(*QUESTION_WORDS))
 

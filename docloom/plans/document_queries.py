@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docloom.functions import text as t
 from docloom.html.blocks import exploded_blocks, html_blocks
 from docloom.operators import collect, control, entities, graph, questions, tables
-from docloom.session import table
+from docloom.session import spread, table
 
 # the configuration of the queries: text properties by document type (ordered)
 PROPS = {
@@ -28,6 +28,11 @@ def config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "doc_type string, prop string, ord int")
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents; a single file is spread over the cores (unused columns stay behind)."""
+    return spread(table(spark, d, "documents"))
+
+
 def blocks(spark: SparkSession, d: str) -> DataFrame:
     """Blocks of the parsed fields: field_id, row_id, field_name, seq, type, …"""
     rf = table(spark, d, "record_fields")
@@ -41,15 +46,15 @@ def typed_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", t.clean_text("text").alias("clean"))
+    return documents(spark, d).select("doc_id", t.clean_text("text").alias("clean"))
 
 
 def strip_bullets(spark, d):
-    return questions.line_blocks(table(spark, d, "documents")).select("doc_id", "seq", t.remove_bullet_markers("text").alias("line"))
+    return questions.line_blocks(documents(spark, d)).select("doc_id", "seq", t.remove_bullet_markers("text").alias("line"))
 
 
 def link_strip(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.length(t.strip_link_markers("text")).alias("n"))
+    return documents(spark, d).where("text is not null").select("doc_id", F.length(t.strip_link_markers("text")).alias("n"))
 
 
 def underscore_name(spark, d):
@@ -57,7 +62,7 @@ def underscore_name(spark, d):
 
 
 def template_variables(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.explode(t.tokens("text")).alias("w"))
+    words = documents(spark, d).select("doc_id", F.explode(t.tokens("text")).alias("w"))
     return words.where(t.is_variable("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -66,7 +71,7 @@ def iso_millis(spark, d):
 
 
 def fix_content(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.length(t.fix_content("text")).alias("n"))
+    return documents(spark, d).where("text is not null").select("doc_id", F.length(t.fix_content("text")).alias("n"))
 
 
 def job_key(spark, d):
@@ -83,7 +88,7 @@ def deep_update(spark, d):
 
 
 def line_questions(spark, d):
-    return questions.identify_questions(questions.line_blocks(table(spark, d, "documents"))).groupBy("doc_id").agg(
+    return questions.identify_questions(questions.line_blocks(documents(spark, d)), cleaned=True).groupBy("doc_id").agg(
         F.count_if("is_question").alias("n_questions"), F.count(F.lit(1)).alias("n_lines")
     )
 
@@ -93,16 +98,16 @@ def block_questions(spark, d):
 
 
 def extract_questions(spark, d):
-    q = questions.extract_questions(questions.line_blocks(table(spark, d, "documents")))
+    q = questions.extract_questions(questions.line_blocks(documents(spark, d)), cleaned=True)
     return q.select("doc_id", F.size("questions").alias("n_questions"), F.size("non_questions").alias("n_other"))
 
 
 def found_questions(spark, d):
-    return questions.found_questions(questions.line_blocks(table(spark, d, "documents")))
+    return questions.found_questions(questions.line_blocks(documents(spark, d)), cleaned=True)
 
 
 def list_markers(spark, d):
-    words = table(spark, d, "documents").select(F.explode(F.split(t.clean_text("text"), " ")).alias("w"))
+    words = documents(spark, d).select(F.explode(F.split(t.clean_text("text"), " ")).alias("w"))
     flags = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).select(
         "w", "n", t.is_bullet("w").alias("bullet"), t.is_list_number("w").alias("number"), t.is_roman_numeral("w").alias("roman")
     )
@@ -119,13 +124,13 @@ def list_items(spark, d):
 
 def html_structure(spark, d):
     """Blocks by type of the texts that are HTML."""
-    pages = table(spark, d, "documents").where(F.col("text").contains("<") & F.col("text").rlike(r"(?i)<(h[1-4]|p|div|ul|ol|table)\b"))
+    pages = documents(spark, d).where(F.col("text").contains("<") & F.col("text").rlike(r"(?i)<(h[1-4]|p|div|ul|ol|table)\b"))
     return exploded_blocks(pages, "text", "doc_id").groupBy("doc_id", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def html_lines(spark, d):
     """Text lines of all documents in the segmenting mode."""
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = documents(spark, d).where("text is not null")
     return docs.select("doc_id", F.size(html_blocks(F.col("text"), segment=True)["text"]).alias("n_lines"))
 
 
@@ -202,17 +207,17 @@ def table_sentences(spark, d):
 
 def token_entities(spark, d):
     e = spark.createDataFrame([(k, *v) for k, v in WORDS.items()], "phrase string, entity string, value string")
-    return entities.token_matches(table(spark, d, "documents"), e)
+    return entities.token_matches(documents(spark, d), e)
 
 
 def pattern_entities(spark, d):
-    lines = questions.line_blocks(table(spark, d, "documents"))
+    lines = questions.line_blocks(documents(spark, d))
     e = lines.select("doc_id", "seq", F.explode(entities.match_patterns(F.col("text"), PATTERNS)).alias("e"))
     return e.groupBy("e.entity").agg(F.count(F.lit(1)).alias("n"))
 
 
 def pruned_entities(spark, d):
-    lines = questions.line_blocks(table(spark, d, "documents"))
+    lines = questions.line_blocks(documents(spark, d))
     phrases = {k: v for k, v in WORDS.items()} | {"coax cable": ("part", "coax cable")}
     e = entities.line_entities(lines, dictionary=phrases, patterns=PATTERNS)
     return e.select("doc_id", "seq", F.explode("entities").alias("e")).groupBy("e.entity", "e.value").agg(F.count(F.lit(1)).alias("n")).where("entity <> 'sys-number'")
@@ -260,7 +265,7 @@ def flatten_heads(spark, d):
 
 
 def has_letters(spark, d):
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = documents(spark, d).where("text is not null")
     return docs.select("doc_id", t.has_alpha(t.tokens("text")).alias("alpha"))
 
 
