@@ -83,7 +83,7 @@ def doc_type(spark, d):
 
 
 def deep_update(spark, d):
-    e = table(spark, d, "events").where("event_id <= 1000000000")
+    e = table(spark, d, "events")
     return e.select("event_id", F.size(F.from_json(t.deep_merge("props", F.lit('{"seen": "1"}')), "map<string,string>")).alias("n_keys"))
 
 
@@ -476,4 +476,24 @@ SQL = {
         count(*) filter (where coalesce(lower(trim(status)) <> 'processed', true)) as n_other from control_entries group by job_id, step_name""",
     "first_files": "select distinct file_path from content_records order by file_path limit 25",
 }
+_SCHEMAS = SQL["table_schemas"].removeprefix(f"with {_CELLS}, ")
+SQL |= {
+    "deep_update": "select event_id, coalesce(len(json_keys(case when json_valid(props) then props end)), 0) + 1 as n_keys from events",
+    "graph_tables": f"""with {_BLOCKS}, b as (select field_id, seq, coalesce(head, []) as head, coalesce(body, []) as body from blocks where type = 'table'),
+        n as (select sum(len(head)) as h, sum(len(body)) as b, sum(greatest(len(head) - 1, 0) + greatest(len(body) - 1, 0)) as chain from b),
+        r as (select unnest(list_concat(head, body)) as row from b),
+        c as (select sum(len(row)) as cells, sum(greatest(len(row) - 1, 0)) as chain from r)
+        select 'head_row_of' as edge_type, cast(h as bigint) as n from n union all select 'body_row_of', cast(b as bigint) from n
+        union all select 'cell_of', cast(cells as bigint) from c
+        union all select 'before', cast(n.chain + c.chain as bigint) from n, c union all select 'after', cast(n.chain + c.chain as bigint) from n, c""",
+    "table_sentences": f"""with {_CELLS}, s as (with {_SCHEMAS}),
+        j as (select typed.*, n_header_rows, has_header and has_row_labels as labelled, case when value_type = 'NULL' then 'NA' else value end as words
+              from typed join s using (table_id)),
+        label as (select table_id, r, max(value) filter (where c = 0) as label from j group by table_id, r),
+        name as (select table_id, c, value as name from j where r = n_header_rows - 1)
+        select j.table_id, j.r, j.c, 'The ' || replace(name, '_', ' ') || ' of ' || replace(label, '_', ' ') || ' is ' || words || '.' as sentence
+        from j join label on label.table_id = j.table_id and label.r = j.r join name on name.table_id = j.table_id and name.c = j.c
+        where labelled and j.c > 0 and j.r >= n_header_rows
+        union all select table_id, r, 0, string_agg(words, ' ' order by c) from j where not labelled and r >= n_header_rows group by table_id, r""",
+}
 SQL["column_types"] = SQL["column_types"].replace("{cols}", "p_partkey::varchar as p_partkey, p_name, p_brand, p_type, p_size::varchar as p_size")
