@@ -103,6 +103,18 @@ def is_question(c, cleaned: bool = False) -> Column:
     return F.when(t == "", False).otherwise(t.endswith("?") | first.isin(*QUESTION_WORDS))
 
 
+def list_intro(c) -> Column:
+    """The text before a closing colon, which introduces a list; else null."""
+    return F.when(clean_text(c).endswith(":"), F.regexp_replace(clean_text(c), r"\s*:$", ""))
+
+
+def normal_list_item(c) -> Column:
+    """A list item as part of a sentence: lower-case start (unless an acronym), no closing marks."""
+    t = clean_text(c)
+    lowered = F.when(t.rlike(r"^\p{Lu}\p{Ll}"), F.concat(F.lower(F.substring(t, 1, 1)), F.substring(t, 2, 1_000_000))).otherwise(t)
+    return F.regexp_replace(lowered, r"[^\p{L}\p{N}_]+$", "")
+
+
 def deep_merge(a, b) -> Column:
     """Two JSON objects merged: objects of both sides are merged one level, else b counts."""
     kind = "map<string,string>"

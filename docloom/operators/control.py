@@ -41,6 +41,20 @@ def file_status(files: DataFrame, outputs: DataFrame, path: str = "path") -> Dat
     )
 
 
+def output_entries(outputs: DataFrame, step: str, status: str = "processed") -> DataFrame:
+    """Step-output entries (filename, input, path, status, time, step) of written
+    documents: ``outputs`` has input and path."""
+    return outputs.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), "input", "path", F.lit(status).alias("status"),
+        F.current_timestamp().alias("time"), F.lit(step).alias("step"),
+    )
+
+
+def append_entries(entries: DataFrame, path: str) -> None:
+    """Append to the table of step outputs, partitioned by step (progress of a run)."""
+    entries.write.mode("append").partitionBy("step").parquet(path)
+
+
 def normalised(jobs: DataFrame) -> dict[str, DataFrame]:
     """Control documents as the tables jobs and step outputs."""
     flat = jobs.select("job_id", F.explode("files_output").alias("f")).select("job_id", "f.filename", "f.input", "f.path", "f.status")

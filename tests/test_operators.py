@@ -169,6 +169,22 @@ def test_control(spark):
     assert {r.path: r.status for r in control.file_status(inputs, out).collect()} == {"a": "processed", "b": "error", "c": "new"}
 
 
+def test_progress_makes_a_restart_skip(spark, tmp_path):
+    inputs = spark.createDataFrame([("a",), ("b",)], "path string")
+    done = control.output_entries(spark.createDataFrame([("a", "/out/x/a.json")], "input string, path string"), "extract")
+    control.append_entries(done, str(tmp_path / "steps"))
+    control.append_entries(done.limit(0), str(tmp_path / "steps"))
+    table = spark.read.parquet(str(tmp_path / "steps")).where("step = 'extract'")
+    assert rows(control.pending_inputs(inputs, table)) == [("b",)] and table.first().filename == "a.json"
+
+
+def test_list_helpers(spark):
+    df = spark.createDataFrame([("You need:",), ("Cables.",), ("USB stick;",), (None,), ("",)], "s string")
+    assert [tuple(r) for r in df.select(t.list_intro("s"), t.normal_list_item("s")).collect()] == [
+        ("You need", "you need"), (None, "cables"), (None, "USB stick"), (None, ""), (None, ""),
+    ]
+
+
 def test_pipeline_order_errors_and_log(spark):
     seen = []
     p = Pipeline().add_step("one", lambda d: d.withColumn("x", F.lit(1))).add_step("two", lambda d: d.withColumn("y", F.col("x") + 1))
