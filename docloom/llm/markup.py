@@ -4,8 +4,9 @@ Every text is read once by a scanner of four markup languages. What the scanner
 recognises is recorded by kind and replaced by plain structure: headings, lists,
 quotations, code, tables and formulas stay, as lines in one plain notation.
 For HTML the element tree is kept long enough to hash each element subtree; the
-hashes are counted per site in Spark, and subtrees that recur across many pages
-of a site (its template) are deleted before the text is rendered.
+hashes of page-level containers are counted per site in Spark, and those that
+recur across many pages of a site (its template) are deleted before the text is
+rendered.
 
 Defined cases: null and blank texts have no kinds and come out as they are;
 text that only resembles markup (prices, comparison signs, paths, identifiers,
@@ -240,22 +241,64 @@ def hash_subtrees(root: Node) -> list[Node]:
     return nodes
 
 
+# What a site may repeat as a whole around its pages, and the elements it may stand in.
+CONTAINERS = set("nav header footer aside div section ul table".split())
+_MARKED = {"nav", "header", "footer", "aside"}
+_WRAPPERS = set("#root html body center form div section".split())
+_CONTENT = set("h1 h2 h3 h4 h5 h6 th pre code".split())
+TEMPLATE_WEIGHT = 24  # characters of text
+
+
+def _holds_content(n: Node) -> bool:
+    return any(
+        x.tag in _CONTENT or any(isinstance(c, str) and ("$" in c or "\\" in c) and _FORMULA.search(c) for c in x.children)
+        for x in _preorder(n)
+    )
+
+
+def page_containers(root: Node) -> Iterator[tuple[Node, Node]]:
+    """Parent and node of what may be a site's template, outermost first; needs digests.
+
+    Cells, rows, items, paragraphs and headings never count by themselves, nor does
+    anything within an article, list, table or quotation. A div, section, list or
+    table with a heading, head cell, code or formula is content.
+    """
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        for c in n.children:
+            if isinstance(c, Node):
+                if c.tag in CONTAINERS and c.weight >= TEMPLATE_WEIGHT and (c.tag in _MARKED or not _holds_content(c)):
+                    yield n, c
+                if c.tag in _WRAPPERS:
+                    todo.append(c)
+
+
 def subtree_hashes(text: str) -> list[int]:
-    """Distinct digests of the block subtrees with content."""
-    return sorted({n.digest for n in hash_subtrees(html_tree(text)) if n.tag in BLOCK and n.weight})
+    """Distinct digests of the page's containers, behind the digest of the whole page."""
+    root = html_tree(text)
+    page = hash_subtrees(root)[0].digest
+    return [page, *sorted({n.digest for _, n in page_containers(root)})]
 
 
 def delete_subtrees(root: Node, digests: set[int]) -> int:
-    """Remove the topmost subtrees whose digest is a template's; returns how many."""
+    """Remove the topmost subtrees whose digest is a template's; returns how many.
+
+    A page that would be left without text is all it has to say: it stays whole.
+    """
     hash_subtrees(root)
-    gone, todo = 0, [root]
-    while todo:
-        n = todo.pop()
-        kept = [c for c in n.children if not (isinstance(c, Node) and c.tag in BLOCK and c.digest in digests)]
-        gone += len(n.children) - len(kept)
-        n.children = kept
-        todo.extend(c for c in kept if isinstance(c, Node))
-    return gone
+    gone: list[tuple[Node, Node]] = []
+    within: set[int] = set()
+    for parent, n in page_containers(root):
+        if id(parent) in within or n.digest in digests:
+            if id(parent) not in within:
+                gone.append((parent, n))
+            within.update(id(x) for x in _preorder(n))
+    if sum(n.weight for _, n in gone) >= root.weight:
+        return 0
+    for parent, n in gone:
+        parent.children = [c for c in parent.children if c is not n]
+    return len(gone)
 
 
 Block = tuple[str, str]  # type (heading, text, item, code, row, formula), text
@@ -447,27 +490,32 @@ def text_items(docs: DataFrame, fields: DataFrame) -> DataFrame:
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sites, digests = [], []
+        sites, pages, digests = [], [], []
         for site, strings in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            own = {d for s in strings if s and "<" in s and _TAG.search(s) for d in subtree_hashes(s)}
-            if own:
-                sites.append(site)
-                digests.append(sorted(own))
+            for s in strings:
+                if s and "<" in s and _TAG.search(s):
+                    page, *own = subtree_hashes(s)
+                    sites.append(site)
+                    pages.append(page)
+                    digests.append(own)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(sites, pa.string()), pa.array(digests, pa.list_(pa.int64()))], names=["site", "digests"]
+            [pa.array(sites, pa.string()), pa.array(pages, pa.int64()), pa.array(digests, pa.list_(pa.int64()))],
+            names=["site", "page", "digests"],
         )
 
 
 def site_templates(items: DataFrame) -> DataFrame:
-    """t_site, template: digests of the subtrees that recur across a site's pages.
+    """t_site, template: digests of the containers that recur across a site's pages.
 
-    Counts are summed map-side, so a site that holds a third of all pages is no
-    hot key. A site keeps at most its blocks per page / TEMPLATE_SHARE digests.
+    Copies of a page count once, else all of a page that is delivered often would
+    be template. The distinct counts are formed by (site, digest, page) first, so a
+    site that holds a third of all pages is no hot key. A site keeps at most its
+    containers per page / TEMPLATE_SHARE digests.
     """
     pages = items.where(F.col("site").isNotNull() & F.exists("strings", lambda s: s.contains("<"))).select("site", "strings")
-    hashed = pages.mapInArrow(_hashes, "site string, digests array<bigint>")
-    counts = hashed.select("site", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "digests")).alias("digest"))
-    n = counts.groupBy("site", "digest").agg(F.count(F.lit(1)).alias("n"))
+    hashed = pages.mapInArrow(_hashes, "site string, page bigint, digests array<bigint>")
+    counts = hashed.select("site", "page", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "digests")).alias("digest"))
+    n = counts.groupBy("site", "digest").agg(F.count_distinct("page").alias("n"))
     # the null digest counts the pages themselves
     top = n.groupBy("site").agg(
         F.max(F.when(F.col("digest").isNull(), F.col("n"))).alias("pages"),

@@ -67,6 +67,27 @@ def test_site_templates_are_removed(spark):
     assert found == [("record_fields", 1, "html"), ("record_fields", 1, "wiki")]
 
 
+@pytest.mark.parametrize("n", [12, 60, 300])
+def test_repeated_content_is_no_template(spark, n):
+    table = "<table><tr><th>Plan</th><th>Fee</th></tr><tr><td>Everyday Max</td><td>{i}.50</td></tr></table>"
+    page = "<body><h2>Plans and fees of the season</h2><div><h3>How to return the device to us</h3></div><p>Ask the desk for a new contract.</p>" + table
+    page += "<ul><li>Bring the signed form along</li><li>Case {i}</li></ul><div>$x_{{max}} \\le 30 + y_{{min}} - z_{{all}}$</div><pre>restart the unit --now --all</pre>"
+    page += "<footer>Imprint and contact of the site</footer></body>"
+    docs = [(i, page.format(i=i), "S1") for i in range(n)]
+    docs += [(1000 + i, "<div>One notice, delivered again and again.</div><p>Its end.</p>", "S2") for i in range(n)]
+    docs += [(2000 + i, "<div>Only a notice that says just this.</div>", "S3") for i in range(n)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, site_id string")
+    f = spark.createDataFrame([], "field_id bigint, text array<string>, structured_content array<struct<block_type: string, text: string, url: string, title: string, "
+                                  "subtype: string, heading: string, items: array<string>, head: array<array<string>>, body: array<array<string>>>>")
+    for r in markup.clean_items(markup.text_items(d, f)).collect():
+        i = r.item_id
+        want = ["Plans and fees of the season", "How to return the device to us", "Ask the desk for a new contract.", "Plan\tFee", f"Everyday Max\t{i}.50",
+                "Bring the signed form along", f"Case {i}", "$x_{max} \\le 30 + y_{min} - z_{all}$", "restart the unit --now --all"]
+        if i >= 1000:
+            want = ["One notice, delivered again and again.", "Its end."] if i < 2000 else ["Only a notice that says just this."]
+        assert r.clean_text.split("\n") == want and r.n_template == (i < 1000)
+
+
 # --- sentences --------------------------------------------------------------------------
 
 SENTENCES = [
