@@ -2,7 +2,7 @@
 
 A text is read without markup and with its disguises undone (invisible and
 look-alike characters, digits and signs for letters, stretched and spaced
-letters). Sentences that hold a word of the seed lexicon give sparse features:
+letters). Sentences in which a conjunction of the seed lexicon holds give sparse features:
 lexicon groups and their conjunctions, and hashed words and word pairs. For each
 category a proportional-odds model with shared weights across its two ordered
 thresholds (disputed, agreed by most raters) is fitted on moderators' labels
@@ -197,7 +197,7 @@ _DEHUMAN, _SEXUAL, _NUDE, _PARTNERS = _set(DEHUMAN), _set(SEXUAL), _set(SEXUAL_W
 _RULES, _TECHNICAL = _set(RULES), _set(TECHNICAL)
 _phrases = lambda p: [frozenset(_squeeze(w) for w in x) for x in p]
 _THREATS, _EXPEL, _PAIRS = _phrases(THREATS), _phrases(EXPEL), _phrases(SEXUAL_PAIRS)
-# Lexicon words too common to make a sentence worth a look by themselves.
+# Lexicon words too common to be what a word with asterisks hides.
 COMMON = """
 that kind only some not wants where like talk back your head live make find would break keep send down drop nobody
 body pack party wear refuse speak ruin house skin inferior animals explicit touch rock pictures photos fotos clips
@@ -289,62 +289,97 @@ def sentence_features(words: list[str]) -> set[int]:
 
 
 _PARAGRAPHS = re.compile(r"\n\s*\n")
-_SAFE: set[str] = set()
-_HIT: set[str] = set()
-_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_LATIN = re.compile(r"[\w@$€*.\-'\u00ad\u200b-\u200d\u2060]*[a-zA-Zа-яα-ωａ-ｚＡ-Ｚ][\w@$€*.\-'\u00ad\u200b-\u200d\u2060]*")
-WORD_CACHE = 400_000
+_CLAUSES = re.compile(r"\n|(?<=[.!?…।؟])\s+|(?<=[。！？])")
+_PHRASES = (*_THREATS, *_EXPEL, *_PAIRS)
+_NAMED = frozenset().union(
+    _INSULTS, _SLURS, _TARGETS, _GROUPS, _DEHUMAN, _SEXUAL, _NUDE, _PARTNERS, _RULES, _TECHNICAL, _THEY, *_PHRASES
+)
+PIECE_CACHE = 300_000
 
 
-def _suspect(word: str) -> bool:
-    """Whether a blank-separated piece of text may hold a word of the lexicon."""
-    if not word.isascii():
-        word = _INVISIBLE.sub("", unicodedata.normalize("NFKC", word))
-    if "<" in word or "{" in word or "\\" in word or "&" in word:
-        if not _TRIGGERS.isdisjoint(folded(visible(word))):
-            return True
-    return not _TRIGGERS.isdisjoint(folded(word))
+def may_fire(s: frozenset[str] | set[str]) -> bool:
+    """Whether a named feature can fire in some sentence of a text with these words.
 
-
-def may_hold(text: str) -> bool:
-    """Cheap test before the sentences are looked at; pieces are judged once per worker."""
-    words = set(text.split())
-    if not _HIT.isdisjoint(words) or len(words & _LETTERS) > 2:
-        return True
-    new = words - _SAFE
-    if len(_SAFE) + len(new) > WORD_CACHE:
-        _SAFE.clear()
-        _HIT.clear()
-    found = False
-    for w in new:
-        if len(w) > 40:  # scripts without blanks, or code: not worth remembering
-            found = found or any(_suspect(x) for x in _LATIN.findall(w))
-        elif _suspect(w):
-            _HIT.add(w)
-            found = True
-        else:
-            _SAFE.add(w)
-    return found
+    Every condition of ``sentence_features`` for a first feature is here without its
+    exceptions, and each only grows with the words: no sentence is lost.
+    """
+    group = not s.isdisjoint(_GROUPS)
+    return (
+        not s.isdisjoint(_INSULTS) or not s.isdisjoint(_SEXUAL)
+        or not s.isdisjoint(_SLURS) and not s.isdisjoint(_TARGETS)
+        or not s.isdisjoint(_DEHUMAN) and (group or not s.isdisjoint(_THEY) or any(p <= s for p in _EXPEL))
+        or group and (not s.isdisjoint(_RULES) or any(p <= s for p in _EXPEL))
+        or not s.isdisjoint(_NUDE) and not (s.isdisjoint(_PARTNERS) and s.isdisjoint(_RULES) and s.isdisjoint(_TECHNICAL))
+        or any(p <= s for p in _THREATS) or any(p <= s for p in _PAIRS)
+    )
 
 
-def text_features(text: str | None) -> list[list[int]]:
-    """Features of each sentence that holds a word of the lexicon."""
-    if not text or not may_hold(text):
-        return []
-    seen = visible(text)
+class Pieces:
+    """Blank-separated pieces of text: each is folded, hashed and looked up once per worker."""
+
+    def __init__(self):
+        self.ids: dict[str, int] = {}
+        self.named: list[frozenset[str]] = []
+        self.single: list[int] = []  # 0 wordless, 1 single characters only, 2 other
+
+    def add(self, piece: str) -> int:
+        words = folded(piece)
+        self.named.append(_NAMED.intersection(words))
+        self.single.append(0 if not words else 1 if all(len(w) < 2 for w in words) or _SPACED.search(piece) else 2)
+        self.ids[piece] = len(self.named) - 1
+        return len(self.named) - 1
+
+    def read(self, seen: str) -> list[list[int]]:
+        """Ids of the pieces of each clause."""
+        get, out = self.ids.get, []
+        for clause in _CLAUSES.split(seen):
+            own = [self.add(x) if (i := get(x)) is None else i for x in clause.split()]
+            if own:
+                out.append(own)
+        return out
+
+    def may_hold(self, clauses: list[list[int]]) -> bool:
+        """Whether a named feature can fire in the text; spaced letters always need a look."""
+        words: set[str] = set()
+        run = 0
+        for c in clauses:
+            for i in c:
+                if self.named[i]:
+                    words |= self.named[i]
+                k = self.single[i]
+                if k:
+                    run = run + 1 if k == 1 else 0
+                    if run > 1:
+                        return True
+        return bool(words) and may_fire(words)
+
+    def trim(self) -> None:
+        if len(self.ids) > PIECE_CACHE:
+            self.__init__()
+
+
+def _named_features(seen: str) -> list[list[int]]:
     out = []
     for part in _PARAGRAPHS.split(seen):
-        if _TRIGGERS.isdisjoint(folded(part)):
-            continue
-        for a, b in sentence_spans(part):
-            words = folded(part[a:b])
-            if not _TRIGGERS.isdisjoint(words):
-                f = sentence_features(words)
+        if may_fire(_NAMED.intersection(folded(part))):
+            for a, b in sentence_spans(part):
+                f = sentence_features(folded(part[a:b]))
                 if f:
                     out.append(sorted(f))
     return out
 
 
+def may_hold(text: str) -> bool:
+    """Whether a named feature can fire in some sentence of the text."""
+    pieces = Pieces()
+    return pieces.may_hold(pieces.read(visible(text)))
+
+
+def text_features(text: str | None) -> list[list[int]]:
+    """Features of each sentence in which a named feature fires."""
+    return _named_features(visible(text)) if text and may_hold(text) else []
+
+
 # --- cumulative-link model -----------------------------------------------------------
 
 
@@ -403,9 +438,19 @@ def priors() -> list[np.ndarray]:
     return [np.concatenate([[v[k] for v in NAMES.values()], np.zeros(HASHED)]).astype(float) for k in range(3)]
 
 
+def _features_of(texts: list[str | None], pieces: Pieces) -> list[list[list[int]]]:
+    out = []
+    for t in texts:
+        seen = visible(t) if t else ""
+        out.append(_named_features(seen) if pieces.may_hold(pieces.read(seen)) else [])
+        pieces.trim()
+    return out
+
+
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pieces = Pieces()
     for b in batches:
-        feats = [text_features(t) for t in b.column(1).to_pylist()]
+        feats = _features_of(b.column(1).to_pylist(), pieces)
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(feats, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "features"]
         )
@@ -441,8 +486,9 @@ SCORES = "doc_id bigint, source string, abusive double, hateful double, sexual d
 
 def _score(models: list[Ordinal]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces()
         for b in batches:
-            feats = [text_features(t) for t in b.column(2).to_pylist()]
+            feats = _features_of(b.column(2).to_pylist(), pieces)
             scores = [pa.array([m.severity(f) for f in feats], pa.float64()) for m in models]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *scores], names=["doc_id", "source", *CATEGORIES])
 

@@ -275,3 +275,20 @@ def test_ordinal_fit_learns_and_orders():
     assert m.t[0] < m.t[1] and m.severity([[0, 210]]) < 0.5 < 1.2 < m.severity([[1, 210]])
     held = [m.severity([[x]]) > 1 for x in (0, 1)]
     assert held == [False, True]
+
+
+SCREENED = [("threat", p) for p in moderation.THREATS] + [("sexual pair", p) for p in moderation.SEXUAL_PAIRS]
+SCREENED += [("group+expel", (g, *moderation.EXPEL[0])) for g in moderation.GROUPS] + [("group+expel", ("roma", *p)) for p in moderation.EXPEL]
+SCREENED += [("group+dehuman", ("natives", w)) for w in moderation.DEHUMAN] + [("insult", (w,)) for w in moderation.INSULTS] + [("sexual", (w,)) for w in moderation.SEXUAL]
+SCREENED += [("threat", tuple(t.split())) for t in ("Go kill yourself", "I hope you die", "I know where you live and I'll find you")]
+SCREENED += [("group+expel", tuple(t.split())) for t in ("Send the Roma back", "Keep the Indians out", "Throw the natives out")]
+SCREENED += [("group+dehuman", tuple(t.split())) for t in ("Roma are animals", "The natives are an inferior race")]
+
+
+def test_screen_loses_no_named_feature():
+    for name, words in SCREENED:
+        text = "We wrote this down.\n" + " ".join(words)
+        assert any(moderation._INDEX[name] in f for f in moderation.text_features(text)), (name, words)
+    for text in ("you i d i o t", "you i-d-i-o-t", "you, i. d. i. o. t", "n<b>aked</b> pictures", "ｎａｋｅｄ pictures"):
+        assert moderation.text_features(text), text
+    assert not moderation.may_hold("The desk may call on Monday.")
