@@ -2,12 +2,16 @@
 
 A text is read without markup and with its disguises undone (invisible and
 look-alike characters, digits and signs for letters, stretched and spaced
-letters). Sentences in which a conjunction of the seed lexicon holds give sparse features:
-lexicon groups and their conjunctions, and hashed words and word pairs. For each
-category a proportional-odds model with shared weights across its two ordered
-thresholds (disputed, agreed by most raters) is fitted on moderators' labels
-around a prior that knows what the lexicon groups mean; its expected severity is
-the score of a document.
+letters). It is read twice:
+
+* Sentences in which a conjunction of the seed lexicon holds give sparse
+  features: the conjunctions, and hashed words and word pairs.
+* Every sentence, in any language, gives hashed words and character n-grams.
+
+For each category and reading a proportional-odds model with shared weights
+across its two ordered thresholds (disputed, agreed by most raters) is fitted on
+moderators' labels, the first around a prior that knows what the lexicon groups
+mean; the larger expected severity is the score of a document.
 
 The model is fitted on about MAX_LABELS labels at most, a documented bound (a
 share of the range of label hashes); every document is scored.
@@ -294,6 +298,7 @@ _PHRASES = (*_THREATS, *_EXPEL, *_PAIRS)
 _NAMED = frozenset().union(
     _INSULTS, _SLURS, _TARGETS, _GROUPS, _DEHUMAN, _SEXUAL, _NUDE, _PARTNERS, _RULES, _TECHNICAL, _THEY, *_PHRASES
 )
+PLAIN = 1 << 15  # hashed words and character n-grams
 PIECE_CACHE = 300_000
 
 
@@ -314,20 +319,34 @@ def may_fire(s: frozenset[str] | set[str]) -> bool:
     )
 
 
+def plain_features(words: list[str]) -> list[int]:
+    """Hashed words and character n-grams: four letters, two and three in scripts beyond Latin."""
+    out = []
+    for w in filter(None, words):
+        out.append(zlib.crc32(w.encode()) % PLAIN)
+        sizes = (4,) if max(w) < "\u0250" else (2, 3)
+        line = f"<{w}>" if sizes == (4,) else w
+        out += [zlib.crc32(b"#" + line[k : k + n].encode()) % PLAIN for n in sizes for k in range(len(line) - n + 1)]
+    return out
+
+
 class Pieces:
     """Blank-separated pieces of text: each is folded, hashed and looked up once per worker."""
 
     def __init__(self):
         self.ids: dict[str, int] = {}
+        self.features: list[list[int]] = []
         self.named: list[frozenset[str]] = []
         self.single: list[int] = []  # 0 wordless, 1 single characters only, 2 other
+        self.done, self.scores = 0, np.zeros((0, 0))
 
     def add(self, piece: str) -> int:
         words = folded(piece)
+        self.features.append(plain_features(words))
         self.named.append(_NAMED.intersection(words))
         self.single.append(0 if not words else 1 if all(len(w) < 2 for w in words) or _SPACED.search(piece) else 2)
-        self.ids[piece] = len(self.named) - 1
-        return len(self.named) - 1
+        self.ids[piece] = len(self.features) - 1
+        return len(self.features) - 1
 
     def read(self, seen: str) -> list[list[int]]:
         """Ids of the pieces of each clause."""
@@ -353,6 +372,18 @@ class Pieces:
                         return True
         return bool(words) and may_fire(words)
 
+    def weigh(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each piece's features, pieces by categories."""
+        new = self.features[self.done :]
+        if new:
+            size = np.array([len(f) for f in new])
+            flat = np.fromiter((x for f in new for x in f), np.int64, int(size.sum()))
+            at = np.repeat(np.arange(len(new)), size)
+            rows = np.column_stack([np.bincount(at, w[flat], len(new)) for w in weights])
+            self.scores = np.concatenate([self.scores, rows]) if self.done else rows
+            self.done += len(new)
+        return self.scores
+
     def trim(self) -> None:
         if len(self.ids) > PIECE_CACHE:
             self.__init__()
@@ -434,30 +465,96 @@ class Ordinal:
         return model
 
 
-def priors() -> list[np.ndarray]:
-    return [np.concatenate([[v[k] for v in NAMES.values()], np.zeros(HASHED)]).astype(float) for k in range(3)]
+class Plain:
+    """Ordinal model of hashed words and character n-grams, without any lexicon.
 
+    Of a document the clause with the largest sum counts. Weights start from the
+    log odds of the documents that hold a feature, then each document's worst
+    clause is chosen and the weights are fitted, in turns.
+    """
 
-def _features_of(texts: list[str | None], pieces: Pieces) -> list[list[list[int]]]:
-    out = []
-    for t in texts:
-        seen = visible(t) if t else ""
-        out.append(_named_features(seen) if pieces.may_hold(pieces.read(seen)) else [])
-        pieces.trim()
-    return out
+    STRENGTH, SPARED, BIAS = 8.0, 0.5, -4.0
+
+    def __init__(self, weights: np.ndarray, bias: float):
+        self.w, self.b = weights, bias
+
+    def severity(self, z: np.ndarray) -> np.ndarray:
+        e = lambda t: 1 / (1 + np.exp(-np.clip(z + self.b - t, -30, 30)))
+        return e(2.0) + e(3.0)
+
+    @classmethod
+    def fit(cls, flat: np.ndarray, clauses: np.ndarray, docs: np.ndarray, grades: np.ndarray, mass: np.ndarray, rounds: int = 3, steps: int = 60) -> Plain:
+        """``flat``: features of all clauses in order; ``clauses``: how many of each clause; ``docs``: how many clauses of each document."""
+        model = cls(np.zeros(PLAIN), cls.BIAS)
+        if not len(flat) or not grades.any():
+            return model
+        doc_of = np.repeat(np.arange(len(docs)), docs)
+        starts = np.concatenate([[0], np.cumsum(clauses)])
+        first = np.concatenate([[0], np.cumsum(docs)])
+        hot = mass * grades / 2
+        base = hot.sum() / mass.sum()
+        n, pos, spared = np.zeros(PLAIN), np.zeros(PLAIN), np.zeros(PLAIN)
+        for d in range(len(docs)):
+            u = np.unique(flat[starts[first[d]] : starts[first[d + 1]]])
+            n[u] += mass[d]
+            if hot[d]:
+                pos[u] += hot[d]
+            else:
+                spared[u] += mass[d]
+        shrink = 5.0
+        # what many documents without the category hold says little: one label can't lend it weight
+        strength = cls.STRENGTH * (1 + spared / cls.SPARED)
+        model.w = np.clip(np.log((pos + shrink * base) / ((n + shrink) * base)), 0, None) * 0.25
+        for _ in range(rounds):
+            z = np.concatenate([  # in blocks: the driver holds 16 bits of each feature, no more
+                np.add.reduceat(model.w[flat[starts[c] : starts[min(c + 8192, len(clauses))]]], starts[c : min(c + 8192, len(clauses))] - starts[c])
+                for c in range(0, len(clauses), 8192)
+            ])
+            order = np.lexsort((z, doc_of))
+            worst = order[first[1:] - 1]
+            size = clauses[worst]
+            at = np.repeat(np.arange(len(worst)), size)
+            own = flat[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[worst], size)].astype(np.int64)
+            curvature = strength + 0.5 * np.bincount(own, (mass * size)[at] * 0.25, PLAIN)
+            w, last = model.w.copy(), model.w.copy()
+            for k in range(steps):
+                ahead = w + (w - last) * (k / (k + 3))
+                last = w
+                z = np.bincount(at, ahead[own], len(worst)) + model.b
+                error = sum(mass * (1 / (1 + np.exp(-np.clip(z - t, -30, 30))) - (grades > g)) for g, t in enumerate((2.0, 3.0)))
+                w = ahead - (np.bincount(own, error[at], PLAIN) + strength * ahead) / curvature
+                model.b -= (error.sum() + 20.0 * (model.b - cls.BIAS)) / (20.0 + 0.5 * mass.sum())
+                model.b = min(model.b, cls.BIAS / 2)
+            model.w = w
+        return model
+
+
+def priors() -> list[np.ndarray]:
+    return [np.concatenate([[v[k] for v in NAMES.values()], np.zeros(HASHED)]).astype(float) for k in range(3)]
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Named features; features of all clauses (16 bits each) and how many each clause has (32 bits)."""
     pieces = Pieces()
     for b in batches:
-        feats = _features_of(b.column(1).to_pylist(), pieces)
+        named, flat, size = [], [], []
+        for t in b.column(1).to_pylist():
+            seen = visible(t) if t else ""
+            clauses = pieces.read(seen)
+            named.append(_named_features(seen) if pieces.may_hold(clauses) else [])
+            own = [[x for i in c for x in pieces.features[i]] for c in clauses]
+            own = [c for c in own if c]
+            flat.append(np.array([x for c in own for x in c], np.uint16).tobytes())
+            size.append(np.array([len(c) for c in own], np.uint32).tobytes())
+            pieces.trim()
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(feats, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "features"]
+            [b.column(0), pa.array(named, pa.list_(pa.list_(pa.int32()))), pa.array(flat, pa.binary()), pa.array(size, pa.binary())],
+            names=["doc_id", "features", "flat", "size"],
         )
 
 
-def fit_models(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> list[Ordinal]:
-    """One ordinal model per category from the moderators' labels.
+def fit_models(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> list[tuple[Ordinal, Plain]]:
+    """The models of both readings per category from the moderators' labels.
 
     Grades of a document: 0 no rater names the category, 1 some, 2 most.
     """
@@ -471,26 +568,59 @@ def fit_models(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> l
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     # votes hold at most about MAX_LABELS small rows: broadcast, so no text is shuffled
     labelled = texts.join(F.broadcast(votes.select("v_doc")), F.col("doc_id") == F.col("v_doc"), "left_semi").mapInArrow(
-        _featurise, "doc_id bigint, features array<array<int>>"
+        _featurise, "doc_id bigint, features array<array<int>>, flat binary, size binary"
     )
-    rows = labelled.join(F.broadcast(votes), F.col("doc_id") == F.col("v_doc")).select("features", "n", *CATEGORIES).collect()
+    rows = labelled.join(F.broadcast(votes), F.col("doc_id") == F.col("v_doc")).select("features", "flat", "size", "n", *CATEGORIES).collect()
+    full = [r for r in rows if r["size"]]
+    flat = np.concatenate([np.frombuffer(r["flat"], np.uint16) for r in full] or [np.zeros(0, np.uint16)])
+    sizes = [np.frombuffer(r["size"], np.uint32).astype(np.int64) for r in full]
+    size, docs_of = np.concatenate(sizes or [np.zeros(0, np.int64)]), np.array([len(x) for x in sizes], np.int64)
     out = []
     for k, c in enumerate(CATEGORIES):
-        data = [(r["features"], 0 if not r[c] else 2 if 2 * r[c] > r["n"] else 1, float(np.sqrt(r["n"]))) for r in rows]
-        out.append(Ordinal.fit(data, priors()[k]))
+        grade = lambda r: 0 if not r[c] else 2 if 2 * r[c] > r["n"] else 1  # noqa: B023, E731
+        data = [(r["features"], grade(r), float(np.sqrt(r["n"]))) for r in rows]
+        mass = np.array([np.sqrt(r["n"]) for r in full])
+        out.append((Ordinal.fit(data, priors()[k]), Plain.fit(flat, size, docs_of, np.array([grade(r) for r in full]), mass)))
     return out
 
 
 SCORES = "doc_id bigint, source string, abusive double, hateful double, sexual double"
 
 
-def _score(models: list[Ordinal]):
+def score_texts(models: list[tuple[Ordinal, Plain]], texts: list[str | None], pieces: Pieces) -> np.ndarray:
+    """Expected severity of each text in each category: the larger one of its two readings."""
+    out = np.zeros((len(texts), len(models)))
+    ids, size, owner = [], [], []
+    for r, t in enumerate(texts):
+        if not t:
+            continue
+        seen = visible(t)
+        clauses = pieces.read(seen)
+        if pieces.may_hold(clauses) and (named := _named_features(seen)):
+            out[r] = [m.severity(named) for m, _ in models]
+        for c in clauses:
+            ids += c
+            size.append(len(c))
+            owner.append(r)
+    if ids:
+        weights = pieces.weigh(np.array([p.w for _, p in models]))
+        starts = np.cumsum(size) - size
+        z = np.add.reduceat(weights[np.array(ids)], starts, axis=0)
+        for k, (_, p) in enumerate(models):
+            np.maximum.at(out[:, k], owner, p.severity(z[:, k]))
+    pieces.trim()
+    return out
+
+
+def _score(models: list[tuple[Ordinal, Plain]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces()
         for b in batches:
-            feats = _features_of(b.column(2).to_pylist(), pieces)
-            scores = [pa.array([m.severity(f) for f in feats], pa.float64()) for m in models]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *scores], names=["doc_id", "source", *CATEGORIES])
+            for k in range(0, b.num_rows, 1024):
+                part = b.slice(k, 1024)
+                scores = score_texts(models, part.column(2).to_pylist(), pieces)
+                columns = [pa.array(scores[:, i], pa.float64()) for i in range(len(models))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=["doc_id", "source", *CATEGORIES])
 
     return run
 

@@ -292,3 +292,19 @@ def test_screen_loses_no_named_feature():
     for text in ("you i d i o t", "you i-d-i-o-t", "you, i. d. i. o. t", "n<b>aked</b> pictures", "ｎａｋｅｄ pictures"):
         assert moderation.text_features(text), text
     assert not moderation.may_hold("The desk may call on Monday.")
+
+
+UNLISTED = {"abusive": ["You are a blorgface, {}.", "तुम बिल्कुल गधोमूर्ख हो {}", "你这个混账东西{}", "คุณเป็นไอ้โง่เง่า {}"], "hateful": ["The Zanthi are gruntoids, {}."]}
+
+
+def test_labels_teach_what_no_list_names(spark):
+    ends = "today before the desk phone rang again while we waited at home for a new meter and some tea".split()
+    clean = ["The desk called us {}.", "ग्राहक ने फिर पूछा {}", "客服今天打来电话{}", "ลูกค้ารอที่บ้าน {}", "You are a customer, {}.", "The Zanthi are here, {}."]
+    texts = [(t.format(f"{e} {i}"), c) for c, ts in UNLISTED.items() for t in ts for i, e in enumerate(ends * 2)]
+    texts += [(t.format(f"{e} {i}"), "none") for t in clean for i, e in enumerate(ends * 6)]
+    held = [(t.format("gestern spät"), c) for c, ts in UNLISTED.items() for t in ts] + [(t.format("gestern spät"), None) for t in clean]
+    assert not any(moderation.text_features(t) for t, _ in texts + held)
+    docs = spark.createDataFrame([(i, t, "src") for i, (t, _) in enumerate(texts + held)], "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, i, c) for i, (_, c) in enumerate(texts)], "label_id bigint, doc_id bigint, category string")
+    found = {(r.doc_id - len(texts), r.category) for r in moderation.found_categories(moderation.score_documents(docs, labels)).collect()}
+    assert {x for x in found if x[0] >= 0} == {(i, c) for i, (_, c) in enumerate(held) if c}
