@@ -12,8 +12,8 @@
    document a candidate for the item; the query set is held against all
    windows in blocks.
 4. Candidates are checked: the longest run of consecutive item words for
-   verbatim leaks, the longest common subsequence and the agreement of the
-   content words (the "answer" of an item: its rarest words) for paraphrases.
+   verbatim leaks; for paraphrases, on every window pair, the longest common
+   subsequence and the content words (the "answer": the window's rarest words).
 
 Defined cases: null, blank and wordless texts contain nothing; items below
 twelve words cannot leak verbatim; items that share wording are all reported.
@@ -24,6 +24,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -240,36 +241,43 @@ def _search(items: Items, space: np.ndarray, idf: np.ndarray, least: float, para
         parts = [w for _, ids in items.items for w in windows(ids)]
         q = _weights(parts, idf) @ space
         q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-        answers = [set(sorted(set(ids.tolist()), key=lambda w: -idf[w])[:8]) for _, ids in items.items]
+        answers = [set(sorted(set(w.tolist()), key=lambda x: -idf[x])[:8]) for w in parts]
+        lines, bags = [w.tolist() for w in parts], [Counter(w.tolist()) for w in parts]
         schema = pa.schema([
             ("doc_id", pa.int64()), ("item_id", pa.int64()), ("verbatim", pa.bool_()), ("cosine", pa.float64()),
             ("common_words", pa.int32()), ("answer_share", pa.float64()),
         ])
         for b in batches:
-            docs, best = b.column(0).to_pylist(), {}
+            docs, best, passed = b.column(0).to_pylist(), {}, {}
+            lists, runs, rows = b.column(1).to_pylist(), {}, []
+            held = [{w for s in own for w in s} for own in lists] if paraphrases else []
             for owner, block in _blocks(b.column(1), _block_size(len(idf))):
                 x = _weights(block, idf) @ space
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 cosine = x @ q.T
                 for r, c in zip(*np.nonzero(cosine >= least)):
                     key = (owner[r], int(owners[c]))
-                    if cosine[r, c] > best.get(key, (0,))[0]:
-                        best[key] = (float(cosine[r, c]), block[r], parts[c])
-            lists, runs, rows = b.column(1).to_pylist(), {}, []
-            for (r, n), (cos, window, part) in sorted(best.items(), key=lambda kv: kv[0]):
+                    best[key] = max(best.get(key, 0.0), float(cosine[r, c]))
+                    if paraphrases:
+                        # every window pair is checked; the common words bound the common subsequence
+                        enough = 0.6 * len(lines[c])
+                        if (Counter(block[r].tolist()) & bags[c]).total() < enough:
+                            continue
+                        share = len(answers[c] & held[owner[r]]) / max(len(answers[c]), 1)
+                        if share < 0.75:
+                            continue
+                        common = _common_subsequence(block[r].tolist(), lines[c])
+                        if common >= enough:
+                            passed[key] = max(passed.get(key, (0, 0.0)), (common, share))
+            for (r, n), cos in sorted(best.items()):
                 if r not in runs:
                     runs[r] = set()
                     for s in lists[r]:
                         for k in range(len(s) - RUN + 1):
                             runs[r] |= items.runs.get(tuple(s[k : k + RUN]), set())
                 verbatim = n in runs[r]
-                common, share = None, None
-                if paraphrases:
-                    common = _common_subsequence(window.tolist(), part.tolist())
-                    held = {w for s in lists[r] for w in s}
-                    share = len(answers[n] & held) / max(len(answers[n]), 1)
-                if verbatim or paraphrases and common >= 0.6 * len(part) and share >= 0.75:
-                    rows.append((docs[r], items.items[n][0], verbatim, cos, common, share))
+                if verbatim or (r, n) in passed:
+                    rows.append((docs[r], items.items[n][0], verbatim, cos, *passed.get((r, n), (None, None))))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

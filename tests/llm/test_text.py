@@ -236,6 +236,17 @@ def test_paraphrases(spark):
     assert leakage._longest_run([1, 2, 3, 9], [0, 2, 3, 4]) == 2
 
 
+def test_partial_and_hidden_paraphrases(spark):
+    words = [f"w{i}x" for i in range(40)]
+    half = ["other" if i in (4, 11) else x for i, x in enumerate(words[:20])] + [f"new{i}" for i in range(20)]
+    shuffled = [words[i * 7 % 18] for i in range(18)]  # all words of the first window, out of order
+    hidden = shuffled + ["foreign"] * 9 + ["other" if i in (4, 9) else x for i, x in enumerate(words[:18])]
+    d = spark.createDataFrame([(1, " ".join(half)), (2, " ".join(hidden)), (3, " ".join(shuffled))], "doc_id bigint, text string")
+    h = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    r = leakage.leaks(d, h, paraphrases=True).collect()
+    assert sorted((x.doc_id, x.item_id, x.verbatim) for x in r) == [(1, 1, False), (2, 1, False)]
+
+
 # --- moderation -------------------------------------------------------------------------
 
 ABUSIVE = ["Shut your mouth, you 1di0t!", "You are a complete c r e t i n.", "I will smash your teeth in, s\u200bcumbag.", "Halt endlich die Fresse, du Versager."]
