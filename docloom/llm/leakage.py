@@ -8,8 +8,8 @@
 2. Segments and items are cut into overlapping windows, weighted by TF-IDF.
    A distributed randomised SVD (range finder with power iterations; only
    vocabulary-by-rank partial sums travel) gives the latent space.
-3. Windows whose latent cosine with an item window is high enough make the
-   document a candidate for the item; the query set is held against all
+3. Windows whose latent cosine with an item window is high enough, and exact
+   runs of item words whatever their cosine, make the document a candidate; the query set is held against all
    windows in blocks.
 4. Candidates are checked: the longest run of consecutive item words for
    verbatim leaks; for paraphrases, on every window pair, the longest common
@@ -239,6 +239,8 @@ def _search(items: Items, space: np.ndarray, idf: np.ndarray, least: float, para
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners = np.array([n for n, (_, ids) in enumerate(items.items) for _ in windows(ids)])
         parts = [w for _, ids in items.items for w in windows(ids)]
+        ends = np.searchsorted(owners, np.arange(len(items.items) + 1))
+        places = [slice(a, b) for a, b in zip(ends, ends[1:])]
         q = _weights(parts, idf) @ space
         q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
         answers = [set(sorted(set(w.tolist()), key=lambda x: -idf[x])[:8]) for w in parts]
@@ -249,15 +251,20 @@ def _search(items: Items, space: np.ndarray, idf: np.ndarray, least: float, para
         ])
         for b in batches:
             docs, best, passed = b.column(0).to_pylist(), {}, {}
-            lists, runs, rows = b.column(1).to_pylist(), {}, []
+            lists, rows = b.column(1).to_pylist(), []
+            # verbatim runs are exact and need no cosine
+            runs = [{n for s in own for k in range(len(s) - RUN + 1) for n in items.runs.get(tuple(s[k : k + RUN]), ())} for own in lists]
             held = [{w for s in own for w in s} for own in lists] if paraphrases else []
             for owner, block in _blocks(b.column(1), _block_size(len(idf))):
                 x = _weights(block, idf) @ space
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 cosine = x @ q.T
+                for r, o in enumerate(owner):
+                    for n in runs[o]:
+                        best[o, n] = max(best.get((o, n), -1.0), float(cosine[r, places[n]].max()))
                 for r, c in zip(*np.nonzero(cosine >= least)):
                     key = (owner[r], int(owners[c]))
-                    best[key] = max(best.get(key, 0.0), float(cosine[r, c]))
+                    best[key] = max(best.get(key, -1.0), float(cosine[r, c]))
                     if paraphrases:
                         # every window pair is checked; the common words bound the common subsequence
                         enough = 0.6 * len(lines[c])
@@ -270,11 +277,6 @@ def _search(items: Items, space: np.ndarray, idf: np.ndarray, least: float, para
                         if common >= enough:
                             passed[key] = max(passed.get(key, (0, 0.0)), (common, share))
             for (r, n), cos in sorted(best.items()):
-                if r not in runs:
-                    runs[r] = set()
-                    for s in lists[r]:
-                        for k in range(len(s) - RUN + 1):
-                            runs[r] |= items.runs.get(tuple(s[k : k + RUN]), set())
                 verbatim = n in runs[r]
                 if verbatim or (r, n) in passed:
                     rows.append((docs[r], items.items[n][0], verbatim, cos, *passed.get((r, n), (None, None))))

@@ -236,6 +236,13 @@ def test_paraphrases(spark):
     assert leakage._longest_run([1, 2, 3, 9], [0, 2, 3, 4]) == 2
 
 
+def test_verbatim_runs_need_no_cosine(spark):
+    d = spark.createDataFrame([(1, "Intro. " + ITEM), (2, "plain words only")], "doc_id bigint, text string")
+    h = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    r = leakage.leaks(d, h, least=2.0).collect()  # no pair reaches this cosine
+    assert [(x.doc_id, x.item_id, x.verbatim) for x in r] == [(1, 1, True)] and r[0].cosine > 0.3
+
+
 def test_partial_and_hidden_paraphrases(spark):
     words = [f"w{i}x" for i in range(40)]
     half = ["other" if i in (4, 11) else x for i, x in enumerate(words[:20])] + [f"new{i}" for i in range(20)]
