@@ -60,7 +60,7 @@ _MARKDOWN = [
     re.compile(r"(?<![\w*\\])\*\*(?=[^\s*])[^*\n]+?(?<=\S)\*\*(?![\w*])"),
     re.compile(r"(?<![\w_\\])__(?=[^\s_])(?!(?:NO|FORCE)?[A-Z]+__)[^_\n]+?(?<=\S)__(?![\w_(.])"),
     re.compile(r"(?<![\w*\\^])\*(?=[^\s*])[^*\n]+?(?<=[^\s*])\*(?![\w*])"),
-    re.compile(r"(?<![\w_\\^/.])_(?=[^\s_])[^_\n]{1,200}?(?<=[^\s_])_(?![\w_^/.(])"),
+    re.compile(r"(?<![\w_\\^/.])_(?=[^\s_])[^_\n]+?(?<=[^\s_])_(?![\w_^/.(])"),
     re.compile(r"~~(?=\S)[^~\n]+?(?<=\S)~~"),
     re.compile(r"!?\[[^\[\]\n]*\]\((?:[a-z][a-z+.-]*://|www\.|mailto:|[./#])?[^()\s]*[./#:@][^()\s]*(?:\s+\"[^\"\n]*\")?\)"),
     re.compile(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*\|[-:| \t]*$", re.M),
@@ -101,12 +101,12 @@ _LATEX = [
 
 # what a text must hold for the rule of the same place to be worth a search
 _LATEX_NEEDS = ("\\", "\\", "{\\", "$", "\\", "$$", "\\")
-_WIKI_NEEDS = ("==", "''", "[[", "{{", "{", "://", "__", "<", "#")
-_MARKDOWN_NEEDS = ("#", "```", "**", "__", "*", "_", "~~", "](", "--", ">", "", "] ")
+_WIKI_NEEDS = ("==", "''", "[[", "{{", "|", "://", "__", "<", "#")
+_MARKDOWN_NEEDS = ("#", ("```", "~~~"), "**", "__", "*", "_", "~~", "](", "--", ">", "", "] ")
 
 
 def _any(rules: list[re.Pattern], needs: tuple[str, ...], text: str) -> bool:
-    return any(need in text and p.search(text) is not None for p, need in zip(rules, needs))
+    return any((need in text if isinstance(need, str) else any(n in text for n in need)) and p.search(text) is not None for p, need in zip(rules, needs))
 
 
 def _blank(text: str, pattern: re.Pattern) -> str:

@@ -33,6 +33,11 @@ def test_kinds_of_markup(text, kinds):
     assert markup.kinds_of(text) == kinds
 
 
+def test_small_traces_of_markup():
+    assert markup.kinds_of("_" + "long words " * 30 + "end_") == {"markdown"}
+    assert markup.kinds_of("text\n|}") == {"wiki"} and markup.kinds_of("text\n~~~") == {"markdown"}
+
+
 def test_clean_keeps_structure():
     def blocks(t):
         return markup.clean(t, markup.kinds_of(t))[0]
