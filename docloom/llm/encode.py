@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 import re
 import sys
 import unicodedata
@@ -192,13 +193,15 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
 
 
 def lexicon(place: str) -> Lexicon:
-    """The mapped lexicon of this worker; ``place`` is a path or a distributed file."""
+    """The mapped lexicon of this worker: in the shared folder if that is mounted, else Spark's copy."""
     if place not in _lexicons:
         from pyspark import SparkFiles
 
         _lexicons.clear()
         _cache.clear()
-        _lexicons[place] = Lexicon.open(place if place.startswith("/") else SparkFiles.get(place))
+        path = urlparse(place).path
+        mounted = urlparse(place).scheme in ("", "file") and os.path.exists(path)
+        _lexicons[place] = Lexicon.open(path if mounted else SparkFiles.get(os.path.basename(path)))
     return _lexicons[place]
 
 
@@ -246,12 +249,18 @@ def _encode(place: str, path: str, pattern: str):
     return run
 
 
-def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent blank-separated words of all documents, at most ``n``.
+LEVELS, BINS = 64, 4096  # classes of counts per factor of two; hash bins of the class that fits only in part
+
 
-    Counted on the JVM side with partial sums before the shuffle. A histogram of
-    the counts gives the least count that keeps the list within ``n``, so only
-    the list itself reaches the driver, whatever the number of partitions.
+def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS) -> list[str]:
+    """The most frequent blank-separated words of all documents, never more than ``n``.
+
+    Counted on the JVM side with partial sums before the shuffle. The words are
+    classed by the logarithm of their counts (some 3,000 classes whatever the
+    corpus holds); whole classes are taken from the top while they fit. Of the
+    first class that doesn't, words are taken by bins of their hash while these
+    fit, so ties of any number neither pass ``n`` nor empty the list. Only the
+    two histograms and the list itself reach the driver.
     Words above ``LONGEST_WORD`` characters are left to the exact merge: they
     only cost speed there and in scripts without blanks they hardly repeat.
     """
@@ -259,22 +268,30 @@ def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS) -> list[str]:
         F.char_length("w").between(1, LONGEST_WORD)
     )
     counts = materialise(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "words")
-    top = 1 << 14
-    histogram = counts.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count(F.lit(1)).alias("words"))
-    least, kept = top + 1, 0
-    for r in sorted(histogram.collect(), key=lambda r: -r["n"]):
-        if kept + r["words"] > n:
+    classed = counts.select("w", F.floor(F.log2("n") * LEVELS).alias("level"), F.pmod(F.xxhash64("w"), F.lit(BINS)).alias("bin"))
+    top, room = None, n
+    part: int | None = None
+    for r in sorted(classed.groupBy("level").agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["level"]):
+        if r["words"] > room:
+            part = r["level"]
             break
-        least, kept = r["n"], kept + r["words"]
-    return sorted(r.w for r in counts.where(F.col("n") >= least).select("w").collect())
+        top, room = r["level"], room - r["words"]
+    chosen = F.lit(False) if top is None else F.col("level") >= top
+    if part is not None:
+        bins = 0
+        for r in sorted(classed.where(F.col("level") == part).groupBy("bin").agg(F.count(F.lit(1)).alias("words")).collect()):
+            if r["words"] > room:
+                break
+            bins, room = r["bin"] + 1, room - r["words"]
+        chosen = chosen | (F.col("level") == part) & (F.col("bin") < bins)
+    return sorted(r.w for r in classed.where(chosen).select("w").collect())
 
 
 def build_lexicon(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> str:
     """Compile the frequent words and publish the packed automaton.
 
-    Bounded by ``LEXICON_WORDS`` words, a few MB. Returns where workers find it:
-    a path if the shared folder is a mounted file system, else the name of a
-    file that Spark distributes from it.
+    Bounded by ``LEXICON_WORDS`` words, a few MB. Returns its address; Spark
+    distributes it to workers that don't mount the shared folder.
     """
     tok = tokenizer(path, pattern)
     words = {p for w in frequent_words(docs) for x in (w, f" {w}") for p in tok.find(x)}
@@ -287,11 +304,8 @@ def build_lexicon(spark: SparkSession, docs: DataFrame, path: str, pattern: str)
     out.write(bytearray(packed))
     out.close()
     delete_at_exit(spark, uri)
-    scheme = urlparse(uri).scheme
-    if scheme in ("", "file"):
-        return urlparse(uri).path
     spark.sparkContext.addFile(uri)
-    return uri.rpartition("/")[2]
+    return uri
 
 
 def public_tokenizer() -> tuple[str, str]:

@@ -200,6 +200,17 @@ def test_ids_equal_the_tokenizer(spark):
     assert encode.encode_documents(docs.limit(0)).count() == 0
 
 
+def test_lexicon_is_bounded_under_ties(spark):
+    rare = spark.range(300).selectExpr("concat('w', id) as w")  # all with one count, above the bound
+    docs = rare.unionByName(rare).unionByName(spark.createDataFrame([("top top top top",)], "w string")).withColumnRenamed("w", "text")
+    for n in (50, 10, 1):
+        got = encode.frequent_words(docs, n)
+        assert len(got) <= n and ("top" in got) and (n == 1 or len(got) > n // 2)
+    hot = docs.withColumn("text", F.array_join(F.array_repeat("text", 20_000), " "))  # large counts, still tied
+    assert 25 < len(encode.frequent_words(hot, 50)) <= 50
+    assert len(encode.frequent_words(docs, 1000)) == 301 and encode.frequent_words(docs.limit(0)) == []
+
+
 # --- leakage ----------------------------------------------------------------------------
 
 ITEM = "When a chemist follows the lunar foundry, every brittle drummer repairs exactly five of its kiln gates near the quiet harbour today."
