@@ -272,73 +272,81 @@ def test_partial_and_hidden_paraphrases(spark):
 
 # --- moderation -------------------------------------------------------------------------
 
-ABUSIVE = ["Shut your mouth, you 1di0t!", "You are a complete c r e t i n.", "I will smash your teeth in, s\u200bcumbag.", "Halt endlich die Fresse, du Versager."]
-HATEFUL = ["All migrants are v-e-r-m-i-n and should be thrown out.", "Keep foreigners out, they are a disease.", "Ces sales étrangers sont de la vermine."]
-SEXUAL = ["Send me NAAAKED pictures of yourself.", "Free p0rn clips.", "Schick mir Nacktbilder von dir."]
-CLEAN = [
-    "Replies must never contain words such as idiot or moron.", "Strip the cable sheath and expose the bare wire.", "Naked DSL needs no voice line.",
-    "The form asks for name, sex and date of birth.", "Migrants and foreigners may use it with a passport as proof of identity.",
-    "Kill the hung process and abort the job before you restart it.", "I am furious about this and it is the worst service I have had.",
-]
+BAD = {
+    "abusive": ["You utter muppet, go drown in a lake {}.", "I know which school your kids attend, watch out {}.", "तुम बिल्कुल गधोमूर्ख हो {}", "你这个混账东西{}", "คุณเป็นไอ้โง่เง่า {}"],
+    "hateful": ["The Zanthi are gruntoids and must leave {}.", "No Zanthi deserves a home here {}."],
+    "sexual": ["Sit on my face tonight, baby {}.", "Take off your underwear on camera for me {}."],
+}
+GOOD = ["The idiot light on the dashboard is on {}.", "Blood disease screening for women and refugees is free {}.", "The desk called us {}.", "You are a customer {}.",
+        "The Zanthi are here {}.", "Sit down at the desk {}.", "ग्राहक ने फिर पूछा {}", "客服今天打来电话{}", "ลูกค้ารอที่บ้าน {}"]
+ENDS = "today before the desk phone rang again while we waited at home for a new meter and some tea".split()
+
+
+def labelled(spark, shuffled=False):
+    texts = [(t.format(f"{e} {i}"), c) for c, ts in BAD.items() for t in ts for i, e in enumerate(ENDS)]
+    texts += [(t.format(f"{e} {i}"), "none") for t in GOOD for i, e in enumerate(ENDS * 3)]
+    names = [c for _, c in texts]
+    if shuffled:
+        names = [str(c) for c in np.random.default_rng(5).permutation(names)]
+    docs = spark.createDataFrame([(i, f"We wrote this down. {t} It was noted.", "src", 1) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string, source string, abusive int")
+    return docs, spark.createDataFrame([(i, i, c) for i, c in enumerate(names)], "label_id bigint, doc_id bigint, category string")
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    return moderation.fit_models(*labelled(spark))
+
+
+HELD = [(t.format("gestern spät"), c) for c, ts in BAD.items() for t in ts] + [(t.format("gestern spät"), None) for t in GOOD]
+
+
+def named(scores):
+    return [next((c for c, x in zip(moderation.CATEGORIES, row) if x >= moderation.FOUND_SEVERITY), None) for row in scores]
 
 
-def test_moderation_scores(spark):
-    texts = [(x, "abusive") for x in ABUSIVE] + [(x, "hateful") for x in HATEFUL] + [(x, "sexual") for x in SEXUAL] + [(x, None) for x in CLEAN]
-    texts += [(None, None), ("", None), ("  ", None)]
-    docs = spark.createDataFrame([(i, t, "src", 1) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string, source string, abusive int")
-    labels = spark.createDataFrame([(1, 0, "abusive"), (2, 10, "none"), (3, None, "none"), (4, 999, "sexual"), (5, 1, None), (6, 1, "odd")],
-                                   "label_id bigint, doc_id bigint, category string")
-    scores = moderation.score_documents(docs, labels)
-    found = {(r.doc_id, r.category) for r in moderation.found_categories(scores).collect()}
-    assert found == {(i, c) for i, (_, c) in enumerate(texts) if c}
-    assert scores.count() == len(texts)
-    assert moderation.found_categories(moderation.score_documents(docs, labels.limit(0))).count() == len(found)
+def accuracy(models):
+    return np.mean([a == b for a, (_, b) in zip(named(moderation.score_texts(models, [t for t, _ in HELD])), HELD)])
+
+
+def test_labels_alone_teach_what_is_found(spark, fitted):
+    assert accuracy(fitted) == 1.0
+    assert accuracy([moderation.Ordinal(np.zeros(moderation.HASHED)) for _ in moderation.CATEGORIES]) <= 0.5  # not fitted: nothing is found
+    other = moderation.fit_models(*labelled(spark, shuffled=True))
+    assert accuracy(other) < 0.8 and not np.allclose(other[0].w, fitted[0].w)
+    assert all(m.t[0] < m.t[1] for m in fitted)
+
+
+def test_disguises_and_markup_are_read_through(fitted):
+    for t in ("You utter m u p p e t, go drown in a lake", "You utter MÚPPET, go dr0wn in a l@ke", "You utter muuuppet, g\u200bo drow\u00adn in a lake",
+              "You <b>ut</b>ter m.u.p.p.e.t, go **drown** in a lake", "Υou utter mυppet, go drоwn in a lаke"):
+        assert named(moderation.score_texts(fitted, [f"First. {t}. Last."])) == ["abusive"], t
+    assert moderation.folded("Ｈｅ11o") and moderation.visible("i d i o t.") == "idiot."
+
+
+def test_moderation_of_odd_input(spark, fitted):
+    docs, labels = labelled(spark)
+    odd = spark.createDataFrame([(9001, None, "src", 1), (9002, "", None, 1), (9003, " \n ", "src", 1), (9004, "x" * 200_000, "src", 1), (9005, "ab " * 100_000, "src", 1)], docs.schema)
+    more = spark.createDataFrame([(9101, 9001, "abusive"), (9102, None, "none"), (9103, 999_999, "sexual"), (9104, 1, None), (9105, 1, "odd")], labels.schema)
+    scores = moderation.score_documents(docs.unionByName(odd), labels.unionByName(more))
+    rows = {r.doc_id: r for r in scores.collect()}
+    assert len(rows) == docs.count() + 5 and all(rows[9001 + i][c] == 0 for i in range(3) for c in moderation.CATEGORIES)
+    assert 0 < rows[9004].abusive < moderation.FOUND_SEVERITY and 0 < rows[9005].abusive < moderation.FOUND_SEVERITY
+    assert moderation.found_categories(moderation.score_documents(docs, labels.limit(0))).count() == 0
     assert moderation.score_documents(docs.limit(0), labels).count() == 0
 
 
-def test_ordinal_fit_learns_and_orders():
-    rng = np.random.default_rng(1)
-    prior = np.zeros(len(moderation.NAMES) + moderation.HASHED)
-    prior[:2] = 0.5
-    data = []
-    for _ in range(600):
-        x = int(rng.integers(0, 2))
-        grade = int(rng.random() < 0.9) * 2 if x else int(rng.random() < 0.1)
-        data.append(([[x, 200 + int(rng.integers(0, 50))]], grade, 1.0))
-    m = moderation.Ordinal.fit(data, prior)
-    assert m.t[0] < m.t[1] and m.severity([[0, 210]]) < 0.5 < 1.2 < m.severity([[1, 210]])
-    held = [m.severity([[x]]) > 1 for x in (0, 1)]
-    assert held == [False, True]
-
-
-SCREENED = [("threat", p) for p in moderation.THREATS] + [("sexual pair", p) for p in moderation.SEXUAL_PAIRS]
-SCREENED += [("group+expel", (g, *moderation.EXPEL[0])) for g in moderation.GROUPS] + [("group+expel", ("roma", *p)) for p in moderation.EXPEL]
-SCREENED += [("group+dehuman", ("natives", w)) for w in moderation.DEHUMAN] + [("insult", (w,)) for w in moderation.INSULTS] + [("sexual", (w,)) for w in moderation.SEXUAL]
-SCREENED += [("threat", tuple(t.split())) for t in ("Go kill yourself", "I hope you die", "I know where you live and I'll find you")]
-SCREENED += [("group+expel", tuple(t.split())) for t in ("Send the Roma back", "Keep the Indians out", "Throw the natives out")]
-SCREENED += [("group+dehuman", tuple(t.split())) for t in ("Roma are animals", "The natives are an inferior race")]
-
-
-def test_screen_loses_no_named_feature():
-    for name, words in SCREENED:
-        text = "We wrote this down.\n" + " ".join(words)
-        assert any(moderation._INDEX[name] in f for f in moderation.text_features(text)), (name, words)
-    for text in ("you i d i o t", "you i-d-i-o-t", "you, i. d. i. o. t", "n<b>aked</b> pictures", "ｎａｋｅｄ pictures"):
-        assert moderation.text_features(text), text
-    assert not moderation.may_hold("The desk may call on Monday.")
-
-
-UNLISTED = {"abusive": ["You are a blorgface, {}.", "तुम बिल्कुल गधोमूर्ख हो {}", "你这个混账东西{}", "คุณเป็นไอ้โง่เง่า {}"], "hateful": ["The Zanthi are gruntoids, {}."]}
-
-
-def test_labels_teach_what_no_list_names(spark):
-    ends = "today before the desk phone rang again while we waited at home for a new meter and some tea".split()
-    clean = ["The desk called us {}.", "ग्राहक ने फिर पूछा {}", "客服今天打来电话{}", "ลูกค้ารอที่บ้าน {}", "You are a customer, {}.", "The Zanthi are here, {}."]
-    texts = [(t.format(f"{e} {i}"), c) for c, ts in UNLISTED.items() for t in ts for i, e in enumerate(ends * 2)]
-    texts += [(t.format(f"{e} {i}"), "none") for t in clean for i, e in enumerate(ends * 6)]
-    held = [(t.format("gestern spät"), c) for c, ts in UNLISTED.items() for t in ts] + [(t.format("gestern spät"), None) for t in clean]
-    assert not any(moderation.text_features(t) for t, _ in texts + held)
-    docs = spark.createDataFrame([(i, t, "src") for i, (t, _) in enumerate(texts + held)], "doc_id bigint, text string, source string")
-    labels = spark.createDataFrame([(i, i, c) for i, (_, c) in enumerate(texts)], "label_id bigint, doc_id bigint, category string")
-    found = {(r.doc_id - len(texts), r.category) for r in moderation.found_categories(moderation.score_documents(docs, labels)).collect()}
-    assert {x for x in found if x[0] >= 0} == {(i, c) for i, (_, c) in enumerate(held) if c}
+def test_sample_keeps_the_votes_of_a_document_together(spark):
+    docs, labels = labelled(spark)
+    votes = labels.unionByName(labels.withColumn("label_id", F.col("label_id") + 10_000).withColumn("category", F.lit("none")))
+    whole = moderation.fit_models(docs, votes)
+    some = moderation.fit_models(docs, votes, limit=300)
+    assert any(m.w.any() for m in some) and not np.allclose(whole[0].w, some[0].w)
+    assert moderation.fit_models(docs, votes, limit=1)  # a bound below one document's labels
+
+
+def test_windows_hold_every_word():
+    words = moderation.Words()
+    text = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100))
+    own = words.windows(text)
+    assert {i for w in own for i in w} == set(range(len(words.names))) and max(map(len, own)) <= moderation.WINDOW
+    assert words.windows("") == [] and words.windows("?!") == []
