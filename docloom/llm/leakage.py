@@ -1,27 +1,32 @@
 """Held-out passages inside a corpus, by latent semantic retrieval.
 
 1. One pass over the corpus reads each text as words (NFKC, lower case, no
-   markup, no invisible characters), counts document frequencies of the query
-   vocabulary over all documents, and keeps the segments that could hold a
-   passage: twelve or more query words with gaps of at most two other words.
-   Twelve consecutive words of an item are all query words, so nothing is lost.
-2. Segments and items are cut into overlapping windows, weighted by TF-IDF.
-   A distributed randomised SVD (range finder with power iterations; only
-   vocabulary-by-rank partial sums travel) gives the latent space.
-3. Windows whose latent cosine with an item window is high enough, and exact
-   runs of item words whatever their cosine, make the document a candidate; the query set is held against all
-   windows in blocks.
-4. Candidates are checked: the longest run of consecutive item words for
-   verbatim leaks; for paraphrases, on every window pair, the longest common
-   subsequence and the content words (the "answer": the window's rarest words).
+   markup, no invisible characters) and hashes them to 64 bits. It counts the
+   document frequencies of a hashed vocabulary of fixed width over all documents
+   and keeps the passages: stretches of text in which enough words are words of
+   the items. What runs and alignments could accept lies in them.
+2. Passages and items are cut into windows of twelve words at every position,
+   weighted by TF-IDF. A distributed randomised SVD (subspace iteration; blocks
+   of partial sums are added up before they reach the driver) gives the latent
+   space. It is fitted on about FIT_WINDOWS windows, a documented bound, and on
+   the items; every passage is then searched.
+3. Passages with a window whose latent cosine with a window of an item is at
+   least LEAST_COSINE are that item's candidates. A verbatim leak gives two equal
+   windows, whose cosine is one: no threshold below one can miss it.
+4. Candidates are checked: a common run of twelve words for verbatim leaks; for
+   paraphrases the longest common subsequence of stretches, and of the whole
+   item, and the content words (the "answer": a stretch's rarest words).
 
 Defined cases: null, blank and wordless texts contain nothing; items below
-twelve words cannot leak verbatim; items that share wording are all reported.
+twelve words cannot leak; items that share wording are all reported; copies of
+a text are reported alike.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -33,13 +38,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from docloom.session import materialise, spread
 
-RUN = 12  # consecutive words that make a verbatim leak
-GAP = 2  # foreign words that a segment may hold in a row
-WINDOW, STRIDE = 18, 6  # any run of twelve lies whole in some window
-RANK, OVERSAMPLE, POWER = 64, 16, 2
-LEAST_COSINE = 0.35
-MAX_QUERY_WORDS = 20_000_000  # words of all held-out items that the driver may hold
-
 # tags that may stand inside a word's line (fixed values); others separate words
 _INLINE = r"</?(?:a|abbr|b|big|code|em|font|i|ins|kbd|mark|s|small|span|strike|strong|sub|sup|tt|u)\b[^<>]*>"
 _STRIP = [
@@ -84,229 +82,391 @@ def words_of(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
-class Items:
-    """The query set: bounded, held by the driver and sent to the workers once."""
+# --- words as numbers --------------------------------------------------------------------
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        words = [(i, words_of(t)) for i, t in rows]
-        vocabulary = sorted({w for _, ws in words for w in ws})
-        self.index = {w: k for k, w in enumerate(vocabulary)}
-        self.items = [(i, np.array([self.index[w] for w in ws], dtype=np.int32)) for i, ws in words if ws]
-        self.runs: dict[tuple, set[int]] = {}
-        for n, (_, ids) in enumerate(self.items):
-            line = ids.tolist()
-            for k in range(len(line) - RUN + 1):
-                self.runs.setdefault(tuple(line[k : k + RUN]), set()).add(n)
+RUN = 12  # consecutive words that make a verbatim leak; also the length of the windows
+RANK, OVERSAMPLE, POWER = 64, 16, 2
+LEAST_COSINE = 0.35
+DIMENSIONS = 1 << 12  # hashed vocabulary of the items
+MEMBERS = 1 << 21  # places of the bitmap that tells item words from others
+FIT_WINDOWS = 100_000  # windows that the latent space is fitted on, beside the items' own
+BLOCK_WORDS = 20_000  # item words that are searched at once
+STRETCH, STEP = 18, 6  # stretches that are aligned for paraphrases
+ALIKE, ANSWERS, ANSWER_SHARE = 0.6, 8, 0.75
 
 
-def windows(ids: np.ndarray) -> list[np.ndarray]:
-    """Overlapping windows; the last one is flush with the end."""
-    n = len(ids)
-    starts = list(range(0, max(n - WINDOW, 0) + 1, STRIDE))
-    if starts[-1] + WINDOW < n:
-        starts.append(n - WINDOW)
-    return [ids[s : s + WINDOW] for s in starts]
+class Numbers:
+    """64-bit hashes of words, each computed once per worker."""
+
+    MOST = 1_000_000
+
+    def __init__(self):
+        self.of: dict[str, int] = {}
+
+    def line(self, text: str | None) -> np.ndarray:
+        words = words_of(text)
+        get, known = self.of.get, self.of
+        if len(known) > self.MOST:
+            known.clear()
+        out = [get(w) for w in words]
+        for i, x in enumerate(out):
+            if x is None:
+                w = words[i]
+                out[i] = known[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big", signed=True)
+        return np.array(out, np.int64)
+
+
+def dimension(ids: np.ndarray) -> np.ndarray:
+    return ids & (DIMENSIONS - 1)
+
 
+def place(ids: np.ndarray) -> np.ndarray:
+    return (ids >> 24) & (MEMBERS - 1)
 
-def segments(ids: np.ndarray) -> list[np.ndarray]:
-    """Stretches with at least RUN query words and gaps of at most GAP others (-1)."""
-    at = np.flatnonzero(ids >= 0)
-    if len(at) < RUN:
+
+def least_shared(shortest: int) -> int:
+    """Item words that a stretch must hold to be alike to a stretch of some item."""
+    return math.ceil(ALIKE * min(max(shortest, RUN), STRETCH))
+
+
+def passages_of(ids: np.ndarray, member: np.ndarray, least: int) -> list[np.ndarray]:
+    """What of a text is covered by stretches that hold at least ``least`` item words.
+
+    A verbatim run holds RUN of them, a stretch that is alike at least ``least``.
+    """
+    n = len(ids)
+    if n <= STRETCH:
+        return [ids] if member.sum() >= least else []
+    count = np.concatenate([[0], np.cumsum(member)])
+    starts = np.flatnonzero(count[STRETCH:] - count[:-STRETCH] >= least)
+    if not len(starts):
         return []
-    cuts = np.flatnonzero(np.diff(at) > GAP + 1) + 1
-    firsts, lasts = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(at)]])
-    return [ids[at[a] : at[b - 1] + 1] for a, b in zip(firsts, lasts) if b - a >= RUN]
+    cuts = np.flatnonzero(np.diff(starts) > STRETCH) + 1
+    firsts, lasts = starts[np.concatenate([[0], cuts])], starts[np.concatenate([cuts - 1, [len(starts) - 1]])]
+    return [ids[a : b + STRETCH] for a, b in zip(firsts, lasts)]
 
 
-PASSAGES = "kind int, doc_id bigint, lists array<array<int>>"
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item_id, ids of the items."""
+    numbers = Numbers()
+    for b in batches:
+        lines = [numbers.line(t).tolist() for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lines, pa.list_(pa.int64()))], names=["item_id", "ids"])
 
 
-def _read(index: dict[str, int]):
-    """Pass 1: segments per document (kind 0), partial document frequencies (kind 1)."""
+PASSAGES = "doc_id bigint, lists array<array<bigint>>, dims array<int>, counts array<bigint>, documents bigint"
+_PASSAGES = pa.schema([
+    ("doc_id", pa.int64()), ("lists", pa.list_(pa.list_(pa.int64()))), ("dims", pa.list_(pa.int32())),
+    ("counts", pa.list_(pa.int64())), ("documents", pa.int64()),
+])
+
+
+def _read(packed: bytes, least: int):
+    """Pass 1: passages of each document; partial document frequencies of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, size = index.get, len(index)
-        frequency = np.zeros(size + 1, dtype=np.int64)
-        schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("lists", pa.list_(pa.list_(pa.int32())))])
-        documents = 0
+        bitmap = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        numbers, frequency, documents = Numbers(), np.zeros(DIMENSIONS, np.int64), 0
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 documents += 1
-                words = words_of(text)
-                if not words:
-                    continue
-                ids = np.array([get(w, -1) for w in words], dtype=np.int32)
-                frequency[np.unique(ids)] += 1  # -1 counts in the spare last place
-                found = segments(ids)
+                ids = numbers.line(text)
+                member = bitmap[place(ids)]
+                frequency[np.unique(dimension(ids[member]))] += 1
+                found = passages_of(ids, member, least)
                 if found:
-                    rows.append((0, doc_id, [s.tolist() for s in found]))
+                    rows.append((doc_id, [s.tolist() for s in found], None, None, None))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-        partial = [list(range(size)), frequency[:size].tolist(), [documents]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([1], [None], [partial]), schema)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PASSAGES)], schema=_PASSAGES)
+        held = np.flatnonzero(frequency)
+        last = (None, None, held.tolist(), frequency[held].tolist(), documents)
+        yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(last, _PASSAGES)], schema=_PASSAGES)
 
     return run
 
 
-def _weights(batch: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
-    """Dense TF-IDF rows, of length one, of a block of windows."""
-    out = np.zeros((len(batch), len(idf)))
-    for r, w in enumerate(batch):
-        w = w[w >= 0]
-        np.add.at(out[r], w, 1.0)
-    out = np.log1p(out) * idf
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
+# --- latent space ------------------------------------------------------------------------
+
+
+def window_rows(lists: list[np.ndarray], weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Latent rows of all windows of some stretches, and the stretch each belongs to.
+
+    Term weights add up along a window, so running sums of the weighted basis
+    give all windows at the cost of one row per word.
+    """
+    rows, owner = [], []
+    for k, ids in enumerate(lists):
+        d = dimension(ids)
+        sums = np.concatenate([np.zeros((1, basis.shape[1])), np.cumsum(weight[d, None] * basis[d], axis=0, dtype=np.float64)])
+        width = min(RUN, len(ids))
+        rows.append(sums[width:] - sums[:-width])
+        owner.append(np.full(len(ids) - width + 1, k))
+    return np.concatenate(rows), np.concatenate(owner)
 
 
-def _blocks(column: pa.Array, size: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Windows of documents in blocks, with the row each belongs to."""
-    owner, block = [], []
-    for r, lists in enumerate(column.to_pylist()):
-        for s in lists:
-            for w in windows(np.array(s, dtype=np.int32)):
-                owner.append(r)
-                block.append(w)
-                if len(block) == size:
-                    yield owner, block
-                    owner, block = [], []
-    if block:
-        yield owner, block
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def _block_size(vocabulary: int) -> int:
-    return max(16, min(1024, 4_000_000 // max(vocabulary, 1)))
+BLOCKS = 16
 
 
-def _project(basis: np.ndarray, idf: np.ndarray):
-    """Partial sums of A'(A Q) over the windows of a partition."""
+def _project(basis: np.ndarray, weight: np.ndarray):
+    """Partial sums of A'(A Q) over the windows of a partition, as blocks of rows.
+
+    A window's row of A holds the weights of its words, over the root of its length.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(basis)
         for b in batches:
-            for _, block in _blocks(b.column(0), _block_size(len(idf))):
-                a = _weights(block, idf)
-                total += a.T @ (a @ basis)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(idf)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["row", "x"]
-        )
+            for lists in b.column(0).to_pylist():
+                for ids in lists:
+                    ids = np.array(ids, np.int64)
+                    if not len(ids):
+                        continue
+                    z, _ = window_rows([ids], weight, basis)
+                    # each word adds its weight times the sum of the rows of the windows it stands in
+                    width = min(RUN, len(ids))
+                    sums = np.concatenate([np.zeros((1, z.shape[1])), np.cumsum(z, axis=0)])
+                    at = np.arange(len(ids))
+                    held = sums[np.minimum(at + 1, len(z))] - sums[np.maximum(at - width + 1, 0)]
+                    np.add.at(total, dimension(ids), weight[dimension(ids), None] * held / width)
+        size = DIMENSIONS // BLOCKS
+        parts = [total[k * size : (k + 1) * size].astype(np.float64).tobytes() for k in range(BLOCKS)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=["block", "x"])
 
     return run
 
 
-def latent_space(passages: DataFrame, queries: list[np.ndarray], idf: np.ndarray, seed: int = 7) -> np.ndarray:
-    """Right singular vectors (vocabulary by rank) of all passage windows and the
-    query windows, by randomised subspace iteration on A'A."""
-    size = len(idf)
-    rank = min(RANK + OVERSAMPLE, size)
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, rank)))[0]
-    own = _weights(queries, idf)
+def _sum_blocks(t: pa.Table) -> pa.Table:
+    x = sum(np.frombuffer(v, np.float64) for v in t.column("x").to_pylist())
+    return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "x": pa.array([x.tobytes()], pa.binary())})
+
+
+def latent_space(lines: DataFrame, weight: np.ndarray, seed: int = 7) -> np.ndarray:
+    """Right singular vectors (dimensions by rank) of the windows of ``lines``
+    (lists array<array<bigint>>), by randomised subspace iteration on A'A."""
+    rank = RANK + OVERSAMPLE
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((DIMENSIONS, rank)))[0]
     for _ in range(POWER):
-        parts = passages.select("lists").mapInArrow(_project(basis, idf), "row int, x array<double>")
-        summed = parts.select("row", F.posexplode("x").alias("col", "v")).groupBy("row", "col").agg(F.sum("v").alias("v"))
-        total = own.T @ (own @ basis)  # the sum has vocabulary x rank numbers, whatever the corpus holds
-        for r in summed.collect():
-            total[r["row"], r["col"]] += r["v"]
-        basis, values, _ = np.linalg.svd(total, full_matrices=False)
-    return basis[:, : min(RANK, size)]
+        parts = lines.mapInArrow(_project(basis.astype(np.float32), weight), "block int, x binary")
+        summed = parts.groupBy("block").applyInArrow(_sum_blocks, "block int, x binary").collect()  # 16 blocks
+        total = np.concatenate([np.frombuffer(r.x, np.float64) for r in sorted(summed, key=lambda r: r.block)]).reshape(DIMENSIONS, rank)
+        basis = np.linalg.svd(total, full_matrices=False)[0]
+    return basis[:, :RANK]
 
 
-def _common_subsequence(a: list[int], b: list[int]) -> int:
-    row = [0] * (len(b) + 1)
-    for x in a:
-        corner = 0
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], corner + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+# --- search and checks --------------------------------------------------------------------
 
 
-def _longest_run(a: list[int], b: list[int]) -> int:
-    best, row = 0, [0] * (len(b) + 1)
+def common_subsequence(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence, by bits of one machine-long number."""
+    places: dict[int, int] = {}
+    for j, y in enumerate(b):
+        places[y] = places.get(y, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
     for x in a:
-        for j in range(len(b), 0, -1):
-            row[j] = row[j - 1] + 1 if x == b[j - 1] else 0
-            best = max(best, row[j])
-    return best
+        own = row & places.get(x, 0)
+        row = (row + own | row - own) & full
+    return len(b) - row.bit_count()
+
+
+def stretches(n: int) -> list[tuple[int, int]]:
+    """Overlapping stretches of a line; the last one is flush with the end."""
+    starts = list(range(0, max(n - STRETCH, 0) + 1, STEP))
+    if starts[-1] + STRETCH < n:
+        starts.append(n - STRETCH)
+    return [(s, min(s + STRETCH, n)) for s in starts]
+
+
+class Item:
+    """One held-out item: its runs for the exact check, its stretches for the alignment."""
+
+    def __init__(self, item_id: int, ids: np.ndarray, weight: np.ndarray):
+        self.item_id, self.ids = item_id, ids.tolist()
+        self.runs = {tuple(self.ids[k : k + RUN]) for k in range(len(self.ids) - RUN + 1)}
+        self.parts = []
+        rare = dict(zip(self.ids, weight[dimension(ids)].tolist()))
+        for a, b in stretches(len(self.ids)):
+            own = self.ids[a:b]
+            answer = set(sorted(set(own), key=lambda x: (-rare[x], x))[:ANSWERS])
+            self.parts.append((own, Counter(own), answer))
+
+    def alignment(self, line: list[int], held: set[int]) -> tuple[int, float] | None:
+        """Words in common, in order, and share of answer words found in the document, of the
+        best stretch (or the item as a whole) that is alike; None if none is."""
+        best = None
+        own = [(line[a:b], Counter(line[a:b])) for a, b in stretches(len(line))]
+        for words, bag, answer in self.parts:
+            share = len(answer & held) / len(answer)
+            if share < ANSWER_SHARE:
+                continue
+            least = ALIKE * len(words)
+            for mine, mine_bag in own:
+                if (mine_bag & bag).total() >= least:
+                    common = common_subsequence(mine, words)
+                    if common >= least:
+                        best = max(best or (0, 0.0), (common, share))
+        whole = common_subsequence(line, self.ids)
+        if best:
+            return max(whole, best[0]), best[1]
+        answers = set().union(*(a for *_, a in self.parts))
+        share = len(answers & held) / len(answers)
+        return (whole, share) if len(line) <= 2 * len(self.ids) and whole >= ALIKE * len(self.ids) and share >= ANSWER_SHARE else None
+
+
+    def alike_anywhere(self, ids: np.ndarray, held: set[int]) -> bool:
+        """As ``alignment`` of stretches, at every position of a text."""
+        for words, _, answer in self.parts:
+            if len(answer & held) < ANSWER_SHARE * len(answer):
+                continue
+            least, width = ALIKE * len(words), min(STRETCH, len(ids))
+            count = np.concatenate([[0], np.cumsum(np.isin(ids, words))])
+            for a in np.flatnonzero(count[width:] - count[:-width] >= least).tolist():
+                if common_subsequence(ids[a : a + width].tolist(), words) >= least:
+                    return True
+        return False
 
 
 FOUND = "doc_id bigint, item_id bigint, verbatim boolean, cosine double, common_words int, answer_share double"
+_FOUND = pa.schema([
+    ("doc_id", pa.int64()), ("item_id", pa.int64()), ("verbatim", pa.bool_()), ("cosine", pa.float64()),
+    ("common_words", pa.int32()), ("answer_share", pa.float64()),
+])
 
 
-def _search(items: Items, space: np.ndarray, idf: np.ndarray, least: float, paraphrases: bool):
-    """Pass 3 and 4: latent search of the items, then the checks."""
+def _search(block: list[tuple[int, list[int]]], space: np.ndarray, weight: np.ndarray, least: float, paraphrases: bool):
+    """Latent search of a block of items among the passages, then the checks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owners = np.array([n for n, (_, ids) in enumerate(items.items) for _ in windows(ids)])
-        parts = [w for _, ids in items.items for w in windows(ids)]
-        ends = np.searchsorted(owners, np.arange(len(items.items) + 1))
-        places = [slice(a, b) for a, b in zip(ends, ends[1:])]
-        q = _weights(parts, idf) @ space
-        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-        answers = [set(sorted(set(w.tolist()), key=lambda x: -idf[x])[:8]) for w in parts]
-        lines, bags = [w.tolist() for w in parts], [Counter(w.tolist()) for w in parts]
-        schema = pa.schema([
-            ("doc_id", pa.int64()), ("item_id", pa.int64()), ("verbatim", pa.bool_()), ("cosine", pa.float64()),
-            ("common_words", pa.int32()), ("answer_share", pa.float64()),
-        ])
+        lines = [np.array(ids, np.int64) for _, ids in block]
+        items = [Item(i, ids, weight) for (i, _), ids in zip(block, lines)]
+        q, owner = window_rows(lines, weight, space)
+        q, firsts = np.ascontiguousarray(_unit(q).T), np.searchsorted(owner, np.arange(len(items)))
         for b in batches:
-            docs, best, passed = b.column(0).to_pylist(), {}, {}
-            lists, rows = b.column(1).to_pylist(), []
-            # verbatim runs are exact and need no cosine
-            runs = [{n for s in own for k in range(len(s) - RUN + 1) for n in items.runs.get(tuple(s[k : k + RUN]), ())} for own in lists]
-            held = [{w for s in own for w in s} for own in lists] if paraphrases else []
-            for owner, block in _blocks(b.column(1), _block_size(len(idf))):
-                x = _weights(block, idf) @ space
-                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-                cosine = x @ q.T
-                for r, o in enumerate(owner):
-                    for n in runs[o]:
-                        best[o, n] = max(best.get((o, n), -1.0), float(cosine[r, places[n]].max()))
-                for r, c in zip(*np.nonzero(cosine >= least)):
-                    key = (owner[r], int(owners[c]))
-                    best[key] = max(best.get(key, -1.0), float(cosine[r, c]))
-                    if paraphrases:
-                        # every window pair is checked; the common words bound the common subsequence
-                        enough = 0.6 * len(lines[c])
-                        if (Counter(block[r].tolist()) & bags[c]).total() < enough:
-                            continue
-                        share = len(answers[c] & held[owner[r]]) / max(len(answers[c]), 1)
-                        if share < 0.75:
-                            continue
-                        common = _common_subsequence(block[r].tolist(), lines[c])
-                        if common >= enough:
-                            passed[key] = max(passed.get(key, (0, 0.0)), (common, share))
-            for (r, n), cos in sorted(best.items()):
-                verbatim = n in runs[r]
-                if verbatim or (r, n) in passed:
-                    rows.append((docs[r], items.items[n][0], verbatim, cos, *passed.get((r, n), (None, None))))
+            rows = []
+            for doc_id, lists in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held = {w for s in lists for w in s} if paraphrases else set()
+                found: dict[int, tuple] = {}
+                for line in lists:
+                    runs = {tuple(line[k : k + RUN]) for k in range(len(line) - RUN + 1)}
+                    x = _unit(window_rows([np.array(line, np.int64)], weight, space)[0])
+                    best = np.full(len(items), -1.0, np.float32)
+                    for k in range(0, len(x), 512):
+                        best = np.maximum(best, np.maximum.reduceat((x[k : k + 512] @ q).max(axis=0), firsts))
+                    for n in np.flatnonzero(best >= least).tolist():
+                        old = found.get(n, (False, -1.0, None))
+                        verbatim = old[0] or not items[n].runs.isdisjoint(runs)
+                        aligned = items[n].alignment(line, held) if paraphrases else None
+                        found[n] = (verbatim, max(old[1], float(best[n])), max(filter(None, (old[2], aligned)), default=None))
+                for n, (verbatim, cosine, aligned) in sorted(found.items()):
+                    if verbatim or aligned:
+                        rows.append((doc_id, items[n].item_id, verbatim, cosine, *(aligned or (None, None))))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FOUND)], schema=_FOUND)
 
     return run
 
 
+def held_out(heldout: DataFrame) -> DataFrame:
+    """item_id, ids of the items that are long enough to leak."""
+    numbered = heldout.select("item_id", "text").where("text is not null").mapInArrow(_numbered, "item_id bigint, ids array<bigint>")
+    return materialise(numbered.where(F.size("ids") >= RUN), "items")
+
+
+def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[int, list[int]]]:
+    return [(r.item_id, r.ids) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()]
+
+
+def _read_corpus(docs: DataFrame, items: DataFrame, shortest: int) -> tuple[DataFrame, np.ndarray]:
+    """Passages of the documents, and the inverse document frequencies."""
+    bitmap = np.zeros(MEMBERS, np.uint8)
+    places = items.select(F.explode("ids").alias("w")).select(F.shiftright("w", 24).bitwiseAND(F.lit(MEMBERS - 1).cast("bigint")).alias("p")).distinct()
+    bitmap[[r.p for r in places.collect()]] = 1  # at most MEMBERS places
+    read = _read(np.packbits(bitmap).tobytes(), least_shared(shortest))
+    table = materialise(spread(docs.select("doc_id", "text")).mapInArrow(read, PASSAGES), "passages")
+    counts = np.zeros(DIMENSIONS)
+    sums = table.where("documents is not null").select(F.inline(F.arrays_zip("dims", "counts"))).groupBy("dims").agg(F.sum("counts").alias("c"))
+    for r in sums.collect():
+        counts[r.dims] = r.c
+    n_docs = table.agg(F.sum("documents")).first()[0] or 0
+    return table.where("lists is not null").select("doc_id", "lists"), (np.log((1 + n_docs) / (1 + counts)) + 1).astype(np.float32)
+
+
 def leaks(docs: DataFrame, heldout: DataFrame, least: float = LEAST_COSINE, paraphrases: bool = False) -> DataFrame:
     """doc_id, item_id of each document and item that leaked into it (see FOUND).
 
-    The items are the query set: their number is a property of the test suites,
-    not of the corpus. Above MAX_QUERY_WORDS they must be given in blocks.
+    The items are the query set. They are searched in blocks of about BLOCK_WORDS
+    words, all in one space; what travels to the workers is a bitmap (256 KB), the
+    space (1 MB) and one block of items, whatever the tables hold.
     """
     spark = docs.sparkSession
-    volume = heldout.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    if volume > 2 * MAX_QUERY_WORDS:
-        raise ValueError("held-out set above the bound for one query block; call leaks() for blocks of it")
-    items = Items([(r.item_id, r.text) for r in heldout.select("item_id", "text").where("text is not null").collect()])
-    if not items.items:
+    items = held_out(heldout)
+    total, shortest = items.agg(F.sum(F.size("ids")), F.min(F.size("ids"))).first()
+    if not total:
         return spark.createDataFrame([], FOUND)
-    read = materialise(spread(docs.select("doc_id", "text")).mapInArrow(_read(items.index), PASSAGES), "passages")
-    counts = np.zeros(len(items.index))
-    n_docs = 0
-    df = read.where("kind = 1").select(F.arrays_zip(F.get("lists", F.lit(0)), F.get("lists", F.lit(1))).alias("z"), F.get(F.get("lists", F.lit(2)), F.lit(0)).alias("n"))
-    n_docs = df.agg(F.sum("n")).first()[0] or 0
-    for r in df.select(F.inline("z")).toDF("w", "c").groupBy("w").agg(F.sum("c").alias("c")).collect():
-        counts[r.w] = r.c
-    idf = np.log((1 + n_docs) / (1 + counts)) + 1
-    passages = read.where("kind = 0").select("doc_id", "lists")
-    space = latent_space(passages, [w for _, ids in items.items for w in windows(ids)], idf)
-    return passages.mapInArrow(_search(items, space, idf, least, paraphrases), FOUND)
+    passages, weight = _read_corpus(docs, items, shortest)
+    size = F.aggregate("lists", F.lit(0), lambda a, x: a + F.size(x))
+    n_words = passages.agg(F.sum(size)).first()[0] or 0
+    # a share of the documents that holds about FIT_WINDOWS windows, and every item, fit the space
+    share = int(min(1.0, FIT_WINDOWS / max(n_words, 1)) * (1 << 20))
+    fitted = passages.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("lists").unionByName(items.select(F.array("ids").alias("lists")))
+    space = latent_space(fitted, weight).astype(np.float32)
+    blocks = -(-int(total) // BLOCK_WORDS)
+    found = spark.createDataFrame([], FOUND) if blocks > 1 else None
+    for k in range(blocks):
+        block = _block(items, k, blocks)
+        if block:
+            part = passages.mapInArrow(_search(block, space, weight, least, paraphrases), FOUND)
+            found = part if found is None else found.unionByName(part)
+    return found
+
+
+# --- recall --------------------------------------------------------------------------------
+
+
+def _brute(block: list[tuple[int, list[int]]], weight: np.ndarray):
+    """All (document, item) pairs that the checks accept, on whole texts and at every
+    position, without passages, space or cosine."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
+        items = [Item(i, np.array(ids, np.int64), weight) for i, ids in block]
+        for b in batches:
+            rows = []
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids = numbers.line(text)
+                line = ids.tolist()
+                held = set(line)
+                runs = {tuple(line[k : k + RUN]) for k in range(len(line) - RUN + 1)}
+                for item in items:
+                    verbatim = not item.runs.isdisjoint(runs)
+                    if verbatim or item.alike_anywhere(ids, held):
+                        rows.append((doc_id, item.item_id, verbatim, None, None, None))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FOUND)], schema=_FOUND)
+
+    return run
+
+
+def recall(docs: DataFrame, heldout: DataFrame) -> DataFrame:
+    """kind, n_true, n_found: leaks of the documents whose id is divisible by 50, by brute
+    force and by the search."""
+    spark = docs.sparkSession
+    items = held_out(heldout)
+    total, shortest = items.agg(F.sum(F.size("ids")), F.min(F.size("ids"))).first()
+    if not total:
+        return spark.createDataFrame([], "kind string, n_true bigint, n_found bigint")
+    _, weight = _read_corpus(docs, items, shortest)
+    asked = docs.where(F.col("doc_id") % 50 == 0)
+    blocks = -(-int(total) // BLOCK_WORDS)
+    true = spark.createDataFrame([], FOUND)
+    for k in range(blocks):
+        true = true.unionByName(spread(asked.select("doc_id", "text")).mapInArrow(_brute(_block(items, k, blocks), weight), FOUND))
+    found = leaks(docs, heldout, paraphrases=True).select(F.col("doc_id").alias("f_doc"), F.col("item_id").alias("f_item"))
+    hit = true.join(found, (F.col("doc_id") == F.col("f_doc")) & (F.col("item_id") == F.col("f_item")), "left")
+    kind = F.when(F.col("verbatim"), "verbatim").otherwise("paraphrased")
+    return hit.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_true"), F.count("f_doc").alias("n_found"))

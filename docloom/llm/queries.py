@@ -64,6 +64,11 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p9_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Leaks of every fiftieth document by brute force, and how many of them the search finds."""
+    return leakage.recall(table(spark, d, "documents"), table(spark, d, "heldout_items"))
+
+
 def _scores(spark: SparkSession, d: str) -> DataFrame:
     return moderation.score_documents(table(spark, d, "documents"), table(spark, d, "review_labels"))
 
@@ -82,7 +87,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return _scores(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), *flag)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items, p9_recall, p10_found, p10_scores, p10_rates)}
 
 SQL = {
     "p7_found": """

@@ -249,14 +249,65 @@ def test_paraphrases(spark):
     h = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
     r = leakage.leaks(d, h, paraphrases=True).collect()
     assert [(x.doc_id, x.item_id, x.verbatim) for x in r] == [(1, 1, False)]
-    assert leakage._longest_run([1, 2, 3, 9], [0, 2, 3, 4]) == 2
 
 
-def test_verbatim_runs_need_no_cosine(spark):
-    d = spark.createDataFrame([(1, "Intro. " + ITEM), (2, "plain words only")], "doc_id bigint, text string")
-    h = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
-    r = leakage.leaks(d, h, least=2.0).collect()  # no pair reaches this cosine
-    assert [(x.doc_id, x.item_id, x.verbatim) for x in r] == [(1, 1, True)] and r[0].cosine > 0.3
+@given(st.lists(st.integers(0, 4), max_size=40), st.lists(st.integers(0, 4), max_size=40))
+@settings(max_examples=150, deadline=None)
+def test_common_subsequence_against_the_table(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        corner = 0
+        for j, y in enumerate(b, 1):
+            corner, row[j] = row[j], corner + 1 if x == y else max(row[j], row[j - 1])
+    assert leakage.common_subsequence(a, b) == row[-1]
+
+
+def test_windows_of_running_sums_against_single_ones():
+    rng = np.random.default_rng(3)
+    ids, basis, weight = rng.integers(-(2**62), 2**62, 40), rng.standard_normal((leakage.DIMENSIONS, 5)), rng.random(leakage.DIMENSIONS)
+    rows, owner = leakage.window_rows([ids, ids[:7]], weight, basis)
+    want = [sum(weight[x] * basis[x] for x in leakage.dimension(w)) for w in [*(ids[k : k + leakage.RUN] for k in range(29)), ids[:7]]]
+    assert np.allclose(rows, want) and owner.tolist() == [0] * 29 + [1]
+
+
+def planted(rng, n_items=30, n_docs=400):
+    """Items of made-up words, and documents of which some hold an item verbatim or reworded."""
+    words = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "su", "te") for b in ("ran", "vel", "dor", "pim") for c in ("", "s", "ed", "ing", "er", "on")]
+    common = "the of and to in is it for on with".split()
+    text = lambda n, pool: [str(x) for x in rng.choice(pool, n)]
+    items = [text(int(rng.integers(14, 45)), words + common) for _ in range(n_items)]
+    docs = []
+    for i in range(n_docs):
+        line = text(60, [f"z{k}" for k in range(400)] + common)
+        if i % 5 == 0:
+            own = list(items[int(rng.integers(n_items))])
+            for k in rng.choice(len(own), len(own) // 8 if i % 10 else 0, replace=False):
+                own[k] = "changed"
+            line[20:20] = own
+        docs.append((50 * i, " ".join(line)))
+    return docs, [(i, " ".join(w)) for i, w in enumerate(items)]
+
+
+@pytest.mark.parametrize("block_words", [100, 20_000])
+def test_recall_against_brute_force(spark, monkeypatch, block_words):
+    monkeypatch.setattr(leakage, "BLOCK_WORDS", block_words)  # the number of blocks changes nothing
+    docs, items = planted(np.random.default_rng(11), n_docs=800)
+    d = spark.createDataFrame([*docs, (3, None), (100_000, "")], "doc_id bigint, text string")
+    h = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.kind: (r.n_true, r.n_found) for r in leakage.recall(d, h).collect()}
+    assert got["verbatim"][0] >= 40 and got["verbatim"][0] == got["verbatim"][1]
+    assert got["paraphrased"][0] >= 20 and got["paraphrased"][1] >= 0.9 * got["paraphrased"][0]
+    assert leakage.recall(d, h.limit(0)).count() == 0
+
+
+def test_verbatim_leaks_have_cosine_one(spark):
+    docs, items = planted(np.random.default_rng(12))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    h = spark.createDataFrame(items, "item_id bigint, text string")
+    found = leakage.leaks(d, h).where("verbatim").collect()
+    assert len(found) >= 40 and min(r.cosine for r in found) > 0.9999
+    high = leakage.leaks(d, h, least=0.999).where("verbatim").collect()  # no threshold below one loses any
+    assert {(r.doc_id, r.item_id) for r in high} == {(r.doc_id, r.item_id) for r in found}
 
 
 def test_partial_and_hidden_paraphrases(spark):
