@@ -1,11 +1,13 @@
 """Sentence spans in many languages and scripts, by semi-Markov dynamic programming.
 
 A text is cut at blank lines into paragraphs. In a paragraph every place where a
-sentence could end is a candidate. A dynamic program over the candidates picks
+sentence could end is a candidate. A dynamic program over all candidates picks
 the sequence of whole spans with the best joint score: how the closing word and
 mark end, how the next word opens, the length of the span, and whether the
-quotations and brackets within the span are balanced. Places that score as
-certain from both sides cut the problem into small independent ones.
+quotations and brackets within the span are balanced. Its time is linear: spans
+of FREE_SPAN characters or less are compared in a sliding window, of longer ones,
+whose score falls evenly with their length, only the best start so far is kept,
+which is exact.
 
 Defined cases: null, empty and blank texts have no sentences; positions are
 code points; no span has white space at either end; a single line break is
@@ -15,6 +17,8 @@ white space; unbalanced quotation marks count as ordinary characters.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -58,26 +62,27 @@ CERTAIN, NEVER = 8.0, -9.0
 def _pairs(text: str) -> list[tuple[int, int]]:
     """Balanced quotations and brackets of a paragraph."""
     stack: list[tuple[str, int]] = []
+    held: Counter[str] = Counter()  # what the stack holds, so that nothing absent is searched
     out = []
     for m in _QUOTE.finditer(text):
         c, i = m.group(), m.start()
-        if c == "“" and any(o == "„" for o, _ in stack):
+        wanted = ""
+        if c == "“" and held["„"]:
             wanted = "„"
-        elif c == '"':
-            wanted = '"' if any(o == '"' for o, _ in stack) else ""
-            if not wanted:
-                stack.append((c, i))
-                continue
-        elif c in _OPENERS:
+        elif c == '"' and held['"']:
+            wanted = '"'
+        elif c in _OPEN_OF:
+            wanted = _OPEN_OF[c]
+        if not wanted:
             stack.append((c, i))
-            continue
-        else:
-            wanted = _OPEN_OF.get(c, "")
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in wanted:
-                out.append((stack[k][1], i))
-                del stack[k:]
-                break
+            held[c] += 1
+        elif any(held[w] for w in wanted):
+            while True:
+                o, k = stack.pop()
+                held[o] -= 1
+                if o in wanted:
+                    out.append((k, i))
+                    break
     return out
 
 
@@ -85,11 +90,12 @@ def _cased(c: str) -> bool:
     return c.islower() or c.isupper() or c.istitle()
 
 
-def _end_score(text: str, start: int, mark: str, at: int, end: int, closers: str, after: str, gap: bool) -> float:
-    """How well a span ends at ``end``: closing word and mark against the opening word.
+def _end_score(text: str, first: int, mark: str, at: int, closers: str, after: str, gap: bool) -> float:
+    """How well a span ends: closing word and mark against the opening word.
 
-    ``at`` is where the mark begins, ``closers`` the closing marks behind it,
-    ``after`` the text that follows after white space (``gap``: there was some).
+    ``first`` is where the paragraph's text begins, ``at`` where the mark does,
+    ``closers`` the closing marks behind it, ``after`` the text that follows after
+    white space (``gap``: there was some).
     """
     nxt = after[:1]
     quoted = any(c not in _SOFT_CLOSERS for c in closers)
@@ -113,12 +119,12 @@ def _end_score(text: str, start: int, mark: str, at: int, end: int, closers: str
         if nxt.isdigit() or not (nxt.isalpha() or nxt in _OPENING):
             return NEVER
         if nxt.isupper():
-            w = _WORD_BEFORE.search(text, max(start, at - 40), at)
+            w = _WORD_BEFORE.search(text, max(0, at - 40), at)
             return 3.0 if w and len(w.group()) > 2 and w.group().isalpha() and w.group().lower() not in BEFORE_WORD else NEVER
         return 3.0 if before.isalnum() else NEVER
     if closers:
         return CERTAIN
-    m = _WORD_BEFORE.search(text, max(start, at - 40), at)
+    m = _WORD_BEFORE.search(text, max(0, at - 40), at)
     exact = m.group() if m else ""
     word = exact.lower()
     if not word:
@@ -138,35 +144,36 @@ def _end_score(text: str, start: int, mark: str, at: int, end: int, closers: str
     if word.isdigit() and len(word) <= 2:
         if after.startswith(GERMAN_MONTHS):
             return NEVER
-        if not text[start : m.start()].strip():
+        if m.start() <= first:
             return NEVER  # the number of a list item
     return CERTAIN
 
 
-def _span_score(length: int, words_like: bool, depth: int) -> float:
-    """Length and balance of one span; ``depth`` counts quotations its ends cut."""
-    score = -12.0 * depth
-    if length < 3:
-        score -= 2.0
-    if length > 600:
-        score -= (length - 600) / 2000
-    return score + (0.0 if words_like else -1.0)
+CUT_QUOTATION, SHORT, FREE_SPAN, PER_CHARACTER, WORDLESS = 12.0, 3, 600, 1 / 2000, 40
 
 
-def _best_ends(text: str, start: int, stop: int) -> list[int]:
-    """End positions of the sentences within text[start:stop] (one paragraph)."""
-    part = text[start:stop]
+def span_score(text: str, start: int, end: int) -> float:
+    """Length and opening of one span: long ones lose evenly, tiny and wordless ones at once."""
+    n = end - start
+    score = -2.0 if n < SHORT else -(n - FREE_SPAN) * PER_CHARACTER if n > FREE_SPAN else 0.0
+    return score if any(c.isalnum() for c in text[start : min(end, start + WORDLESS)]) else score - 1.0
+
+
+def _candidates(part: str) -> list[tuple[int, float, int]]:
+    """Possible ends within a paragraph: position, score, and how many quotations a cut there breaks."""
     n = len(part)
     pairs = _pairs(part) if _QUOTE.search(part) else []
-    closing = {b for _, b in pairs}
-    ends: list[tuple[int, float, int]] = []
+    opening, closing = [a for a, _ in sorted(pairs)], sorted(b for _, b in pairs)
+    closers = set(closing)
+    first = n - len(part.lstrip())
+    ends: list[tuple[int, float]] = []
     for m in _CANDIDATE.finditer(part):
         at, e = m.span()
         closed = e
         while e < n:
-            if e in closing:
+            if e in closers:
                 e += 1
-            elif part[e] in " \u00a0\u202f" and e + 1 < n and part[e + 1] == "»" and e + 1 in closing:
+            elif part[e] in " \u00a0\u202f" and e + 1 < n and part[e + 1] == "»" and e + 1 in closers:
                 e += 2
             else:
                 break
@@ -177,46 +184,57 @@ def _best_ends(text: str, start: int, stop: int) -> list[int]:
             k += 1
         if k >= n:
             continue
-        score = _end_score(part, 0, m.group(), at, e, part[closed:e].replace(" ", "").replace("\u00a0", "").replace("\u202f", ""), part[k : k + 12], k > e)
+        marks = part[closed:e].replace(" ", "").replace("\u00a0", "").replace("\u202f", "")
+        score = _end_score(part, first, m.group(), at, marks, part[k : k + 12], k > e)
         if score > -5:
-            depth = sum(a < e <= b for a, b in pairs) if pairs else 0
-            ends.append((e, score, depth))
+            ends.append((e, score))
     if _HAS_THAI(part):
-        for m in _THAI_GAP.finditer(part):
-            depth = sum(a < m.start() <= b for a, b in pairs) if pairs else 0
-            ends.append((m.start(), CERTAIN, depth))
+        ends += [(m.start(), CERTAIN) for m in _THAI_GAP.finditer(part)]
         ends.sort()
-    out, group, base = [], [], 0
-    for e, score, depth in [*ends, (n, CERTAIN, 0)]:
-        if score < CERTAIN or depth:
-            group.append((e, score, depth))
-            continue
-        if group:
-            out += _decode(part, base, group, e)
-            group = []
-        out.append(e)
-        base = e
-    return [start + e for e in out]
-
-
-def _decode(part: str, base: int, group: list[tuple[int, float, int]], last: int) -> list[int]:
-    """Semi-Markov Viterbi over the uncertain ends between two certain ones."""
-    nodes = [(base, 0.0, 0), *group, (last, CERTAIN, 0)]
-    best, back = [0.0], [0]
+    return [(e, s, bisect_left(opening, e) - bisect_left(closing, e)) for e, s in ends] if pairs else [(e, s, 0) for e, s in ends]
+
+
+def _best_ends(text: str, start: int, stop: int) -> list[int]:
+    """End positions of the sentences within text[start:stop] (one paragraph)."""
+    part = text[start:stop]
+    ends = _candidates(part)
+    if not ends:
+        return [stop]
+    nodes = [(0, 0.0, 0), *ends, (len(part), CERTAIN, 0)]
+    if all(d == 0 for *_, d in ends) and all(s >= CERTAIN for _, s, _ in ends):
+        return [start + e for e, *_ in nodes[1:]]  # every end gains more than any span could lose
+    # value of a start: the best score up to it, less the quotations that a span from it cuts
+    value, back = [0.0], [0]
+    window: deque[int] = deque()  # starts WORDLESS to FREE_SPAN characters back, best first
+    near = 0  # first start that is less than WORDLESS characters back
+    worded: list[float] = []  # values of starts, less the loss of a wordless opening
+    far, far_arg = float("-inf"), 0
     for j in range(1, len(nodes)):
         e, score, depth = nodes[j]
-        top, arg = float("-inf"), 0
-        for i in range(j):
-            s = nodes[i][0]
-            value = best[i] + score + _span_score(e - s, any(c.isalnum() for c in part[s : min(e, s + 40)]), depth + nodes[i][2])
-            if value > top:
-                top, arg = value, i
-        best.append(top)
+        while near < j and nodes[near][0] <= e - WORDLESS:
+            v = value[near] - (0.0 if any(c.isalnum() for c in part[nodes[near][0] : nodes[near][0] + WORDLESS]) else 1.0)
+            worded.append(v)
+            while window and worded[window[-1]] < v:
+                window.pop()
+            window.append(near)
+            near += 1
+        while window and nodes[window[0]][0] < e - FREE_SPAN:
+            i = window.popleft()
+            if worded[i] + nodes[i][0] * PER_CHARACTER > far:
+                far, far_arg = worded[i] + nodes[i][0] * PER_CHARACTER, i
+        top, arg = far - (e - FREE_SPAN) * PER_CHARACTER, far_arg
+        if window and worded[window[0]] > top:
+            top, arg = worded[window[0]], window[0]
+        for i in range(near, j):
+            v = value[i] + span_score(part, nodes[i][0], e)
+            if v > top:
+                top, arg = v, i
+        value.append(top + score - 2 * CUT_QUOTATION * depth)
         back.append(arg)
     out, j = [], len(nodes) - 1
-    while back[j] > 0:
+    while j > 0:
+        out.append(start + nodes[j][0])
         j = back[j]
-        out.append(nodes[j][0])
     return out[::-1]
 
 
