@@ -44,7 +44,12 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return split.split_documents(table(spark, d, "documents")).drop("longest_run")
+    return split.split_documents(table(spark, d, "documents")).drop("forced")
+
+
+def p7_joined(spark: SparkSession, d: str) -> DataFrame:
+    """What the pieces of each document give back when joined without their overlaps."""
+    return split.joined_documents(split.split_documents(table(spark, d, "documents")))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -87,11 +92,12 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return _scores(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), *flag)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p8_ids, p9_found, p9_items, p9_recall, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_templates, p4_found, p4_sentences, p7_found, p7_pieces, p7_joined, p8_ids, p9_found, p9_items, p9_recall, p10_found, p10_scores, p10_rates)}
 
 SQL = {
     "p7_found": """
         select doc_id, cast(regexp_matches(text, '[^\\s.!?。！？।؟]{1000}[^\\s.!?。！？।؟]{1000}[^\\s.!?。！？।؟]{1000}[^\\s.!?。！？।؟]{1000}[^\\s.!?。！？।؟]')
                as bigint) as forced
         from documents where length(text) > 4000""",
+    "p7_joined": "select doc_id, length(text) as n_chars, md5(text) as digest from documents where length(text) > 4000",
 }

@@ -141,6 +141,40 @@ def test_spans_cover_all_but_white_space(t):
     assert "".join("".join(t[a:b] for a, b in spans).split()) == "".join(t.split())
 
 
+def test_spans_score_best_of_all():
+    """The linear dynamic program against one over all pairs of ends."""
+    rng = np.random.default_rng(2)
+    bits = ["word ", "Go. ", "it... Then ", "U.K. Next ", "“Ah. ", "Oh.” ", "? ", "no. 5 ", "x" * 90 + " ", "e.g. so ", "! ", ". ", "(a. B) ", "12. ", "\u00ab Hm. "]
+    for _ in range(150):
+        part = "".join(rng.choice(bits, int(rng.integers(1, 40)))).strip()
+        ends = sentences._candidates(part)
+        nodes = [(0, 0.0, 0), *ends, (len(part), sentences.CERTAIN, 0)]
+        best = [0.0]
+        for j in range(1, len(nodes)):
+            e, s, d = nodes[j]
+            best.append(max(best[i] + sentences.span_score(part, nodes[i][0], e) for i in range(j)) + s - 2 * sentences.CUT_QUOTATION * d)
+        at = {e: (s, d) for e, s, d in nodes[1:]}
+        total, start = 0.0, 0
+        for e in sentences._best_ends(part, 0, len(part)):
+            total += sentences.span_score(part, start, e) + at[e][0] - 2 * sentences.CUT_QUOTATION * at[e][1]
+            start = e
+        assert abs(total - best[-1]) < 1e-9
+
+
+@pytest.mark.parametrize("text", ["Abc... Def " * 100_000, "“Abc. " * 100_000, "12. A " * 100_000, ")" * 200_000 + "(" * 200_000 + "Go. Home."])
+def test_segmentation_is_linear(text):
+    import time
+
+    def took(t):
+        began = time.process_time()
+        spans = sentences.sentence_spans(t)
+        assert spans[0][0] == 0 and spans[-1][1] == len(t.rstrip())
+        return time.process_time() - began
+
+    half, whole = took(text[: len(text) // 2]), took(text)
+    assert whole < 5 * half + 0.5
+
+
 # --- splitting --------------------------------------------------------------------------
 
 
@@ -152,20 +186,46 @@ def test_pieces_join_to_the_text(parts, limit, overlap):
     assert all(b - a <= limit for a, b, _ in p) and p[-1][1] == len(text)
     assert all(y[0] == x[1] - overlap and y[1] > x[1] for x, y in zip(p, p[1:]))
     assert text[: p[0][1]] + "".join(text[x[1] : y[1]] for x, y in zip(p, p[1:])) == text
+    # a run above the limit exists exactly if a hard cut says so
+    assert any(f == 2 for *_, f in p) == any(len(r) > limit for r in re.split(rf"[\s{split.STOPS}]", text))
+    assert all((f == 0) == (b == len(text) or bool(re.match(rf"[\s{split.STOPS}]", text[b - 1]))) for a, b, f in p)
 
 
-def test_pieces_by_tokens_and_forced(spark):
+def test_pieces_by_costs_and_forced(spark):
     costs = np.array([1, 3] * 50)
     p = split.pieces("ab " * 33 + "a", 20, 4, costs=costs[:100])
     assert all(costs[a:b].sum() <= 20 for a, b, _ in p) and p[-1][1] == 100
     docs = spark.createDataFrame(
         [(1, "a" * 4001), (2, ("b" * 4000 + " ") * 2), (3, "c" * 4000), (4, None), (5, ""), (6, "d" * 3000 + "。" + "d" * 3000)], "doc_id bigint, text string"
     )
-    got = {r.doc_id: r.forced for r in split.forced_documents(split.split_documents(docs)).collect()}
+    parts = split.split_documents(docs)
+    got = {r.doc_id: r.forced for r in split.forced_documents(parts).collect()}
     assert got == {i: int(bool(re.search(r"[^\s.!?。！？।؟]{4001}", t))) for i, t in ((1, "a" * 4001), (2, "b" * 4000 + " b"), (6, "d。"))}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {(r.doc_id, r.n_chars) for r in split.joined_documents(parts).collect()} == {(i, len(texts[i])) for i in got}
     assert split.split_documents(docs.limit(0)).count() == 0
 
 
+def test_pieces_by_tokens(spark):
+    public = pytest.importorskip("public_tokenizers")
+    vocabulary = encode.public_tokenizer()
+    tok = encode.Tokenizer(*vocabulary)
+    assert public.PATTERN == vocabulary[1]
+    texts = {1: "The meter was read. " * 60, 2: "短い文。" * 90, 3: "short", 4: None, 5: "", 6: "x" * 900, 7: "👩‍🔧" * 60}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    out = {}
+    for r in split.split_documents(docs, limit=50, overlap=8, vocabulary=vocabulary).orderBy("doc_id", "piece_no").collect():
+        out.setdefault(r.doc_id, []).append(r)
+    want = {i for i, t in texts.items() if t and len(tok.bpe.encode_ordinary(t)) > 50}
+    assert set(out) == want and 1 in want and 3 not in want
+    for i, parts in out.items():
+        costs = split.token_costs(texts[i], tok)
+        assert costs.sum() == len(tok.bpe.encode_ordinary(texts[i]))
+        assert all(costs[r.start : r.end].sum() <= 50 or r.end - r.start == 1 for r in parts)
+        assert parts[0].start == 0 and parts[-1].end == len(texts[i])
+        assert all(a.start < b.start <= a.end < b.end for a, b in zip(parts, parts[1:]))
+
+
 # --- encoding ---------------------------------------------------------------------------
 
 
