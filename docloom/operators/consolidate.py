@@ -1,30 +1,40 @@
 """Consolidation of masses of tiny files by merging sorted runs.
 
-Every small file is a run. Runs are split over key ranges (order: key, newest
-first), each range is merged by Spark's external sort (which spills sorted runs
-and merges them k ways), and the merged stream is rolled into output files by
-bytes. Duplicates are kept and the first row of a key in a range is flagged, so
-a hot key may span ranges without gathering in one task: the flagged rows, one
-per key and range, settle which revision is current.
+1. Lines of the small files are sorted into runs of bounded size, as they come.
+2. The key space (key, newest first, file, line) is cut into ranges of about equal
+   bytes. Each run is cut at the range bounds; a segment, one run's sorted share of
+   a range, is one row of the shuffle.
+3. Each range merges its segments k ways, as a stream of rows in order, and rolls
+   them into output files by bytes. All duplicates are kept. A range is bounded by
+   bytes, not by keys: a key that holds a third of all rows spans many ranges.
+4. The range metadata (key range, rows, bytes of each file) is taken from the files
+   as written.
 
 Defined cases: null and empty contents, blank lines and lines that are no valid
 JSON hold no records; a null ``written_at`` is older than any other; a file
-listed twice counts once; a record without ``record_id`` is no record.
+listed twice counts once; a record without ``record_id`` is no record; of keys
+repeated within one line the last counts; a row above the target fills a file alone.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.operators.delta import is_success
-from docloom.session import materialise
+from docloom.session import materialise, scratch_path
 
-TARGET_BYTES = 128 << 20
+TARGET_BYTES = 128 << 20  # of an output file
+RANGE_BYTES = 64 << 20  # of a key range, which one task merges
+RUN_BYTES = 16 << 20  # of a sorted run
+BOUND_SAMPLES = 20  # sampled keys for each range bound
+
+LINES = "record_id string, written_at timestamp, file_id bigint, line_no int, line string"
 
 
 def vouched_files(files: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -39,14 +49,15 @@ def vouched_files(files: DataFrame, jobs: DataFrame) -> DataFrame:
     )
 
 
-def valid_object(line: Column) -> Column:
-    """The line as a VARIANT array of one, null unless it is one JSON object.
+def record_key(line: Column) -> Column:
+    """record_id of a line that is exactly one JSON object, else null.
 
-    The parser stops after the first value; inside brackets anything that
-    follows the object makes the whole text invalid or a second element.
+    Inside brackets anything that follows the object makes the whole text invalid
+    or a second element.
     """
-    v = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    return F.when(line.rlike(r"^\s*\{") & F.try_variant_get(v, "$[1]", "variant").isNull(), v)
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    rows = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<struct<record_id: string>>", strict)
+    return F.when(line.rlike(r"^\s*\{") & (F.size(rows) == 1), F.get(rows, F.lit(0))["record_id"])
 
 
 def lines_of(files: DataFrame) -> DataFrame:
@@ -54,103 +65,160 @@ def lines_of(files: DataFrame) -> DataFrame:
     lines = files.select(
         "file_id", "written_at", F.posexplode(F.split("content", "\n")).alias("line_no", "line")
     ).where(F.col("line").contains("{"))
-    key = F.try_variant_get(valid_object(F.col("line")), "$[0].record_id", "string")
-    return lines.select(key.alias("record_id"), "written_at", "file_id", "line_no", "line").where(
+    return lines.select(record_key(F.col("line")).alias("record_id"), "written_at", "file_id", "line_no", "line").where(
         F.col("record_id").isNotNull()
     )
 
 
-ROLLED = "record_id string, written_at timestamp, file_id bigint, line_no int, bytes bigint, out_file string, is_first boolean"
+# --- runs, segments, merge ----------------------------------------------------------------
+
+Key = tuple[str, int, int, int]  # record_id, age (newest first), file_id and line_no (last first)
+_OLDEST = 1 << 62
+SEGMENTS = "range int, run string, n_rows bigint, n_bytes bigint, rows binary"
+_SEGMENTS = pa.schema([("range", pa.int32()), ("run", pa.string()), ("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("rows", pa.binary())])
+MERGED = "record_id string, written_at timestamp, file_id bigint, line_no int, line string, out_file string"
+_ROWS = pa.schema([
+    ("record_id", pa.string()), ("written_at", pa.int64()), ("file_id", pa.int64()), ("line_no", pa.int32()), ("line", pa.string()),
+])
+
+
+def sort_key(record_id: str, micros: int | None, file_id: int, line_no: int) -> Key:
+    return record_id, _OLDEST if micros is None else -micros, -file_id, -line_no
 
 
-def _roll(target: int):
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _ROWS) as w:
+        w.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _segments(bounds: list[Key], run_bytes: int):
+    def cut(held: list[pa.RecordBatch], run: str) -> pa.RecordBatch:
+        """One sorted run as its segments."""
+        t = pa.Table.from_batches(held).cast(_ROWS)
+        keys = [sort_key(*k) for k in zip(*(t.column(c).to_pylist() for c in ("record_id", "written_at", "file_id", "line_no")))]
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        t, keys = t.take(pa.array(order)), [keys[i] for i in order]
+        places = [0, *(bisect.bisect_left(keys, b) for b in bounds), len(keys)]
+        out = []
+        for k, (a, b) in enumerate(zip(places, places[1:])):
+            if a < b:
+                part = t.slice(a, b - a)
+                out.append((k, run, b - a, sum(len(x) for x in part.column("line").to_pylist()), _packed(part)))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SEGMENTS)], schema=_SEGMENTS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
-        seq, filled, previous = 0, 0, None
+        part, n, held, size = ctx.partitionId() if ctx else 0, 0, [], 0
         for b in batches:
-            n = b.num_rows
-            if not n:
-                continue
-            sizes = b.column("bytes").to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.cumsum(sizes)
-            seqs, i = np.empty(n, dtype=np.int64), 0
-            while i < n:
-                before = ends[i - 1] if i else 0
-                j = int(np.searchsorted(ends, before + target - filled, side="right"))
-                if j == i and filled == 0:
-                    j = i + 1  # a row above the target fills a file alone
-                seqs[i:j] = seq
-                filled += int((ends[j - 1] - before) if j > i else 0)
-                if j < n:
-                    seq, filled = seq + 1, 0
-                i = j
-            keys = b.column("record_id").to_pylist()
-            first = [k != p for k, p in zip(keys, [previous, *keys[:-1]])]
-            previous = keys[-1]
-            names = pa.array([f"part-{part:05d}-{s:05d}" for s in seqs])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("record_id", "written_at", "file_id", "line_no", "bytes")]
-                + [names, pa.array(first)],
-                names=["record_id", "written_at", "file_id", "line_no", "bytes", "out_file", "is_first"],
-            )
+            if b.num_rows:
+                held.append(b)
+                size += b.nbytes
+            if size > run_bytes:
+                yield cut(held, f"{part}-{n}")
+                n, held, size = n + 1, [], 0
+        if held:
+            yield cut(held, f"{part}-{n}")
 
     return run
 
 
-def merge_runs(lines: DataFrame, target_bytes: int = TARGET_BYTES, ranges: int | None = None) -> DataFrame:
-    """Merged rows in key order with the output file each belongs to.
+def _rows_of(segment: bytes) -> Iterator[tuple[Key, tuple]]:
+    """A segment's rows in order, one batch in memory at a time."""
+    with pa.ipc.open_stream(segment) as r:
+        for b in r:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                yield sort_key(*row[:4]), row
+
+
+def _merge(target: int):
+    def run(segments: pa.Table) -> pa.Table:
+        number = segments.column("range")[0].as_py()
+        streams = [_rows_of(s.as_buffer()) for s in segments.column("rows")]
+        schema = pa.schema([*_ROWS, pa.field("out_file", pa.string())])
+        out, done, seq, filled = [], [], 0, 0
+        for _, row in heapq.merge(*streams, key=lambda x: x[0]):
+            size = len(row[4].encode()) + 1
+            if filled and filled + size > target:
+                seq, filled = seq + 1, 0
+            filled += size
+            out.append((*row, f"range-{number:06d}-{seq:04d}"))
+            if len(out) == 4096:
+                done.append(pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema))
+                out = []
+        if out:
+            done.append(pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema))
+        t = pa.Table.from_batches(done)
+        return t.set_column(1, "written_at", t.column("written_at").cast(pa.timestamp("us", "UTC")))
 
-    Ranges are cut on (record_id, written_at, file_id), so one key that holds a
-    third of all rows is still spread over several tasks.
+    return run
+
+
+def range_bounds(lines: DataFrame, ranges: int) -> list[Key]:
+    """Lower bounds of all ranges but the first, from a sample of about BOUND_SAMPLES keys a range."""
+    if ranges < 2:
+        return []
+    total = lines.count()
+    share = min(1.0, BOUND_SAMPLES * ranges / max(total, 1))
+    picked = lines.where(F.pmod(F.xxhash64("file_id", "line_no"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    keys = picked.select("record_id", F.unix_micros("written_at").alias("m"), "file_id", "line_no", F.octet_length("line").alias("n")).collect()
+    weighed = sorted((sort_key(*r[:4]), r.n) for r in keys)
+    step, filled, out = sum(n for _, n in weighed) / ranges, 0.0, []
+    for k, n in weighed:
+        if filled >= step * (len(out) + 1) and len(out) < ranges - 1 and (not out or k > out[-1]):
+            out.append(k)
+        filled += n
+    return out
+
+
+def merge_runs(lines: DataFrame, target_bytes: int = TARGET_BYTES, range_bytes: int = RANGE_BYTES, run_bytes: int = RUN_BYTES) -> DataFrame:
+    """All lines in key order with the output file each belongs to.
+
+    ``lines`` is read three times (bytes, bounds, runs): give it written.
     """
-    order = [F.col("record_id"), F.col("written_at").desc_nulls_last(), F.col("file_id").desc()]
-    slim = lines.select(
-        "record_id", "written_at", "file_id", "line_no", F.octet_length("line").cast("bigint").alias("bytes")
-    )
-    n = ranges or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = slim.repartitionByRange(n, *order).sortWithinPartitions(*order, F.col("line_no"))
-    return merged.mapInArrow(_roll(target_bytes), ROLLED)
+    n_bytes = lines.agg(F.sum(F.octet_length("line"))).first()[0] or 0
+    ranges = max(1, -(-int(n_bytes) // range_bytes))
+    bounds = range_bounds(lines, ranges)
+    micros = lines.select("record_id", F.unix_micros("written_at").alias("written_at"), "file_id", "line_no", "line")
+    segments = micros.mapInArrow(_segments(bounds, run_bytes), SEGMENTS)
+    return segments.groupBy("range").applyInArrow(_merge(target_bytes), MERGED)
+
+
+def write_consolidated(files: DataFrame, path: str, target_bytes: int = TARGET_BYTES, range_bytes: int = RANGE_BYTES, run_bytes: int = RUN_BYTES) -> DataFrame:
+    """Merge the records of ``files`` into few files below ``path`` and read them back.
+
+    Each output file lies in a folder of its name; a range is written by one task
+    and committed by Spark's committer, so a lost executor neither loses nor
+    doubles a record.
+    """
+    spark = files.sparkSession
+    lines = materialise(lines_of(files), "lines")
+    merged = merge_runs(lines, target_bytes, range_bytes, run_bytes)
+    merged.write.partitionBy("out_file").parquet(path)
+    return spark.read.schema(MERGED).parquet(path)
+
+
+def consolidated(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """As ``write_consolidated``, into the shared scratch folder."""
+    return write_consolidated(files, scratch_path(files.sparkSession, "consolidated"), target_bytes)
 
 
 def current_records(merged: DataFrame) -> DataFrame:
     """Each record once, with the file it is taken from."""
     best = F.max(F.struct("written_at", "file_id"))
-    return (
-        merged.where("is_first").groupBy("record_id").agg(best.alias("b"))
-        .select("record_id", F.col("b.file_id").alias("file_id"))
-    )
+    return merged.groupBy("record_id").agg(best.alias("b")).select("record_id", F.col("b.file_id").alias("file_id"))
+
+
+def current_lines(merged: DataFrame) -> DataFrame:
+    """record_id and line of each record's newest revision; of its file's lines the last counts."""
+    best = F.max(F.struct("written_at", "file_id", "line_no", "line"))
+    return merged.groupBy("record_id").agg(best.alias("b")).select("record_id", F.col("b.line").alias("line"))
 
 
 def range_metadata(merged: DataFrame) -> DataFrame:
     """Key range, rows and bytes of each output file."""
     return merged.groupBy("out_file").agg(
         F.min("record_id").alias("min_key"), F.max("record_id").alias("max_key"),
-        F.count(F.lit(1)).alias("n_rows"), F.sum("bytes").alias("n_bytes"),
-    )
-
-
-def write_consolidated(lines: DataFrame, path: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Write the newest line of each record as well-sized JSON-lines files.
-
-    Returns the range metadata of the files. The winner of each key is joined
-    back by (record_id, file_id); the last line of that file counts.
-    """
-    winners = current_records(merge_runs(lines, target_bytes)).withColumnsRenamed(
-        {"record_id": "w_key", "file_id": "w_file"}
-    )
-    kept = lines.join(
-        winners, (F.col("record_id") == F.col("w_key")) & (F.col("file_id") == F.col("w_file")), "left_semi"
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length("line") + 1).cast("bigint").alias("n_bytes"),
     )
-    one = kept.groupBy("record_id", "file_id").agg(F.max(F.struct("line_no", "line"))["line"].alias("line"))
-    one = materialise(one, "records")  # measured first, then written
-    total = one.agg(F.sum(F.octet_length("line"))).first()[0] or 0
-    parts = max(1, -(-int(total) // target_bytes))
-    ordered = one.repartitionByRange(parts, "record_id").sortWithinPartitions("record_id")
-    ordered.select(F.col("line").alias("value")).write.text(path)
-    spark = lines.sparkSession
-    back = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("out_file"))
-    return back.select(
-        "out_file", F.get_json_object("value", "$.record_id").alias("record_id"),
-        F.octet_length("value").cast("bigint").alias("bytes"),
-    ).transform(range_metadata)

@@ -1,8 +1,9 @@
 """Incremental processing by diffing immutable table-version manifests.
 
-A *manifest* describes one version of a table: one row per data file with
-``path``, ``version`` (a monotone number such as the modification time) and
-``deleted`` (deletion vector: positions of removed rows). Comparing two
+A *manifest* describes one version of a table: one row per data file with its
+``path`` and ``version`` (a monotone number such as the modification time), and
+a deletion vector, one row (``path``, ``pos``) per row that the version no longer
+holds. A row enters its file with the version it was written in. Comparing two
 manifests gives the files added, changed and removed, and from those the
 record-level delta. The version that was processed is stored in the same
 atomic commit as the output, so a crash neither skips nor repeats a record.
@@ -17,10 +18,13 @@ from __future__ import annotations
 
 import json
 import os
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docloom.session import scratch_path
+
 BLANKS = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\p{Z}]+"
 
 
@@ -63,67 +67,104 @@ def diff(old: DataFrame, new: DataFrame) -> DataFrame:
     ).where(F.col("change").isNotNull())
 
 
-def pending_records(records: DataFrame, control: DataFrame, step: str = "extract") -> DataFrame:
-    """Newest revision of each record that no successful run has covered.
+def record_delta(rows: DataFrame, old: DataFrame, new: DataFrame, old_deleted: DataFrame, new_deleted: DataFrame) -> DataFrame:
+    """Record-level delta between two manifests with deletion vectors.
 
-    ``records`` needs record_id, file_path and last_modified_timestamp_millis,
-    ``control`` step_name, status, input and seen_modified_millis; any further
-    columns are ignored. Every record comes once.
+    ``old``/``new``: unique path, version; ``old_deleted``/``new_deleted``: path, pos;
+    ``rows``: path, pos, version and payload columns of all files of either manifest.
+    A version of a file holds the rows written up to it, without its deleted ones; a
+    null version in ``old`` holds nothing, in ``new`` all rows. Adds ``change``:
+    insert (held by new only) or delete (held by old only).
+
+    Files whose version and deletion vector are the same on both sides can't
+    contribute and their rows are dropped first. Vectors are joined by (path, pos),
+    never gathered, so neither a huge file nor a long vector is a hot key there.
     """
-    modified = F.col("last_modified_timestamp_millis")
-    current = (
-        records.select("record_id", normal_path(F.col("file_path")).alias("file"), modified)
-        .groupBy("record_id")
-        .agg(
-            F.max(modified).alias("last_modified_timestamp_millis"),
-            F.max(F.struct(modified, "file"))["file"].alias("file"),
-        )
-    )
-    done = manifest(
-        control.where((F.col("step_name") == step) & is_success(F.col("status")) & F.col("seen_modified_millis").isNotNull()),
-        normal_path(F.col("input")), F.col("seen_modified_millis"),
+    o = old.select(F.col("path").alias("o_path"), F.col("version").alias("o_version"), F.lit(True).alias("was_file"))
+    n = new.select(F.col("path").alias("n_path"), F.col("version").alias("n_version"), F.lit(True).alias("is_file"))
+    files = n.join(o, F.col("n_path") == F.col("o_path"), "full_outer").select(F.coalesce("n_path", "o_path").alias("f_path"), "o_version", "n_version", "was_file", "is_file")
+    side = lambda d, s: d.select(F.col("path").alias("d_path"), F.col("pos").alias("d_pos")).distinct().withColumn(s, F.lit(True))
+    vectors = side(new_deleted, "n_gone").join(side(old_deleted, "o_gone"), ["d_path", "d_pos"], "full_outer")
+    version = F.col("version")
+    placed = rows.join(files, F.col("path").eqNullSafe(F.col("f_path")))
+    was = F.col("was_file").isNotNull() & F.coalesce(version <= F.col("o_version"), F.lit(False))
+    now = F.col("is_file").isNotNull() & (F.col("n_version").isNull() | F.coalesce(version <= F.col("n_version"), F.lit(True)))
+    # rows that both versions may hold need a look at the vectors, rows that neither may hold none
+    placed = placed.withColumns({"_was": was, "_now": now}).where("_was or _now")
+    joined = placed.join(vectors, (F.col("path").eqNullSafe(F.col("d_path"))) & (F.col("pos") == F.col("d_pos")), "left")
+    held_was = F.col("_was") & F.col("o_gone").isNull()
+    held_now = F.col("_now") & F.col("n_gone").isNull()
+    change = F.when(held_now & ~held_was, "insert").when(held_was & ~held_now, "delete")
+    return joined.withColumn("change", change).where("change is not null").select(*rows.columns, "change")
+
+
+def superseded(rows: DataFrame, key: str = "record_id") -> DataFrame:
+    """Deletion vector of the newest version: path, pos of rows that a newer row of their key replaces.
+
+    The newest row of each key is a partial aggregate (no window gathers a key's
+    rows); all other rows are found by position, so a hot key stays spread.
+    """
+    rank = F.struct(F.col("version"), F.col("path"), F.col("pos"))
+    kept = rows.groupBy(key).agg(F.max(rank).alias("k")).select(F.col("k.path").alias("k_path"), F.col("k.pos").alias("k_pos"))
+    return rows.select("path", "pos").join(
+        kept, (F.col("pos") == F.col("k_pos")) & F.col("path").eqNullSafe(F.col("k_path")), "left_anti"
     )
-    covered = done.select(F.col("path").alias("done_path"), F.col("version").alias("done_version"))
-    return current.join(
-        covered,
-        (F.col("file") == F.col("done_path")) & (F.col("done_version") >= modified),
-        "left_anti",
+
+
+def content_rows(records: DataFrame) -> DataFrame:
+    """Rows of the content table: path, pos, version, record_id, last_modified_timestamp_millis."""
+    modified = F.col("last_modified_timestamp_millis")
+    return records.select(
+        normal_path(F.col("file_path")).alias("path"), F.col("row_id").alias("pos"), modified.alias("version"), "record_id", modified,
     )
 
 
-def record_delta(old: DataFrame, new: DataFrame, rows: DataFrame) -> DataFrame:
-    """Record-level delta between two manifests with deletion vectors.
+def processed_manifest(control: DataFrame, step: str = "extract") -> DataFrame:
+    """Manifest of what successful entries of ``step`` have covered."""
+    done = control.where((F.col("step_name") == step) & is_success(F.col("status")) & F.col("seen_modified_millis").isNotNull())
+    covered = manifest(done, normal_path(F.col("input")), F.col("seen_modified_millis"))
+    return covered.where(F.col("path").isNotNull())
+
+
+def pending_records(records: DataFrame, control: DataFrame, step: str = "extract") -> DataFrame:
+    """Newest revision of each record that no successful run has covered.
+
+    ``records`` needs row_id, record_id, file_path and last_modified_timestamp_millis,
+    ``control`` step_name, status, input and seen_modified_millis; any further
+    columns are ignored. Every record comes once.
 
-    ``old``/``new``: path, deleted ARRAY<BIGINT> (null = nothing deleted).
-    ``rows``: path, pos and payload columns of all files of either version.
-    Adds ``change``: insert or delete. A file in only one manifest contributes
-    its live rows; a file in both contributes the rows whose deletion state
-    differs. Files are immutable, so nothing else can change.
+    The delivered manifest (all files, superseded revisions in its deletion
+    vector) is compared with the processed one; the records inserted since are
+    pending. Revisions that a newer one had already superseded when they were
+    processed are of no interest, so the old vector holds nothing.
     """
-    empty = F.array().cast("array<bigint>")
-    o = old.select(F.col("path").alias("o_path"), F.coalesce("deleted", empty).alias("o_dv"))
-    n = new.select(F.col("path").alias("n_path"), F.coalesce("deleted", empty).alias("n_dv"))
-    files = o.join(n, F.col("o_path") == F.col("n_path"), "full_outer").where(
-        F.col("o_path").isNull() | F.col("n_path").isNull() | (F.array_sort("o_dv") != F.array_sort("n_dv"))
-    )
-    was = F.col("o_path").isNotNull() & ~F.array_contains("o_dv", F.col("pos"))
-    is_now = F.col("n_path").isNotNull() & ~F.array_contains("n_dv", F.col("pos"))
-    joined = rows.join(
-        files.withColumn("f_path", F.coalesce("o_path", "n_path")), F.col("path") == F.col("f_path")
-    )
-    change = F.when(F.coalesce(is_now, F.lit(False)) & ~F.coalesce(was, F.lit(False)), "insert").when(
-        F.coalesce(was, F.lit(False)) & ~F.coalesce(is_now, F.lit(False)), "delete"
-    )
-    return joined.withColumn("change", change).where(F.col("change").isNotNull()).select(*rows.columns, "change")
+    rows = content_rows(records)
+    delivered = manifest(rows, F.col("path"), F.col("version"))
+    gone = superseded(rows)
+    inserted = record_delta(rows, processed_manifest(control, step), delivered, gone.limit(0), gone).where("change = 'insert'")
+    # rows that were delivered twice with their position are one record
+    return inserted.groupBy("record_id").agg(F.max("last_modified_timestamp_millis").alias("last_modified_timestamp_millis"))
+
+
+def commit_pending(records: DataFrame, control: DataFrame, root: str | None = None, step: str = "extract") -> DataFrame:
+    """The pending records as committed output; the commit holds the version they bring the reader to."""
+    spark = records.sparkSession
+    log = CommitLog(spark, root or scratch_path(spark, "pending"))
+    version = records.agg(F.max("last_modified_timestamp_millis")).first()[0]
+    log.publish(pending_records(records, control, step), version)
+    return log.read()
 
 
 class CommitLog:
     """Output commits that carry the processed version.
 
-    ``publish`` writes the data to a fresh folder and then makes it visible
-    with one atomic ``rename`` of a small commit file that names the folder and
-    the processed version. A crash before the rename leaves an orphan folder
-    that no reader sees; a crash after it is a finished run.
+    ``publish`` writes the data to a fresh folder and then makes it visible by
+    renaming a small commit file, which names the folder and the processed
+    version, to the next number. The rename never overwrites: of two runs that
+    claim the same number one fails. A crash before it leaves a folder that no
+    reader sees and ``vacuum`` removes; a crash after it is a finished run.
+    On object stores without an exclusive rename, ``root`` belongs on a file
+    system that has one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -138,17 +179,22 @@ class CommitLog:
         if not self._fs.exists(log):
             return []
         names = sorted(s.getPath().toString() for s in self._fs.listStatus(log))
-        rows = self.spark.read.text([n for n in names if n.endswith(".json")], wholetext=True) if names else None
-        return sorted((json.loads(r.value) for r in rows.collect()), key=lambda c: c["n"]) if rows else []
+        names = [n for n in names if n.endswith(".json")]
+        rows = self.spark.read.text(names, wholetext=True).collect() if names else []
+        return sorted((json.loads(r.value) for r in rows), key=lambda c: c["n"])
 
     def processed_version(self):
         done = self.commits()
         return done[-1]["version"] if done else None
 
-    def publish(self, df: DataFrame, version) -> dict:
-        n = len(self.commits())
+    def write(self, df: DataFrame, n: int) -> str:
+        """The data of a commit to be, in a folder that no reader sees yet."""
         data = f"{self.root}/data/{n:08d}-{uuid.uuid4().hex}"
         df.write.parquet(data)
+        return data
+
+    def claim(self, data: str, n: int, version) -> dict:
+        """Make the folder ``data`` commit ``n``."""
         commit = {"n": n, "version": version, "data": os.path.basename(data), "status": "processed"}
         log = self._path(f"{self.root}/_log")
         self._fs.mkdirs(log)
@@ -156,11 +202,31 @@ class CommitLog:
         out = self._fs.create(tmp, False)
         out.write(bytearray(json.dumps(commit).encode()))
         out.close()
-        final = self._path(f"{self.root}/_log/{n:08d}.json")
-        if self._fs.exists(final) or not self._fs.rename(tmp, final):
-            raise RuntimeError(f"another run committed version {n} first")
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        exclusive = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        exclusive[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        try:
+            context.rename(tmp, self._fs.makeQualified(self._path(f"{self.root}/_log/{n:08d}.json")), exclusive)
+        except Exception as e:
+            self._fs.delete(tmp, False)
+            raise RuntimeError(f"another run committed {n} first") from e
         return commit
 
+    def publish(self, df: DataFrame, version) -> dict:
+        n = len(self.commits())
+        return self.claim(self.write(df, n), n, version)
+
+    def vacuum(self, older_than_hours: float = 24.0) -> int:
+        """Delete data folders of runs that died before their commit; returns how many."""
+        data = self._path(f"{self.root}/data")
+        if not self._fs.exists(data):
+            return 0
+        known = {c["data"] for c in self.commits()}
+        limit = (time.time() - older_than_hours * 3600) * 1000
+        dead = [s.getPath() for s in self._fs.listStatus(data) if s.getPath().getName() not in known and s.getModificationTime() <= limit]
+        return sum(bool(self._fs.delete(p, True)) for p in dead)
+
     def read(self) -> DataFrame | None:
         """All committed output."""
         paths = [f"{self.root}/data/{c['data']}" for c in self.commits()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docloom.operators import consolidate, delta, nested, timestamps
@@ -9,31 +11,34 @@ from docloom.session import table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = nested.subtype_tables(nested.flatten_records(table(spark, d, "raw_records")))["parts"]
+    parts = nested.parts(nested.written_tables(table(spark, d, "raw_records")))
     return parts.select("raw_id", "field_name", "block_path", "part_name", "pos")
 
 
 def p2_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Rows and orphans of each subtype table, by structural variant."""
-    nodes = nested.flatten_records(table(spark, d, "raw_records"))
-    return nodes.groupBy("variant").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("parent").alias("n_with_parent"),
-        F.countDistinct("raw_id").alias("n_records"),
+    """Rows, records and orphans of each variant, with the table it is routed to."""
+    tables = nested.written_tables(table(spark, d, "raw_records"))
+    keys = ("raw_id", "node", "parent", "variant")
+    rows = functools.reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("subtype"), *keys) for n, t in tables.items()])
+    above = rows.select(F.col("raw_id").alias("a_raw"), F.col("node").alias("a_node"))
+    joined = rows.join(above, (F.col("raw_id") == F.col("a_raw")) & (F.col("parent") == F.col("a_node")), "left")
+    return joined.groupBy("subtype", "variant").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("parent").alias("n_with_parent"), F.count_distinct("raw_id").alias("n_records"),
+        F.count_if(F.col("parent").isNotNull() & F.col("a_node").isNull()).alias("n_orphans"),
     )
 
 
-def _merged(spark: SparkSession, d: str) -> DataFrame:
-    files = consolidate.vouched_files(table(spark, d, "output_files"), table(spark, d, "control_jobs"))
-    return consolidate.merge_runs(consolidate.lines_of(files))
+def _consolidated(spark: SparkSession, d: str) -> DataFrame:
+    return consolidate.consolidated(consolidate.vouched_files(table(spark, d, "output_files"), table(spark, d, "control_jobs")))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return consolidate.current_records(_merged(spark, d))
+    return consolidate.current_records(_consolidated(spark, d))
 
 
 def p3_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """Range metadata of the consolidated files."""
-    return consolidate.range_metadata(_merged(spark, d))
+    """Range metadata of the consolidated files, as written."""
+    return consolidate.range_metadata(_consolidated(spark, d))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -50,9 +55,7 @@ def p5_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return delta.pending_records(table(spark, d, "content_records"), table(spark, d, "control_entries")).select(
-        "record_id", "last_modified_timestamp_millis"
-    )
+    return delta.commit_pending(table(spark, d, "content_records"), table(spark, d, "control_entries"))
 
 
 def p6_changes(spark: SparkSession, d: str) -> DataFrame:

@@ -310,47 +310,154 @@ PAYLOADS = [
 def test_nested_against_plain_reading(spark):
     data = [(i, json.dumps(p), "x") for i, p in enumerate(PAYLOADS)] + [(9, json.dumps(json.dumps(PAYLOADS[0])), None), (10, None, None), (11, '{"data": {', ""), (12, "[1", ""), (13, '{"a": NaN}', "")]
     raw = spark.createDataFrame(data, "raw_id bigint, payload string, node string")
-    t_ = nested.subtype_tables(nested.flatten_records(raw))
+    t_ = nested.written_tables(raw)
     got = {}
-    for r in t_["parts"].collect():
+    for r in nested.parts(t_).collect():
         got.setdefault(r.raw_id, set()).add((r.field_name, r.block_path, r.part_name, r.pos))
     for i, p in enumerate(PAYLOADS):
         assert got.get(i, set()) == brute_parts(p)
     assert got[9] == got[0] and not set(got) & {10, 11, 12, 13}
-    nodes = {(r.raw_id, r.node) for n in t_.values() for r in n.collect()}
-    assert all((r.raw_id, r.parent) in nodes for r in t_["parts"].collect())
+    every = [(r.raw_id, r.node, r.parent) for n in t_.values() for r in n.collect()]
+    nodes = {x[:2] for x in every}
+    assert len(nodes) == len(every) == nested.flatten_records(raw).count()  # each node in one table
+    assert all(p is None or (i, p) in nodes for i, _, p in every)  # no orphans
     assert nested.flatten_records(raw.limit(0)).count() == 0
 
 
+def variants(*blocks):
+    return [r["variant"] for r in nested.document_rows(1, json.dumps({"data": {"f": {"structured_content": list(blocks)}}})) if r.get("part_name") is None]
+
+
+def test_states_follow_from_the_members_states():
+    items = {"list_empty": [], "list_scalars": ["a", None, 1], "list_objects": [{"text": "x"}], "list_nested": [{"items": ["y"]}], "list_mixed": ["a", {"text": "x"}]}
+    for want, value in items.items():
+        assert variants({"type": "list", "items": value}) == ["field_flat", want]
+    assert variants({"type": "table"}, {"head": ["a"]}, {"head": ["a"], "body": [["b"]]}, {"body": [[{"items": [1]}]]}) == [
+        "field_flat", "table_empty", "table_head_only", "table_scalars", "table_objects"]
+    inner = {"structured_content": [{"text": "t"}]}
+    assert variants(inner) == ["field_sectioned", "section_flat", "leaf_text"]
+    assert variants({"structured_content": [inner, {"url": "u"}]}) == ["field_sectioned", "section_deep", "section_flat", "leaf_text", "leaf_link"]
+    deep = nested.document_rows(1, json.dumps({"data": {"f": {"structured_content": [{"items": [{"items": [{"items": []}, 1]}]}]}}}))
+    assert [r["variant"] for r in deep] == ["field_flat", "list_nested", "part_nested", "part_object", "part_scalar"]
+    a = nested.Automaton()
+    a.run(deep)
+    n = len(a.table)
+    a.run(deep)
+    assert len(a.table) == n  # each transition is worked out once
+    assert variants() == ["field_empty"] and set(nested.COLUMNS) == set(nested.TABLES)
+
+
+def test_no_depth_is_too_deep(spark):
+    import sys
+
+    n = 20_000
+    assert n > sys.getrecursionlimit()
+    ignored = '{"x": ' + "[" * n + "]" * n + ', "data": {"f": {"text": ' + '{"a":' * n + "1" + "}" * n + ', "structured_content": [{"items": ["a", ' + "[" * n + "]" * n + "]}]}}}"
+    sections = '{"data": {"f": {"structured_content": ' + '[{"structured_content": ' * 3000 + '[{"items": ["deep"]}]' + "}]" * 3000 + "}}}"
+    items = '{"data": {"f": {"structured_content": [{"items": [' + '{"items": [' * 3000 + '"deep"' + "]}" * 3000 + "]}]}}}"
+    broken = "[" * n + "]" * (n - 1)
+    raw = spark.createDataFrame(list(enumerate([ignored, sections, items, broken])), "raw_id bigint, payload string")
+    got = {}
+    for r in nested.parts(nested.subtype_tables(nested.flatten_records(raw))).collect():
+        got.setdefault(r.raw_id, []).append(r)
+    assert [r.text for r in got[0]] == ["a", "[" * n + "]" * n]
+    assert [(r.block_path, r.pos) for r in got[1]] == [(".".join(["0"] * 3001), "0")]
+    assert len(got[2]) == 3001 and max(got[2], key=lambda r: len(r.pos)).pos == ".".join(["0"] * 3001) and 3 not in got
+    text = next(r["text"] for r in nested.document_rows(0, ignored) if r["symbol"] == "field")
+    assert text == '{"a": ' * n + "1" + "}" * n
+
+
+json_values = st.recursive(st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False, allow_infinity=False) | st.text(max_size=5),
+                           lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(max_size=3), x, max_size=3), max_leaves=8)
+
+
+@given(json_values, st.sampled_from([None, 0, 2]))
+@settings(max_examples=150, deadline=None)
+def test_deep_parser_against_the_usual_one(value, indent):
+    text = json.dumps(value, indent=indent)
+    assert nested._parse_deep(text) == value == json.loads(text)
+    for bad in (text + "x", text[:-1] + ",", "[" + text, f'{{"a" {text}}}', f"[{text},]"):
+        try:
+            want = json.loads(bad)
+        except ValueError:
+            with pytest.raises(ValueError):
+                nested._parse_deep(bad)
+        else:
+            assert nested._parse_deep(bad) == want
+
+
 # --- delta --------------------------------------------------------------------------------
 
 
 def test_pending_records(spark):
-    rec = spark.createDataFrame([("a", "/d/a", 5), ("a", "/d/a", 9), ("b", "/d/b", 5), ("b", "/d/b", 5), ("c", "/d/c", 5), ("e", None, 1)],
-                                "record_id string, file_path string, last_modified_timestamp_millis bigint")
+    rec = spark.createDataFrame([(1, "a", "/d/a", 5), (2, "a", "/d/a", 9), (3, "b", "/d/b", 5), (4, "b", "/d/b", 5), (5, "c", "/d/c", 5), (6, "e", None, 1), (6, "e", None, 1),
+                                 (7, "f", "/d/f", None), (8, "g", "/d/a", 5), (9, "h", " ", 3)],
+                                "row_id bigint, record_id string, file_path string, last_modified_timestamp_millis bigint").withColumn("version", F.lit("x"))
     ctl = spark.createDataFrame(
         [("extract", "processed", "file:///d//a", 5), ("extract", " PROCESSED ", "/d/./b ", 5), ("extract", "error", "/d/b", 9),
-         ("collect", "processed", "/d/c", 9), ("extract", "processed", "/d/c", None), ("extract", None, "/d/c", 7)],
+         ("collect", "processed", "/d/c", 9), ("extract", "processed", "/d/c", None), ("extract", None, "/d/c", 7), ("extract", "processed", None, 9)],
         "step_name string, status string, input string, seen_modified_millis bigint",
     )
+    want = [("a", 9), ("c", 5), ("e", 1), ("f", None), ("h", 3)]
     got = delta.pending_records(rec, ctl)
-    assert sorted((r.record_id, r.last_modified_timestamp_millis) for r in got.collect()) == [("a", 9), ("c", 5), ("e", 1)]
-    assert delta.pending_records(rec, ctl.limit(0)).count() == 4
-
-
-def test_record_delta_and_commits(spark, tmp_path):
-    old = spark.createDataFrame([("x", [1]), ("gone", None)], "path string, deleted array<bigint>")
-    new = spark.createDataFrame([("x", [0]), ("add", [0])], "path string, deleted array<bigint>")
-    data = spark.createDataFrame([(p, i) for p in ("x", "gone", "add") for i in range(2)], "path string, pos bigint")
-    assert rows(delta.record_delta(old, new, data)) == [
-        ("add", 1, "insert"), ("gone", 0, "delete"), ("gone", 1, "delete"), ("x", 0, "delete"), ("x", 1, "insert"),
-    ]
-    log = delta.CommitLog(spark, f"file://{tmp_path}/log")
-    assert log.processed_version() is None and log.read() is None
-    log.publish(spark.range(3).toDF("id"), 7)
-    spark.range(9).write.parquet(f"file://{tmp_path}/log/data/orphan")  # a run that died before its commit
-    log.publish(spark.range(3, 5).toDF("id"), 8)
-    assert log.processed_version() == 8 and log.read().count() == 5
+    assert sorted((r.record_id, r.last_modified_timestamp_millis) for r in got.collect()) == want
+    assert delta.pending_records(rec, ctl.limit(0)).count() == 7 and delta.pending_records(rec.limit(0), ctl).count() == 0
+    assert sorted(tuple(r) for r in delta.commit_pending(rec, ctl).collect()) == want
+
+
+def test_pending_records_against_a_plain_reading(spark):
+    import random
+
+    rng = random.Random(4)
+    rec = [(i, f"r{rng.randint(0, 60)}", f"/p{rng.randint(0, 9)}", rng.randint(0, 20)) for i in range(900)]
+    ctl = [("extract", rng.choice(["processed", "error"]), f"/p{rng.randint(0, 9)}", rng.randint(0, 22)) for _ in range(12)]
+    newest = {}
+    for i, r, p, m in rec:
+        newest[r] = max(newest.get(r, (-1,)), (m, p, i))
+    want = sorted((r, m) for r, (m, p, _) in newest.items() if not any(s == "processed" and q == p and v >= m for _, s, q, v in ctl))
+    got = delta.pending_records(spark.createDataFrame(rec, "row_id bigint, record_id string, file_path string, last_modified_timestamp_millis bigint"),
+                                spark.createDataFrame(ctl, "step_name string, status string, input string, seen_modified_millis bigint"))
+    assert sorted(tuple(r) for r in got.collect()) == want and want
+
+
+def test_record_delta(spark):
+    at = "path string, pos bigint"
+    old = spark.createDataFrame([("x", 1), ("gone", 1), ("same", 1), ("grown", 1)], "path string, version bigint")
+    new = spark.createDataFrame([("x", 1), ("add", 1), ("same", 1), ("grown", 2)], "path string, version bigint")
+    data = spark.createDataFrame([(p, i, 1) for p in ("x", "gone", "add", "same", "other") for i in range(2)] + [("grown", 0, 1), ("grown", 1, 2)], f"{at}, version bigint")
+    delta_rows = delta.record_delta(data, old, new, spark.createDataFrame([("x", 1), ("x", 1), ("gone", 1), ("same", 0)], at), spark.createDataFrame([("x", 0), ("add", 0), ("same", 0)], at))
+    assert rows(delta_rows.drop("version")) == [("add", 1, "insert"), ("gone", 0, "delete"), ("grown", 1, "insert"), ("x", 0, "delete"), ("x", 1, "insert")]
+
+
+def test_crashes_around_the_commit(spark, tmp_path):
+    def table(*r):
+        return spark.createDataFrame(r, "row_id bigint, record_id string, file_path string, last_modified_timestamp_millis bigint")
+
+    def control(log):
+        """What the log's commits have covered, as control entries."""
+        done = log.read()
+        seen = [] if done is None else [("extract", "processed", f"/{r.record_id}", r.last_modified_timestamp_millis) for r in done.collect()]
+        return spark.createDataFrame(seen, "step_name string, status string, input string, seen_modified_millis bigint")
+
+    root = f"file://{tmp_path}/log"
+    log = delta.CommitLog(spark, root)
+    assert log.processed_version() is None and log.read() is None and log.vacuum(0) == 0
+    first = table((1, "a", "/a", 5), (2, "b", "/b", 5))
+    pending = delta.pending_records(first, control(log))
+    log.write(pending, 0)  # the run dies before its commit
+    assert log.read() is None and rows(delta.pending_records(first, control(log))) == [("a", 5), ("b", 5)]
+    log.publish(pending, 5)  # the run dies right after its commit
+    log = delta.CommitLog(spark, root)
+    assert log.processed_version() == 5 and delta.pending_records(first, control(log)).count() == 0
+    second = first.unionByName(table((3, "b", "/b", 7), (4, "c", "/c", 6)))
+    pending = delta.pending_records(second, control(log))
+    assert rows(pending) == [("b", 7), ("c", 6)]
+    mine, other = log.write(pending, 1), log.write(pending, 1)
+    log.claim(other, 1, 7)
+    with pytest.raises(RuntimeError):  # two runs claim one number
+        log.claim(mine, 1, 7)
+    assert log.processed_version() == 7 and sorted(rows(log.read())) == [("a", 5), ("b", 5), ("b", 7), ("c", 6)]
+    assert log.vacuum() == 0 and log.vacuum(0) == 2 and log.read().count() == 4
 
 
 # --- timestamps ---------------------------------------------------------------------------
