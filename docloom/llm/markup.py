@@ -1,12 +1,12 @@
 """Markup residue: kinds of markup in a text, and clean text that keeps structure.
 
-Every text is read once by a scanner of four markup languages. What the scanner
-recognises is recorded by kind and replaced by plain structure: headings, lists,
-quotations, code, tables and formulas stay, as lines in one plain notation.
-For HTML the element tree is kept long enough to hash each element subtree; the
-hashes of page-level containers are counted per site in Spark, and those that
-recur across many pages of a site (its template) are deleted before the text is
-rendered.
+HTML pages are read as element trees whose subtrees are hashed bottom-up. The
+hashes of page-level containers, with the side of the page they stand on, are
+counted per site in Spark, and those that recur across many pages of a site (its
+template) are deleted. What is left is read by a scanner of four markup
+languages: what it recognises is recorded by kind and replaced by plain
+structure. Headings, lists, quotations, code, tables and formulas stay, as lines
+in one plain notation.
 
 Defined cases: null and blank texts have no kinds and come out as they are;
 text that only resembles markup (prices, comparison signs, paths, identifiers,
@@ -93,7 +93,7 @@ _LATEX = [
     re.compile(r"(?<![\w:\\/])\\[a-zA-Z]+\*?(?:\[[^\[\]\n]*\])?\{[^{}\n]*\}"),
     re.compile(r"\{\\(?:small|large|Large|tiny|huge|it|bf|em|tt|sc|rm|sf|itshape|bfseries|footnotesize)\b[^{}\n]*\}"),
     re.compile(r"(?<!\\)\$(?=\S)[^$\n]*(?:[_^]\{|\\[a-zA-Z]+|[A-Za-z0-9][_^][A-Za-z0-9])[^$\n]*(?<=\S)\$(?!\d)"),
-    re.compile(r"(?<![\\\w:])\\\[.+?\\\]|(?<![\\\w:])\\\(.+?\\\)", re.S),
+    re.compile(r"(?<![\\\w:])\\\[(?:(?!\\\[).)+?\\\]|(?<![\\\w:])\\\((?:(?!\\\().)+?\\\)", re.S),  # no opening is passed over: linear
     re.compile(r"\$\$.+?\$\$", re.S),
     re.compile(r"(?:^|[^\w\\:])\\[$%&#_](?=[\s\d\w])"),
 ]
@@ -158,10 +158,13 @@ def kinds_of(text: str | None) -> set[str]:
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "digest", "weight")
+    """An element; start and end are its place in the text, the rest is set by ``hash_subtrees``."""
 
-    def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children, self.digest, self.weight = tag, attrs, [], 0, 0
+    __slots__ = ("tag", "attrs", "children", "digest", "weight", "content", "start", "end")
+
+    def __init__(self, tag: str, attrs: str = "", start: int = 0):
+        self.tag, self.attrs, self.children, self.start, self.end = tag, attrs, [], start, start
+        self.digest, self.weight, self.content = 0, 0, False
 
 
 _CLOSES = {
@@ -177,6 +180,14 @@ def html_tree(text: str) -> Node:
     root = Node("#root")
     stack, at = [root], 0
     raw = None
+    open_: dict[str, int] = {}  # how many elements of each name are open
+
+    def close(k: int, end: int) -> None:
+        for n in stack[k:]:
+            n.end = end
+            open_[n.tag] -= 1
+        del stack[k:]
+
     for m in _TAG.finditer(text):
         tag = (m.group(1) or "").lower()
         closing = text[m.start() + 1] == "/"
@@ -189,28 +200,32 @@ def html_tree(text: str) -> Node:
         if not tag:
             continue  # a comment or document type
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if open_.get(tag):
+                k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag)
+                close(k, m.end())
             continue
         implied = _CLOSES.get(tag) or ({"p"} if tag in BLOCK else ())
-        stop = _STOP_AT.get(tag, BLOCK - {"p", "li", "td", "th"} if tag == "p" else ())
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in stop or not implied:
-                break
-            if stack[k].tag in implied:
-                del stack[k:]
-                if tag not in ("tr", "td", "th"):
+        if any(open_.get(t) for t in implied):
+            stop = _STOP_AT.get(tag, BLOCK - {"p", "li", "td", "th"} if tag == "p" else ())
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag in stop:
                     break
-        node = Node(tag, m.group(2) or "")
+                if stack[k].tag in implied:
+                    close(k, m.start())
+                    if tag not in ("tr", "td", "th"):
+                        break
+        node = Node(tag, m.group(2) or "", m.start())
+        node.end = m.end()
         stack[-1].children.append(node)
         if tag not in VOID and not m.group().endswith("/>"):
             stack.append(node)
+            open_[tag] = open_.get(tag, 0) + 1
             if tag in ("script", "style"):
                 raw = tag
     if at < len(text):
         stack[-1].children.append(text[at:])
+    close(1, len(text))
+    root.end = len(text)
     return root
 
 
@@ -223,82 +238,80 @@ def _preorder(root: Node) -> list[Node]:
     return out
 
 
+# What a site may repeat as a whole around its pages, and the elements it may stand in.
+CONTAINERS = set("nav header footer aside div section ul table".split())
+_MARKED = {"nav", "header", "footer", "aside"}
+_WRAPPERS = set("#root html body center form div section".split())
+_CONTENT = set("h1 h2 h3 h4 h5 h6 th pre code".split())
+TEMPLATE_WEIGHT = 24  # characters of text
+
+
 def hash_subtrees(root: Node) -> list[Node]:
-    """Digest every subtree bottom-up; returns the nodes in document order."""
+    """Digest, weight and content of every subtree, bottom-up; returns the nodes in document order."""
     nodes = _preorder(root)
     for n in reversed(nodes):
-        parts, weight = [n.tag], 0
+        parts, weight, content = [n.tag], 0, n.tag in _CONTENT
         for c in n.children:
             if isinstance(c, Node):
                 parts.append(str(c.digest))
                 weight += c.weight
+                content = content or c.content
             else:
                 words = _SPACE.sub(" ", c).strip()
                 parts.append(words)
                 weight += len(words)
-        n.weight = weight
+                content = content or ("$" in c or "\\" in c) and _FORMULA.search(c) is not None
+        n.weight, n.content = weight, content
         n.digest = int.from_bytes(hashlib.blake2b("\x1f".join(parts).encode(), digest_size=8).digest(), "big", signed=True)
     return nodes
 
 
-# What a site may repeat as a whole around its pages, and the elements it may stand in.
-CONTAINERS = set("nav header footer aside div section ul table".split())
-_MARKED = {"nav", "header", "footer", "aside"}
-_WRAPPERS = set("#root html body center form div section".split())
-_CONTENT = set("h1 h2 h3 h4 h5 h6 th pre code".split())
-TEMPLATE_WEIGHT = 24  # characters of text
-
-
-def _holds_content(n: Node) -> bool:
-    return any(
-        x.tag in _CONTENT or any(isinstance(c, str) and ("$" in c or "\\" in c) and _FORMULA.search(c) for c in x.children)
-        for x in _preorder(n)
-    )
-
-
-def page_containers(root: Node) -> Iterator[tuple[Node, Node]]:
-    """Parent and node of what may be a site's template, outermost first; needs digests.
+def page_containers(root: Node) -> list[tuple[int, Node]]:
+    """What may be a site's template, outer ones before inner ones: a number that stands for
+    the subtree and its side of the page (before or behind most of the text), and the node.
 
     Cells, rows, items, paragraphs and headings never count by themselves, nor does
     anything within an article, list, table or quotation. A div, section, list or
-    table with a heading, head cell, code or formula is content.
+    table with a heading, head cell, code or formula is content. Needs digests.
     """
-    todo = [root]
+    out, todo = [], [(root, 0)]
     while todo:
-        n = todo.pop()
+        n, before = todo.pop()
         for c in n.children:
-            if isinstance(c, Node):
-                if c.tag in CONTAINERS and c.weight >= TEMPLATE_WEIGHT and (c.tag in _MARKED or not _holds_content(c)):
-                    yield n, c
-                if c.tag in _WRAPPERS:
-                    todo.append(c)
+            if isinstance(c, str):
+                before += len(_SPACE.sub(" ", c).strip())
+                continue
+            if c.tag in CONTAINERS and c.weight >= TEMPLATE_WEIGHT and (c.tag in _MARKED or not c.content):
+                behind = root.weight - before - c.weight
+                out.append((c.digest << 1 & (1 << 63) - 1 | (before > behind), c))
+            if c.tag in _WRAPPERS:
+                todo.append((c, before))
+            before += c.weight
+    return out
 
 
 def subtree_hashes(text: str) -> list[int]:
-    """Distinct digests of the page's containers, behind the digest of the whole page."""
+    """Distinct numbers of the page's containers, behind the digest of the whole page."""
     root = html_tree(text)
     page = hash_subtrees(root)[0].digest
-    return [page, *sorted({n.digest for _, n in page_containers(root)})]
+    return [page, *sorted({d for d, _ in page_containers(root)})]
 
 
-def delete_subtrees(root: Node, digests: set[int]) -> int:
-    """Remove the topmost subtrees whose digest is a template's; returns how many.
+def without_templates(text: str, template: set[int]) -> tuple[str, int]:
+    """The text without the outermost subtrees that are a template's, and how many these were.
 
     A page that would be left without text is all it has to say: it stays whole.
     """
+    root = html_tree(text)
     hash_subtrees(root)
-    gone: list[tuple[Node, Node]] = []
-    within: set[int] = set()
-    for parent, n in page_containers(root):
-        if id(parent) in within or n.digest in digests:
-            if id(parent) not in within:
-                gone.append((parent, n))
-            within.update(id(x) for x in _preorder(n))
-    if sum(n.weight for _, n in gone) >= root.weight:
-        return 0
-    for parent, n in gone:
-        parent.children = [c for c in parent.children if c is not n]
-    return len(gone)
+    gone: list[Node] = []
+    for n in sorted((n for d, n in page_containers(root) if d in template), key=lambda n: (n.start, -n.end)):
+        if not gone or n.start >= gone[-1].end:
+            gone.append(n)
+    if not gone or sum(n.weight for n in gone) >= root.weight:
+        return text, 0
+    places = [0, *(x for n in gone for x in (n.start, n.end)), len(text)]
+    return "\n".join(text[a:b] for a, b in zip(places[::2], places[1::2])), len(gone)
 
 
 Block = tuple[str, str]  # type (heading, text, item, code, row, formula), text
@@ -319,7 +332,14 @@ def html_blocks(root: Node) -> list[Block]:
             out.append((kind, line))
 
     def text_of(n: Node) -> str:
-        return "".join(c if isinstance(c, str) else text_of(c) for c in n.children)
+        out, todo = [], [n]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                out.append(x)
+            else:
+                todo.extend(reversed(x.children))
+        return "".join(out)
 
     todo: list = [(root, "text", False)]
     while todo:
@@ -332,10 +352,12 @@ def html_blocks(root: Node) -> list[Block]:
             continue
         if n.tag in DROPPED:
             continue
-        if n.tag == "pre" or n.tag == "code" and "\n" in text_of(n):
-            flush(kind)
-            out.append(("code", html.unescape(text_of(n)).strip("\n")))
-            continue
+        if n.tag in ("pre", "code"):
+            own = text_of(n)
+            if n.tag == "pre" or "\n" in own:
+                flush(kind)
+                out.append(("code", html.unescape(own).strip("\n")))
+                continue
         if n.tag == "tr":
             flush(kind)
             cells = [_inline(text_of(c)) for c in n.children if isinstance(c, Node) and c.tag in ("td", "th")]
@@ -384,7 +406,7 @@ _PLAIN = [
     (re.compile(r"\{\\[a-zA-Z]+\s+([^{}\n]*)\}"), r"\1"),
     (re.compile(r"\\([$%&#_])"), r"\1"),
 ]
-_FORMULA = re.compile(r"\$\$.+?\$\$|(?<!\\)\$(?=\S)[^$\n]*[\\_^][^$\n]*(?<=\S)\$(?!\d)|\\\[.+?\\\]|\\\(.+?\\\)", re.S)
+_FORMULA = re.compile(r"\$\$.+?\$\$|(?<!\\)\$(?=\S)[^$\n]*[\\_^][^$\n]*(?<=\S)\$(?!\d)|\\\[(?:(?!\\\[).)+?\\\]|\\\((?:(?!\\\().)+?\\\)", re.S)
 
 
 def plain_line(line: str) -> str:
@@ -440,17 +462,26 @@ def line_blocks(text: str) -> list[Block]:
     return out
 
 
-def clean(text: str, kinds: set[str], template: set[int] = frozenset()) -> tuple[list[Block], int]:
-    """Blocks of a text without its markup, and how many template subtrees went."""
+def clean(text: str, template: set[int] = frozenset()) -> tuple[set[str], list[Block], int]:
+    """Kinds of markup of a text, its blocks without it, and how many template subtrees went.
+
+    Kinds and blocks come from what is left without the template; a template that
+    went was HTML.
+    """
+    gone = 0
+    if template and "<" in text and _TAG.search(text):
+        text, gone = without_templates(text, template)
+    kinds = kinds_of(text) | ({"html"} if gone else set())
+    if not kinds:
+        return kinds, [("text", text)], gone
     if "html" in kinds and "<" in text:
         root = html_tree(text)
         blocks = {n.tag for n in _preorder(root)} & {"p", "div", "h1", "h2", "h3", "ul", "ol", "table", "body"}
-        gone = delete_subtrees(root, template) if template else 0
         if blocks or not kinds - {"html"}:
-            return html_blocks(root), gone
+            return kinds, html_blocks(root), gone
     if "html" in kinds:
         text = html.unescape(_TAG.sub("", re.sub(r"(?is)<(script|style)\b.*?</\1\s*>", "", text)))
-    return line_blocks(text), 0
+    return kinds, line_blocks(text), gone
 
 
 # --- operators ---------------------------------------------------------------------
@@ -505,24 +536,23 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def site_templates(items: DataFrame) -> DataFrame:
-    """t_site, template: digests of the containers that recur across a site's pages.
+    """t_site, template: numbers of the containers that recur across a site's pages.
 
     Copies of a page count once, else all of a page that is delivered often would
     be template. The distinct counts are formed by (site, digest, page) first, so a
-    site that holds a third of all pages is no hot key. A site keeps at most its
-    containers per page / TEMPLATE_SHARE digests.
+    site that holds a third of all pages is no hot key; the pages of each site are
+    joined back to its digests by salt, and only what passes both limits is
+    gathered: at most a page's containers / TEMPLATE_SHARE numbers a site.
     """
     pages = items.where(F.col("site").isNotNull() & F.exists("strings", lambda s: s.contains("<"))).select("site", "strings")
     hashed = pages.mapInArrow(_hashes, "site string, page bigint, digests array<bigint>")
     counts = hashed.select("site", "page", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "digests")).alias("digest"))
-    n = counts.groupBy("site", "digest").agg(F.count_distinct("page").alias("n"))
+    n = counts.groupBy("site", "digest").agg(F.count_distinct("page").alias("n")).where(F.col("digest").isNull() | (F.col("n") >= TEMPLATE_PAGES))
     # the null digest counts the pages themselves
-    top = n.groupBy("site").agg(
-        F.max(F.when(F.col("digest").isNull(), F.col("n"))).alias("pages"),
-        F.collect_list(F.when(F.col("digest").isNotNull() & (F.col("n") >= TEMPLATE_PAGES), F.struct("digest", "n"))).alias("l"),
-    )
-    recurring = F.transform(F.filter("l", lambda x: x["n"] >= F.col("pages") * TEMPLATE_SHARE), lambda x: x["digest"])
-    return top.select(F.col("site").alias("t_site"), recurring.alias("template")).where(F.size("template") > 0)
+    total = n.where("digest is null").select(F.col("site").alias("p_site"), F.col("n").alias("pages"), F.explode(F.array([F.lit(i) for i in range(SALTS)])).alias("p_salt"))
+    recurring = n.where("digest is not null").join(total, (F.col("site") == F.col("p_site")) & (F.pmod("digest", F.lit(SALTS)) == F.col("p_salt")))
+    kept = recurring.where(F.col("n") >= F.col("pages") * TEMPLATE_SHARE)
+    return kept.groupBy(F.col("site").alias("t_site")).agg(F.collect_list("digest").alias("template"))
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -531,15 +561,12 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part, rows = b.slice(k, 1024), []
             for tab, item, strings, template in zip(*(part.column(i).to_pylist() for i in range(4))):
                 kinds, blocks, gone = set(), [], 0
+                known = frozenset(template or ())
                 for s in strings or []:
-                    own = kinds_of(s)
+                    own, more, n = clean(s, known) if s else (set(), [("text", s)], 0)
                     kinds |= own
-                    if not own:
-                        blocks.append(("text", s))
-                    else:
-                        more, n = clean(s, own, set(template or ()))
-                        blocks += more
-                        gone += n
+                    blocks += more
+                    gone += n
                 text = "\n".join(t for _, t in blocks if t is not None) if strings else None
                 rows.append((tab, item, sorted(kinds), text, [{"block_type": a, "text": t} for a, t in blocks], gone))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CLEAN)], schema=_CLEAN)

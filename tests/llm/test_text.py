@@ -40,7 +40,7 @@ def test_small_traces_of_markup():
 
 def test_clean_keeps_structure():
     def blocks(t):
-        return markup.clean(t, markup.kinds_of(t))[0]
+        return markup.clean(t)[1]
 
     assert blocks("<h1>A</h1><ul><li>x <b>y</b></li></ul><pre><code>a &lt; b\nc</code></pre><table><tr><th>P</th><th>F</th></tr></table>") == [
         ("heading", "A"), ("item", "x y"), ("code", "a < b\nc"), ("row", "P\tF"),
@@ -93,6 +93,39 @@ def test_repeated_content_is_no_template(spark, n):
         assert r.clean_text.split("\n") == want and r.n_template == (i < 1000)
 
 
+FIELDS = ("field_id bigint, text array<string>, structured_content array<struct<block_type: string, text: string, url: string, title: string, "
+          "subtype: string, heading: string, items: array<string>, head: array<array<string>>, body: array<array<string>>>>")
+
+
+def test_menus_and_footers_go_and_rows_follow_what_is_left(spark):
+    menu = "<div class='m'><ul><li><a href='/a'>Start of the site</a></li><li><a href='/b'>Help and **contact** pages</a></li></ul></div>"
+    page = "<html><body>{menu}<header>Welcome to the ''help'' of the site</header><div><h1>Case {i}</h1><p>The text of case {i} says it all.</p></div>{foot}</body></html>"
+    foot = "<footer>Imprint, privacy, {{{{terms}}}} and $x_{{1}}^2$ of use</footer>".format()
+    docs = [(i, page.format(menu=menu, i=i, foot=foot), "S1") for i in range(60)]
+    docs += [(100 + i, f"<body><p>Plain page {i} without them.</p></body>", "S1") for i in range(20)]
+    docs += [(200, f"<body><p>{'A long text stands before it. ' * 20}</p>{menu}</body>", "S1")]  # on the other side of the page
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, site_id string")
+    items = markup.text_items(d, spark.createDataFrame([], FIELDS))
+    templates = markup.site_templates(items).collect()
+    assert [(r.t_site, len(r.template)) for r in templates] == [("S1", 4)]  # the list within the menu too
+    for r in markup.clean_items(items).collect():
+        if r.item_id < 60:
+            assert r.clean_text.split("\n") == [f"Case {r.item_id}", f"The text of case {r.item_id} says it all."] and r.n_template == 3
+        assert r.n_template == (3 if r.item_id < 60 else 0)
+        # the kinds within the template went with it
+        assert r.kinds == (["html"] if r.item_id != 200 else ["html", "markdown"])
+
+
+def test_hostile_pages(spark):
+    n = 5_000
+    deep = "<div>" * n + "deep text" + "</div>" * n
+    pages = [deep, "<table><tr><td>" + "<b>" * n + "cell" + "</b>" * n + "</td></tr></table>", "<p>" * n + "x", "<pre>" + "<i>" * n + "c", "</div>" * n + "<p>y</p>",
+             "<li>" * n, "\\[ a " * n, "\\( a " * n, "<b>" * n + "</i>" * n + "<p>z</p>", "<ul>" * n + "<li>q", "<!--" * n]
+    d = spark.createDataFrame([(i, t, "S1") for i, t in enumerate(pages)], "doc_id bigint, text string, site_id string")
+    out = {r.item_id: r for r in markup.clean_items(markup.text_items(d, spark.createDataFrame([], FIELDS))).collect()}
+    assert out[0].clean_text == "deep text" and out[1].clean_text == "cell" and out[4].clean_text == "y" and len(out) == len(pages)
+
+
 # --- sentences --------------------------------------------------------------------------
 
 SENTENCES = [
