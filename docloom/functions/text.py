@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # every white-space code point that a Unicode string split knows (fixed value)
@@ -11,7 +14,10 @@ WS = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\p{Z}]"
 QUESTION_WORDS = tuple(
     "am are can could did does had has have how is may might shall was were what where which who why will would".split()
 )
+# List markers.
 BULLETS = ("•", "*", "o")
+LIST_NUMBER = r"^(\d\.?){1,3}$"
+ROMAN_NUMERAL = r"^(?=[ivxlcIVXLC])(?i:(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3}))[.)]?$"
 
 
 def _col(c) -> Column:
@@ -72,12 +78,12 @@ def is_bullet(t) -> Column:
 
 
 def is_list_number(t) -> Column:
-    return _col(t).rlike(r"^(\d\.?){1,3}$")
+    return _col(t).rlike(LIST_NUMBER)
 
 
 def is_roman_numeral(t) -> Column:
     """Roman numeral up to 99, in any case, with an optional dot or bracket."""
-    return _col(t).rlike(r"^(?i)(?=[ivxlc])(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})[.)]?$")
+    return _col(t).rlike(ROMAN_NUMERAL)
 
 
 def is_ordered_item(t, following) -> Column:
@@ -111,21 +117,46 @@ def list_intro(c) -> Column:
 def normal_list_item(c) -> Column:
     """A list item as part of a sentence: lower-case start (unless an acronym), no closing marks."""
     t = clean_text(c)
-    lowered = F.when(t.rlike(r"^\p{Lu}\p{Ll}"), F.concat(F.lower(F.substring(t, 1, 1)), F.substring(t, 2, 1_000_000))).otherwise(t)
+    lowered = F.when(t.rlike(r"^\p{Lu}\p{Ll}"), F.concat(F.lower(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.char_length(t)))).otherwise(t)
     return F.regexp_replace(lowered, r"[^\p{L}\p{N}_]+$", "")
 
 
-def deep_merge(a, b) -> Column:
-    """Two JSON objects merged: objects of both sides are merged one level, else b counts."""
-    kind = "map<string,string>"
-    x, y = F.from_json(_col(a), kind), F.from_json(_col(b), kind)
-    empty = F.from_json(F.lit("{}"), kind)
-    x, y = F.coalesce(x, empty), F.coalesce(y, empty)
-    merged = F.map_zip_with(
-        x, y,
-        lambda _, u, v: F.when(v.isNull(), u).when(
-            u.startswith("{") & v.startswith("{"),
-            F.to_json(F.map_zip_with(F.from_json(u, kind), F.from_json(v, kind), lambda _, p, q: F.coalesce(q, p))),
-        ).otherwise(v),
-    )
-    return F.to_json(merged)
+def _merged(a: str | None, b: str | None, append: bool) -> str | None:
+    """Two JSON objects merged at every depth, by an explicit stack."""
+
+    def parsed(x: str | None):
+        try:
+            return json.loads(x) if x else None
+        except (ValueError, RecursionError):
+            return None
+
+    target, source = parsed(a), parsed(b)
+    if not isinstance(source, dict):
+        return None if target is None else json.dumps(target, ensure_ascii=False, separators=(",", ":"))
+    if not isinstance(target, dict):
+        target = {}
+    todo = [(target, source)]
+    while todo:
+        t, s = todo.pop()
+        for k, v in s.items():
+            if isinstance(v, dict) and isinstance(t.get(k), dict):
+                todo.append((t[k], v))
+            elif append and isinstance(v, list) and isinstance(t.get(k), list):
+                t[k] = t[k] + v
+            else:
+                t[k] = v
+    return json.dumps(target, ensure_ascii=False, separators=(",", ":"))
+
+
+def deep_merge(a, b, append_to_lists: bool = False) -> Column:
+    """Two JSON objects merged at every depth: objects are merged, of other values b's
+    counts; lists are replaced, or appended if asked for. Arrow batches.
+
+    What is no JSON object counts as absent; if b is absent a is returned.
+    """
+
+    @F.pandas_udf("string")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([_merged(p, q, append_to_lists) for p, q in zip(x, y)], dtype=object)
+
+    return run(_col(a), _col(b))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -72,8 +72,27 @@ def infer_fields(rows: list[list[str]], names: list[str] | None) -> list[dict]:
     return out
 
 
+def _run(call: Iterator):
+    """Run a walk whose steps yield further walks, on an explicit stack: no depth is too deep."""
+    stack, value = [call], None
+    while stack:
+        try:
+            deeper = stack[-1].send(value)
+        except StopIteration as e:
+            stack.pop()
+            value = e.value
+        else:
+            stack.append(deeper)
+            value = None
+    return value
+
+
 class Extractor:
-    """Blocks and text lines of one document."""
+    """Blocks and text lines of one document.
+
+    Walks over elements are generators that yield the walks they need done (see ``_run``).
+    What each tag does to a running text is in ``handlers``; a subclass may add to it.
+    """
 
     def __init__(self, extractors=ALL, segment: bool = False, keep_scripts: bool = False, excluded=()):
         self.on, self.segment, self.excluded = frozenset(extractors), segment, frozenset(excluded)
@@ -82,50 +101,43 @@ class Extractor:
         self.lines: list[str] = []
         self.buffer: list[str] = []
         self.tables = self.level_tables = 0
+        self.handlers: dict[str, Callable[[Element], Iterator]] = {
+            **dict.fromkeys(HEADINGS, self.heading), **dict.fromkeys(LISTS, self.list), "table": self.outer_table,
+        }
 
     def parse(self, text: str | None) -> Extractor:
         if text and text.strip():
-            self.walk(parse_html(text))
+            _run(self.walk(parse_html(text)))
             self.flush()
         return self
 
     # inline content ---------------------------------------------------------
 
-    def inline(self, e: Element, sink: list[str], emit: bool, flush=None) -> None:
-        """Text of inline content into ``sink``; links and images become blocks.
-
-        ``flush`` is called at line breaks and at paragraphs, if given.
-        """
+    def inline(self, e: Element, sink: list[str], emit: bool):
+        """Text of inline content into ``sink``; links and images become blocks."""
         for c in e.children:
             if isinstance(c, str):
                 sink.append(c)
             elif c.tag in self.dropped or c.tag in self.excluded:
                 continue
             elif c.tag == "br":
-                if flush:
-                    flush()
-                else:
-                    sink.append(" ")
+                sink.append(" ")
             elif c.tag == "img":
                 self.image(c, sink, emit)
             elif c.tag == "a" and "href" in c.attrs:
-                self.anchor(c, sink, emit)
-            elif flush and (c.tag in ("p", "div") or c.tag in HEADINGS):
-                flush()
-                self.inline(c, sink, emit, flush)
-                flush()
+                yield self.anchor(c, sink, emit)
             else:
-                self.inline(c, sink, emit, flush)
+                yield self.inline(c, sink, emit)
 
-    def anchor(self, e: Element, sink: list[str], emit: bool) -> None:
+    def anchor(self, e: Element, sink: list[str], emit: bool):
         inner: list[str] = []
-        self.inline(e, inner, emit)
-        text = collapse("".join(inner))
+        yield self.inline(e, inner, emit)
+        raw = "".join(inner)
+        text = collapse(raw)
         if not text:
             return
         if emit:
             self.blocks.append({"type": "link", "url": e.attrs["href"], "text": text})
-        raw = "".join(inner)
         lead, tail = raw[: len(raw) - len(raw.lstrip())], raw[len(raw.rstrip()) :]
         sink.append(f"{lead}[[{text}]]{tail}")
 
@@ -155,46 +167,39 @@ class Extractor:
             if b["type"] != "list":
                 self.lines.append(strip_markers(b["text"]))
 
-    def walk(self, e: Element) -> None:
+    def walk(self, e: Element):
         for c in e.children:
             if isinstance(c, str):
                 self.buffer.append(c)
+            elif c.tag in self.dropped or c.tag in self.excluded:
                 continue
-            if c.tag in self.dropped or c.tag in self.excluded:
-                continue
-            if c.tag in HEADINGS:
-                self.flush()
-                self.heading(c)
-            elif c.tag in LISTS:
-                self.flush()
-                self.list(c)
-            elif c.tag == "table":
+            elif c.tag in self.handlers:
                 self.flush()
-                self.table(c)
+                yield self.handlers[c.tag](c)
             elif c.tag in ("p", "div"):
                 self.flush()
-                self.walk(c)
+                yield self.walk(c)
                 self.flush()
             elif c.tag == "br":
                 self.flush()
             elif c.tag == "img":
                 self.image(c, self.buffer, "text" in self.on)
             elif c.tag == "a" and "href" in c.attrs:
-                self.anchor(c, self.buffer, "text" in self.on)
+                yield self.anchor(c, self.buffer, "text" in self.on)
             else:
-                self.walk(c)
+                yield self.walk(c)
 
-    def heading(self, e: Element) -> None:
+    def heading(self, e: Element):
         if "heading" not in self.on:
             return
         parts: list[str] = []
-        self.inline(e, parts, True)
+        yield self.inline(e, parts, True)
         text = collapse("".join(parts))
         if text:
             self.blocks.append({"type": "heading", "text": text})
             self.lines.append(strip_markers(text))
 
-    def list(self, e: Element) -> None:
+    def list(self, e: Element):
         if "list" not in self.on:
             return
         heading: list[str] = []
@@ -214,7 +219,7 @@ class Extractor:
             else:
                 heading.append(strip_markers(text))
 
-        def read(node: Element, sink: list[str], item: bool) -> None:
+        def read(node: Element, sink: list[str], item: bool):
             nonlocal seen_item
             for c in node.children:
                 if isinstance(c, str):
@@ -223,25 +228,25 @@ class Extractor:
                     continue
                 elif c.tag == "table":
                     close(sink, item)
-                    self.table(c)
+                    yield self.table(c)
                 elif c.tag == "li":
                     close(sink, item)
                     seen_item = True
                     own: list[str] = []
-                    read(c, own, True)
+                    yield read(c, own, True)
                     close(own, True)
                 elif c.tag in LISTS:
                     close(sink, item)
                     inner: list[str] = []
-                    read(c, inner, False)
+                    yield read(c, inner, False)
                     close(inner, False)
                 elif c.tag == "a" and "href" in c.attrs:
-                    self.anchor(c, sink, True)
+                    yield self.anchor(c, sink, True)
                 elif c.tag == "img":
                     self.image(c, sink, True)
                 elif not item and (c.tag in HEADINGS or c.tag in ("p", "div")):
                     close(sink, False)
-                    read(c, sink, False)
+                    yield read(c, sink, False)
                     close(sink, False)
                 elif c.tag == "br":
                     if item:
@@ -250,13 +255,13 @@ class Extractor:
                         close(sink, False)
                 elif item and c.tag in ("p", "div"):
                     sink.append(" ")
-                    read(c, sink, True)
+                    yield read(c, sink, True)
                     sink.append(" ")
                 else:
-                    read(c, sink, item)
+                    yield read(c, sink, item)
 
         rest: list[str] = []
-        read(e, rest, False)
+        yield read(e, rest, False)
         close(rest, False)
         if items or heading:
             block = {"type": "list", "subtype": "unordered", "items": items}
@@ -277,7 +282,10 @@ class Extractor:
                 inside = in_head or e.tag == "thead"
                 todo.extend((c, inside) for c in reversed(e.children) if isinstance(c, Element))
 
-    def table(self, e: Element, depth: int = 0) -> int | None:
+    def outer_table(self, e: Element):
+        yield self.table(e)
+
+    def table(self, e: Element, depth: int = 0):
         """Emit the table (nested ones first); returns its number within the outermost."""
         if "table" not in self.on:
             return None
@@ -286,7 +294,7 @@ class Extractor:
         if cells and max(map(len, cells)) == 1 and len(self.on) > 1:  # layout, not data
             for row in cells:
                 for cell in row:
-                    self.walk(cell)
+                    yield self.walk(cell)
                     self.flush()
             return None
         head: list[list[str]] = []
@@ -297,11 +305,11 @@ class Extractor:
             for cell in row_cells:
                 parts: list[str] = []
                 for inner in self.outer_tables(cell):
-                    n = self.table(inner, depth + 1)
+                    n = yield self.table(inner, depth + 1)
                     if n is not None:
                         references.append(f"{{table:{n}}}")
                         parts.append(f"{{table:{n}}} ")
-                self.cell(cell, parts)
+                yield self.cell(cell, parts)
                 values.append(collapse("".join(parts)))
             if not any(values):
                 continue
@@ -339,25 +347,25 @@ class Extractor:
             else:
                 todo.extend(x for x in reversed(c.children) if isinstance(x, Element))
 
-    def cell(self, e: Element, sink: list[str]) -> None:
+    def cell(self, e: Element, sink: list[str]):
         for c in e.children:
             if isinstance(c, str):
                 sink.append(c)
             elif c.tag == "table" or c.tag in self.dropped:
                 continue
             elif c.tag == "a" and "href" in c.attrs:
-                self.anchor(c, sink, True)
+                yield self.anchor(c, sink, True)
             elif c.tag == "img":
                 self.image(c, sink, True)
             else:
                 if c.tag in ("br", "p", "div", "li"):
                     sink.append(" ")
-                self.cell(c, sink)
+                yield self.cell(c, sink)
 
 
-def parse_fragment(text: str | None, **options) -> tuple[list[str], list[dict]]:
+def parse_fragment(text: str | None, extractor: type[Extractor] = Extractor, **options) -> tuple[list[str], list[dict]]:
     """Text lines and blocks of one HTML fragment."""
-    x = Extractor(**options).parse(fix_content(text) if text else text)
+    x = extractor(**options).parse(fix_content(text) if text else text)
     return x.lines, x.blocks
 
 
@@ -377,6 +385,16 @@ _MEMBERS = (
 )
 
 
+def _whole(block: dict, seq: int) -> dict:
+    """A block with all members of its type."""
+    return {m: (seq if m == "seq" else block.get(m)) for m in _MEMBERS}
+
+
+def parsed_value(text: str | None, **options) -> tuple[list[str], list[dict]]:
+    lines, blocks = parse_value(text, **options)
+    return lines, [_whole(b, i) for i, b in enumerate(blocks)]
+
+
 def html_blocks(html: Column, json_values: bool = False, **options) -> Column:
     """Struct of text lines and blocks of an HTML column: one Arrow call per batch,
     each fragment is parsed once."""
@@ -387,7 +405,7 @@ def html_blocks(html: Column, json_values: bool = False, **options) -> Column:
         for t in texts:
             a, b = one(t, **options)
             lines.append(a)
-            blocks.append([{m: (i if m == "seq" else x.get(m)) for m in _MEMBERS} for i, x in enumerate(b)])
+            blocks.append([_whole(x, i) for i, x in enumerate(b)])
         return pd.DataFrame({"text": lines, "structured_content": blocks})
 
     return F.pandas_udf(run, PARSED)(html)

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import re
 
-BULLETS = ("•", "*", "o")
-LIST_NUMBER = re.compile(r"^(\d\.?){1,3}$")
+from docloom.functions.text import BULLETS, LIST_NUMBER
+
 ORDERED = re.compile(r"^(?:\d{1,3}|[A-Za-z]|[ivxlIVXL]{1,6})[.)]$")
-ROMAN = re.compile(r"^(?=[ivxlcIVXLC])(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})[.)]?$", re.IGNORECASE)
+_LIST_NUMBER = re.compile(LIST_NUMBER)
 # Words that may stand in lower case within a heading.
 STOP_WORDS = frozenset(
     "a an the and or but nor of in on at to for from by with without as is are be was were it its this that these those "
@@ -24,7 +24,7 @@ def tokens(text: str) -> list[str]:
     """Words (with a list marker's own dot), marks and line breaks."""
     out = []
     for t in _TOKEN.findall(text):
-        if len(t) > 1 and t[-1] in ".)" and not ORDERED.match(t) and not LIST_NUMBER.match(t):
+        if len(t) > 1 and t[-1] in ".)" and not ORDERED.match(t) and not _LIST_NUMBER.match(t):
             out += [t[:-1], t[-1]]
         else:
             out.append(t)
@@ -32,7 +32,7 @@ def tokens(text: str) -> list[str]:
 
 
 def is_marker(t: str) -> bool:
-    return bool(ORDERED.match(t) or t[-1:] in ".)" and len(t) > 1 and LIST_NUMBER.match(t.rstrip(")")))
+    return bool(ORDERED.match(t) or t[-1:] in ".)" and len(t) > 1 and _LIST_NUMBER.match(t.rstrip(")")))
 
 
 def maybe_heading(text: str) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
@@ -39,16 +40,21 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("#document")
         self.open = [self.root]
+        self.held: Counter[str] = Counter()  # open elements by tag, so that nothing absent is searched
+
+    def _cut(self, k: int) -> None:
+        self.held.subtract(e.tag for e in self.open[k:])
+        del self.open[k:]
 
     def _close(self, tags, stop) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
+        k = len(self.open) - 1
+        while any(self.held[t] for t in tags) and k > 0:
             tag = self.open[k].tag
             if tag in stop:
                 return
             if tag in tags:
-                del self.open[k:]
-                if not any(e.tag in tags for e in self.open[1:]):
-                    return
+                self._cut(k)
+            k -= 1
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS:
@@ -59,16 +65,16 @@ class _Builder(HTMLParser):
         self.open[-1].children.append(e)
         if tag not in VOID:
             self.open.append(e)
+            self.held[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.open[-1].tag == tag:
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        if any(e.tag == tag for e in self.open[1:]):
-            while self.open.pop().tag != tag:
-                pass
+        if self.held[tag]:
+            self._cut(next(k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag == tag))
 
     def handle_data(self, data):
         self.open[-1].children.append(data)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.functions.text import clean_text
+from docloom.operators.tables import table_sentences
 
 SMALL_ROWS = 100_000
 
@@ -39,25 +40,34 @@ def _orderable(fields: DataFrame) -> bool:
     return "map<" not in fields.schema["structured_content"].dataType.simpleString()
 
 
+def of_types(rows: DataFrame, doc_types: DataFrame) -> DataFrame:
+    """The rows whose doc_type is one of those given."""
+    return rows.join(dimension(doc_types.select(F.col("doc_type").alias("t_type")).distinct()), F.col("doc_type") == F.col("t_type"), "left_semi")
+
+
 def combine_text(blocks: DataFrame, doc_types: DataFrame, key: str = "row_id") -> DataFrame:
     """key, seq, i, line: texts, headings and list items of the documents of given types."""
-    chosen = blocks.join(dimension(doc_types.select(F.col("doc_type").alias("t_type")).distinct()), F.col("doc_type") == F.col("t_type"), "left_semi")
+    chosen = of_types(blocks, doc_types)
     lines = F.when(F.col("type").isin("text", "heading"), F.array("text")).when(F.col("type") == "list", F.col("items"))
     return chosen.select(key, "seq", F.posexplode(lines).alias("i", "line")).where(clean_text("line") != "")
 
 
-def qa_line(table_sentence: Column | None = None) -> Column:
-    """The line a block gives for question answering: text as it is, lists as HTML."""
+def qa_line() -> Column:
+    """The line a text or list block gives for question answering: text as it is, lists as HTML."""
     items = F.array_join(F.transform("items", lambda x: F.concat(F.lit("<li>"), x, F.lit("</li>"))), "")
     as_list = F.concat(F.coalesce("heading", F.lit("")), F.lit("<ul>"), items, F.lit("</ul>"))
-    line = F.when(F.col("type") == "text", F.col("text")).when(F.col("type") == "list", as_list)
-    return line if table_sentence is None else line.when(F.col("type") == "table", table_sentence)
+    return F.when(F.col("type") == "text", F.col("text")).when(F.col("type") == "list", as_list)
 
 
-def prepare_qa(blocks: DataFrame, key: str = "row_id", table_sentence: Column | None = None) -> DataFrame:
-    """id and text of each line; ids are hashes of document and position."""
-    ident = F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.col("seq").cast("string")), 256)
-    return blocks.select(ident.alias("id"), qa_line(table_sentence).alias("text")).where(clean_text("text") != "")
+def prepare_qa(blocks: DataFrame, key: str = "row_id", reference: str | None = None) -> DataFrame:
+    """id and text of each line: texts, lists as HTML, tables as sentences.
+
+    Ids are hashes of document and position (for tables with row and column).
+    """
+    ident = lambda *c: F.sha2(F.concat_ws("|", *[F.col(x).cast("string") for x in c]), 256).alias("id")
+    lines = blocks.where(F.col("type").isin("text", "list")).select(ident(key, "seq"), qa_line().alias("text"))
+    tables = table_sentences(blocks.where("type = 'table'"), (key, "seq"), reference=reference)
+    return lines.unionByName(tables.select(ident(key, "seq", "r", "c"), F.col("sentence").alias("text"))).where(clean_text("text") != "")
 
 
 def non_empty(df: DataFrame, text: str = "text") -> DataFrame:

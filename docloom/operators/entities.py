@@ -12,17 +12,18 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.operators.collect import dimension
+from docloom.plugins import person_entities
 from docloom.schema import ENTITY
+from docloom.session import materialise
 
-MAX_ENTRIES = 1_000_000  # of a dictionary that is sent to the workers
+MAX_ENTRIES = 100_000  # of a dictionary that is sent to the workers; above it phrases are joined
 
 
 class Dictionary:
     """Longest match first, left to right, without overlaps, on word boundaries."""
 
     def __init__(self, entries: dict[str, str]):
-        if len(entries) > MAX_ENTRIES:
-            raise ValueError("dictionary above the size that may be broadcast")
         self.trie: dict = {}
         for phrase, value in entries.items():
             node = self.trie
@@ -121,13 +122,28 @@ def match_system(text) -> Column:
     return F.pandas_udf(run, f"array<{ENTITY}>")(text)
 
 
+def _uncontained(mentions: list) -> list:
+    """What lies strictly within no other one: a sort and one pass."""
+    order = sorted(range(len(mentions)), key=lambda i: (mentions[i]["start"], -mentions[i]["end"]))
+    kept, before, start, longest = set(), -1, None, -1  # furthest end of earlier starts, this start and its furthest end
+    for i in order:
+        a, b = mentions[i]["start"], mentions[i]["end"]
+        if a != start:
+            before, start, longest = max(before, longest), a, b
+        if before < b and longest == b:
+            kept.add(i)
+    return [m for i, m in enumerate(mentions) if i in kept]
+
+
 def prune_contained(mentions) -> Column:
     """Mentions that lie strictly within no other candidate."""
     m = F.col(mentions) if isinstance(mentions, str) else mentions
-    within = lambda a, b: (
-        (b["start"] <= a["start"]) & (b["end"] >= a["end"]) & ((b["end"] - b["start"]) > (a["end"] - a["start"]))
-    )
-    return F.filter(m, lambda a: ~F.exists(m, lambda b: within(a, b)))
+
+    @F.pandas_udf(f"array<{ENTITY}>")
+    def run(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda x: _uncontained(list(x)) if x is not None else None)
+
+    return F.when(F.size(m) < 2, m).otherwise(run(m))
 
 
 def valid_mentions(mentions) -> Column:
@@ -142,26 +158,82 @@ def valid_mentions(mentions) -> Column:
     return F.filter(m, ok)
 
 
-def line_entities(lines: DataFrame, text: str = "text", dictionary=None, patterns=None, system: bool = True) -> DataFrame:
-    """Adds ``entities``: all candidates, pruned by containment, then checked."""
+_GRAM = re.compile(r"\w+|[^\w\s]")
+
+
+def phrase_matches(lines: DataFrame, entries: DataFrame, text: str = "text", out: str = "mentions") -> DataFrame:
+    """Adds (or replaces) ``out``: the phrases of a dictionary table, longest first, left to right.
+
+    For dictionaries of any size: each line gives its word sequences of the lengths
+    that phrases have (one Arrow call a batch), these are joined with the phrases, and
+    the hits of a line are thinned out within the line. ``entries``: phrase, entity, value.
+    """
+    sizes = F.pandas_udf(lambda s: s.map(lambda p: len(_GRAM.findall(p or ""))), "int")
+    known = entries.where("phrase <> ''").dropDuplicates(["phrase"]).select("phrase", "entity", "value", sizes("phrase").alias("n"))
+    lengths = sorted(r.n for r in known.select("n").distinct().collect() if r.n)  # the few lengths that phrases have
+
+    @F.pandas_udf("array<struct<phrase: string, start: int, end: int>>")
+    def grams(texts: pd.Series) -> pd.Series:
+        def of(t):
+            at = [m.span() for m in _GRAM.finditer(t or "")]
+            return [(t[at[i][0] : at[i + n - 1][1]], at[i][0], at[i + n - 1][1]) for n in lengths for i in range(len(at) - n + 1)]
+
+        return texts.map(of)
+
+    @F.pandas_udf(f"array<{ENTITY}>")
+    def thinned(hits: pd.Series) -> pd.Series:
+        def of(found):
+            out, end = [], -1
+            for h in sorted(found if found is not None else [], key=lambda h: (h["start"], -h["end"])):
+                if h["start"] >= end:
+                    out.append(_mention(h["entity"], h["start"], h["end"], h["value"]))
+                    end = h["end"]
+            return out
+
+        return hits.map(of)
+
+    named = lines.drop(out).withColumn("_dl_line", F.monotonically_increasing_id())
+    kept = materialise(named, "lines")  # the numbers must stay the same on both sides
+    words = kept.select("_dl_line", F.inline(grams(F.col(text))))
+    hit = words.join(dimension(known.drop("n").withColumnRenamed("phrase", "e_phrase")), F.col("phrase") == F.col("e_phrase"))
+    gathered = hit.groupBy(F.col("_dl_line").alias("_dl_owner")).agg(F.collect_list(F.struct("start", "end", "entity", "value")).alias("_dl_hits"))
+    joined = kept.join(gathered, F.col("_dl_line") == F.col("_dl_owner"), "left")
+    return joined.select(*[c for c in lines.columns if c != out], thinned(F.col("_dl_hits")).alias(out))
+
+
+def line_entities(lines: DataFrame, text: str = "text", dictionary=None, patterns=None, system: bool = True, persons=None) -> DataFrame:
+    """Adds ``entities``: all candidates, pruned by containment, then checked.
+
+    ``dictionary``: phrase → (entity, value); a large one is joined instead of sent to the
+    workers. ``persons``: loader of a person recogniser (see ``plugins``).
+    """
     none = F.array().cast(f"array<{ENTITY}>")
-    found = [none]
-    if dictionary:
+    found, columns = [none], lines.columns
+    if dictionary and len(dictionary) > MAX_ENTRIES:
+        entries = lines.sparkSession.createDataFrame(pd.DataFrame([(p, *ev) for p, ev in dictionary.items()], columns=["phrase", "entity", "value"]))
+        lines = phrase_matches(lines, entries, text, "_dl_phrases")
+        found.append(F.col("_dl_phrases"))
+    elif dictionary:
         found.append(match_dictionary(F.col(text), dictionary))
     if patterns:
         found.append(match_patterns(F.col(text), patterns))
     if system:
         found.append(match_system(F.col(text)))
+    if persons:
+        found.append(person_entities(F.col(text), persons))
     out = lines.withColumn("_candidates", F.concat(*found))
-    return out.withColumn("entities", valid_mentions(prune_contained("_candidates"))).drop("_candidates")
+    return out.select(*columns, valid_mentions(prune_contained("_candidates")).alias("entities"))
 
 
 def token_matches(lines: DataFrame, entries: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Single-word dictionary matches by hash join: key, token, entity, value, n."""
+    """Single-word dictionary matches: key, token, entity, value, n.
+
+    Words meet the dictionary before they are counted, so only hits are shuffled.
+    """
     words = lines.select(key, F.explode(F.split(text, r"[^\p{L}\p{N}_]+")).alias("token")).where("token <> ''")
-    counted = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
-    e = entries.select(F.col("phrase").alias("e_phrase"), "entity", "value")
-    return counted.join(e, F.col("token") == F.col("e_phrase")).drop("e_phrase")
+    e = dimension(entries.select(F.col("phrase").alias("e_phrase"), "entity", "value"))
+    hit = words.join(e, F.col("token") == F.col("e_phrase"))
+    return hit.groupBy(key, "token", "entity", "value").agg(F.count(F.lit(1)).alias("n")).select(key, "token", "n", "entity", "value")
 
 
 # --- relations ------------------------------------------------------------------------

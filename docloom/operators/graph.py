@@ -55,18 +55,20 @@ def heading_edges(nodes: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def link_edges(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """has_link: a text with ``[[t]]`` to the latest earlier link with text t.
+    """has_link: a text, heading or list item with ``[[t]]`` to the latest earlier link with text t.
 
     An as-of join: equal document and text, greatest position below; the
     greatest is a partial aggregate, not a window.
     """
     links = blocks.where("type = 'link'").select(F.col(key).alias("l_key"), F.col("seq").alias("l_seq"), F.col("text").alias("l_text"))
-    marks = blocks.where(F.col("type").isin("text", "heading")).select(
-        key, "seq", F.explode(F.regexp_extract_all("text", F.lit(r"\[\[(.*?)\]\]"), 1)).alias("mark")
+    texts = blocks.where(F.col("type").isin("text", "heading")).select(key, "seq", node_id(key, "seq").alias("node_id1"), F.col("text").alias("marked"))
+    items = blocks.where("type = 'list'").select(key, "seq", F.posexplode("items").alias("i", "marked")).select(
+        key, "seq", _child([key, "seq"], "item", "i").alias("node_id1"), "marked"
     )
+    marks = texts.unionByName(items).select(key, "seq", "node_id1", F.explode(F.regexp_extract_all("marked", F.lit(r"\[\[(.*?)\]\]"), 1)).alias("mark"))
     hit = marks.join(links, (F.col(key) == F.col("l_key")) & (F.col("mark") == F.col("l_text")) & (F.col("l_seq") < F.col("seq")))
-    latest = hit.groupBy(key, "seq", "mark").agg(F.max("l_seq").alias("l_seq"))
-    return latest.select(node_id(key, "seq").alias("node_id1"), node_id(key, "l_seq").alias("node_id2"), F.lit("has_link").alias("edge_type"))
+    latest = hit.groupBy(key, "node_id1", "mark").agg(F.max("l_seq").alias("l_seq"))
+    return latest.select("node_id1", node_id(key, "l_seq").alias("node_id2"), F.lit("has_link").alias("edge_type"))
 
 
 def _child(parent_parts: list, kind: str, *index) -> Column:

@@ -1,5 +1,9 @@
 """Type inference of tables and their rendering as sentences.
 
+A table is one row with its head and body; everything about it is worked out within
+that row, by higher-order functions, so nothing is shuffled. ``cells`` and
+``column_types`` are the long form, for columns that are spread over many rows.
+
 Defined cases: null and empty cells are NULL; a column that holds only NULL and
 BIT counts as BOOL; infinities and not-a-number are STRING; a table without rows
 has no header, no labels and gives no sentence.
@@ -8,7 +12,7 @@ has no header, no labels and gives no sentence.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Words for null, true and false.
 NULL_WORDS = ("null", "none", "na", "_", "-")
@@ -82,9 +86,18 @@ def column_types(typed: DataFrame, *keys: str) -> DataFrame:
         (F.countDistinct("value") + F.max(F.col("value").isNull().cast("int"))).alias("n_distinct"),
         F.count(F.lit(1)).alias("n"),
     )
-    t = F.array_remove("types", "NULL")
+    ratio = F.when(F.col("n") > 0, F.col("n_distinct") / F.col("n")).otherwise(0.0)
+    return agg.select(*keys, column_kind(F.col("types")).alias("data_type"), ratio.alias("uniqueness")).withColumn("var_type", var_type())
+
+
+def column_kind(types: Column) -> Column:
+    """Type of a column from the set of its cells' types."""
+    return F.get(F.transform(F.array(F.array_remove(types, "NULL")), _kind), F.lit(0))
+
+
+def _kind(t: Column) -> Column:
     has = lambda x: F.array_contains(t, x)
-    kind = (
+    return (
         F.when(F.size(t) == 0, "NULL")
         .when((F.size(t) > 1) & (has("STRING") | has("DATE")), "STRING")
         .when(F.size(t) == 1, F.when(has("BIT"), "BOOL").otherwise(F.element_at(t, 1)))
@@ -93,14 +106,12 @@ def column_types(typed: DataFrame, *keys: str) -> DataFrame:
         .when(has("FLOAT"), "FLOAT")
         .otherwise("INT")
     )
-    ratio = F.when(F.col("n") > 0, F.col("n_distinct") / F.col("n")).otherwise(0.0)
-    return agg.select(*keys, kind.alias("data_type"), ratio.alias("uniqueness")).withColumn("var_type", var_type())
 
 
-def var_type(data_type: str = "data_type", uniqueness: str = "uniqueness") -> Column:
-    t = F.col(data_type)
+def var_type(data_type="data_type", uniqueness="uniqueness") -> Column:
+    t, u = (F.col(c) if isinstance(c, str) else c for c in (data_type, uniqueness))
     return (
-        F.when(t.isin("INT", "STRING") & (F.col(uniqueness) < 0.9), "CATEGORICAL")
+        F.when(t.isin("INT", "STRING") & (u < 0.9), "CATEGORICAL")
         .when(t.isin("INT", "FLOAT"), "NUMERIC").when(t == "STRING", "TEXT").when(t == "BOOL", "BOOL")
         .when(t == "DATE", "TIME").otherwise("NA")
     )
@@ -111,34 +122,51 @@ def only_member(array) -> Column:
     return F.when(F.size(a) == 1, F.get(a, F.lit(0)))
 
 
-def header_rows(typed: DataFrame, key: str = "table_id") -> DataFrame:
-    """Whether row 0 is a header: all STRING, and rows 1..19 hold more than one type."""
-    zero = F.col("r") == 0
-    return typed.groupBy(key).agg(
-        (
-            F.coalesce(F.min(F.when(zero, (F.col("value_type") == "STRING").cast("int"))) == 1, F.lit(False))
-            & (F.count_distinct(F.when(F.col("r").between(1, 19), F.col("value_type"))) > 1)
-        ).alias("has_header")
-    )
+HEADER_LOOKAHEAD = 19  # rows that are compared with the first one
 
+_NONE = "array<array<string>>"
 
-def table_schema(tables: DataFrame, key: str = "table_id", head: str = "head", body: str = "body", dates=None) -> DataFrame:
-    """Per table: n_header_rows, has_header, has_row_labels, data_types, var_types."""
-    all_cells = cells(tables, key, head, body)
-    typed = all_cells.withColumn("value_type", value_type("value", dates))
-    given = typed.groupBy(key).agg(F.count_distinct(F.when(F.col("is_head"), F.col("r"))).alias("n_given"))
-    rows = given.join(header_rows(typed, key), key).select(
-        F.col(key).alias("h_key"),
-        F.when(F.col("n_given") > 0, F.col("n_given")).otherwise(F.col("has_header").cast("bigint")).alias("n_header_rows"),
-    )
-    body_cells = typed.join(rows, F.col(key) == F.col("h_key")).where(F.col("r") >= F.col("n_header_rows"))
-    types = column_types(body_cells, key, "c", "n_header_rows")
-    entry = F.struct("c", "data_type", "var_type")
-    return types.groupBy(key, "n_header_rows").agg(F.sort_array(F.collect_list(entry)).alias("e")).select(
-        key, "n_header_rows", (F.col("n_header_rows") > 0).alias("has_header"),
-        F.coalesce(F.get("e", F.lit(0))["var_type"] == "TEXT", F.lit(False)).alias("has_row_labels"),
-        F.transform("e", lambda x: x["data_type"]).alias("data_types"),
-        F.transform("e", lambda x: x["var_type"]).alias("var_types"),
+
+def _typed_rows(head: str, body: str, dates=None) -> Column:
+    """All rows, each cell with its type; null rows have no cells."""
+    rows = F.concat(F.coalesce(head, F.array().cast(_NONE)), F.coalesce(body, F.array().cast(_NONE)))
+    cell = lambda v: F.struct(v.alias("v"), value_type(v, dates(v) if dates else None).alias("t"))
+    return F.transform(rows, lambda row: F.transform(F.coalesce(row, F.array().cast("array<string>")), cell))
+
+
+def table_schema(tables: DataFrame, key="table_id", head: str = "head", body: str = "body", dates=None) -> DataFrame:
+    """Per table with a body: n_header_rows, has_header, has_row_labels, data_types, var_types.
+
+    Row 0 is a header if all of it is STRING and the rows below it hold more than one
+    type; head rows that are given count as they are.
+    """
+    return _schema(tables, key, head, body, dates).drop("_rows")
+
+
+def _schema(tables: DataFrame, key, head: str, body: str, dates=None) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    rows, given = F.col("_rows"), F.size(F.filter(F.coalesce(head, F.array().cast(_NONE)), lambda r: F.coalesce(F.size(r), F.lit(0)) > 0))
+    first = F.get(rows, F.lit(0))
+    below = F.flatten(F.transform(F.slice(rows, 2, HEADER_LOOKAHEAD), lambda r: F.transform(r, lambda c: c["t"])))
+    guessed = (F.coalesce(F.size(first), F.lit(0)) > 0) & F.forall(first, lambda c: c["t"] == "STRING") & (F.size(F.array_distinct(below)) > 1)
+    typed = tables.select(*keys, _typed_rows(head, body, dates).alias("_rows"), given.alias("_given"))
+    counted = typed.select(*keys, "_rows", F.when(F.col("_given") > 0, F.col("_given")).otherwise(F.coalesce(guessed, F.lit(False)).cast("int")).cast("bigint").alias("n_header_rows"))
+
+    def column(c: Column) -> Column:
+        own = F.transform(F.filter("_body", lambda r: F.size(r) > c), lambda r: F.get(r, c))
+        distinct = F.size(F.array_distinct(F.transform(own, lambda x: x["v"])))  # null counts as a value
+        return F.struct(
+            column_kind(F.array_distinct(F.transform(own, lambda x: x["t"]))).alias("data_type"), (distinct / F.size(own)).alias("uniqueness")
+        )
+
+    width = F.array_max(F.transform("_body", lambda r: F.size(r)))
+    bodies = counted.withColumn("_body", F.expr("slice(_rows, int(n_header_rows) + 1, greatest(size(_rows) - int(n_header_rows), 0))")).withColumn("_width", width)
+    columns = bodies.where("_width > 0").withColumn("_columns", F.transform(F.sequence(F.lit(0), F.col("_width") - 1), column))
+    kinds = columns.withColumn("var_types", F.transform("_columns", lambda x: var_type(x["data_type"], x["uniqueness"])))
+    return kinds.select(
+        *keys, "n_header_rows", (F.col("n_header_rows") > 0).alias("has_header"),
+        (F.get("var_types", F.lit(0)) == "TEXT").alias("has_row_labels"),
+        F.transform("_columns", lambda x: x["data_type"]).alias("data_types"), "var_types", "_rows",
     )
 
 
@@ -180,37 +208,40 @@ def label_text(label) -> Column:
     return F.regexp_replace(F.col(label) if isinstance(label, str) else label, "_", " ")
 
 
-def table_sentences(tables: DataFrame, key: str = "table_id", head: str = "head", body: str = "body", reference: str | None = None) -> DataFrame:
+def table_sentences(tables: DataFrame, key="table_id", head: str = "head", body: str = "body", reference: str | None = None) -> DataFrame:
     """key, r, c, sentence: one sentence per value of a labelled table, else one per row.
 
     With exactly one date column: "{When}, the {header} of {label} is {value}.",
     with header and labels: "The {header} of {label} is {value}.", else the
-    row's values in a line. Extra header rows are skipped in every branch.
+    row's values in a line. Extra header rows are skipped in every branch; values
+    without a header cell above them are left out of labelled tables.
     """
-    schema = table_schema(tables, key, head, body).withColumnRenamed(key, "s_key")
-    joined = cells(tables, key, head, body).join(schema, F.col(key) == F.col("s_key"))
-    names = joined.where(F.col("r") == F.col("n_header_rows") - 1).select(
-        F.col(key).alias("n_key"), F.col("c").alias("n_c"), F.col("value").alias("name")
-    )
-    w = Window.partitionBy(key, "r")
-    dates = F.size(F.filter("data_types", lambda t: t == "DATE"))
-    date_at = F.array_position("data_types", "DATE") - 1
-    rows = joined.where(F.col("r") >= F.col("n_header_rows")).withColumns({
-        "label": F.max(F.when(F.col("c") == 0, F.col("value"))).over(w),
-        "moment": F.when(dates == 1, F.max(F.when(F.col("c") == date_at, F.col("value"))).over(w)),
-        "date_at": date_at,
+    keys = [key] if isinstance(key, str) else list(key)
+    known = _schema(tables, key, head, body)
+    n_dates = F.size(F.filter("data_types", lambda t: t == "DATE"))
+    known = known.withColumns({
+        "_names": F.get("_rows", F.col("n_header_rows").cast("int") - 1),
+        "_date_at": F.when(n_dates == 1, F.array_position("data_types", "DATE").cast("int") - 1).otherwise(-1),
+        "_labelled": F.col("has_header") & F.col("has_row_labels"),
     })
-    labelled = F.col("has_header") & F.col("has_row_labels")
-    one = rows.where(labelled & (F.col("c") > 0)).join(names, (F.col(key) == F.col("n_key")) & (F.col("c") == F.col("n_c")))
-    body_text = F.concat(
-        F.lit("he "), label_text("name"), F.lit(" of "), label_text("label"), F.lit(" is "), value_text("value", reference=reference), F.lit(".")
+    rows = known.select(*keys, "n_header_rows", "_names", "_date_at", "_labelled", F.posexplode("_rows").alias("r", "_row")).where(
+        (F.col("r") >= F.col("n_header_rows")) & (F.size("_row") > 0)
     )
-    when = value_text("moment", reference=reference)
-    sentence = F.when(F.col("moment").isNotNull(), F.concat(F.initcap(F.substring(when, 1, 1)), F.substring(when, 2, 1000), F.lit(", t"), body_text)).otherwise(
-        F.concat(F.lit("T"), body_text)
+    label, when = label_text(F.get("_row", F.lit(0))["v"]), value_text(F.get("_row", F.col("_date_at"))["v"], reference=reference)
+    lead = F.when((F.col("_date_at") >= 0) & F.get("_row", F.col("_date_at"))["v"].isNotNull(),
+                  F.concat(F.initcap(F.substring(when, 1, 1)), F.substring(when, F.lit(2), F.char_length(when)), F.lit(", the "))).otherwise(F.lit("The "))
+    bound = rows.withColumns({"_label": F.when(F.col("_labelled"), label), "_lead": F.when(F.col("_labelled"), lead)})
+
+    def sentence(x: Column, c: Column) -> Column:
+        return F.struct(c.alias("c"), F.concat(
+            "_lead", label_text(F.get("_names", c)["v"]), F.lit(" of "), "_label", F.lit(" is "), value_text(x["v"], reference=reference), F.lit("."),
+        ).alias("sentence"))
+
+    dated = F.get("_row", F.col("_date_at"))["v"].isNotNull()
+    one = F.filter(
+        F.transform("_row", sentence),
+        lambda s: (s["c"] > 0) & (s["c"] < F.size("_names")) & ~(F.coalesce(dated, F.lit(False)) & (s["c"] == F.col("_date_at"))),
     )
-    out = one.where(F.col("moment").isNull() | (F.col("c") != F.col("date_at"))).select(key, "r", "c", sentence.alias("sentence"))
-    plain = rows.where(~labelled).groupBy(key, "r").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c", value_text("value", reference=reference).alias("t")))), lambda x: x["t"]), " ").alias("sentence")
-    ).select(key, "r", F.lit(0).alias("c"), "sentence")
-    return out.unionByName(plain)
+    line = F.array_join(F.transform("_row", lambda x: value_text(x["v"], reference=reference)), " ")
+    plain = F.array(F.struct(F.lit(0).alias("c"), line.alias("sentence")))
+    return bound.select(*keys, "r", F.inline(F.when(F.col("_labelled"), one).otherwise(plain)))

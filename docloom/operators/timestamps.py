@@ -56,17 +56,24 @@ PATTERNS = [
     (r"(\d{4})年(\d{1,2})月(\d{1,2})日(?: *(\d{1,2})[時时](\d{1,2})分(?:(\d{1,2})秒)?)?", "L|$1|$2|$3|$4|$5|$6|||"),
     (r"(?:D:)?(\d{4})(\d{2})(\d{2})[Tt]?(\d{2})(\d{2})(\d{2})(?:[.,](\d+))?(?:(Z|z|[+-]\d{2}):?'?(\d{2})?'?)?", "L|$1|$2|$3|$4|$5|$6|$7||$8$9"),
 ]
+_NAMED_ZONE = r"(?<![A-Za-z_])([A-Za-z_]+/[A-Za-z_/+-]+\d*|(?<=\[)[^\[\]]+(?=\]))"
 _EPOCH = r"^(\d{10}|\d{13}|\d{16})$"
 _JSON_DATE = r"^/Date\((-?\d+)(?:[+-]\d{4})?\)/$"
 
 
+_FOUND = "\x01"  # no value begins with it: white space and control characters are trimmed
+
+
 def parts(value: Column) -> Column:
-    """``kind|year|month|…`` of a trimmed value, null if no pattern fits."""
-    out = F.lit(None).cast("string")
-    for pattern, to in reversed(PATTERNS):
-        p = f"^{pattern}$"
-        out = F.when(value.rlike(p), F.regexp_replace(value, p, to)).otherwise(out)
-    return out
+    """``kind|year|month|…`` of a trimmed value, null if no pattern fits.
+
+    The patterns are tried one after the other on the same text, each once: what
+    one has rewritten fits no other.
+    """
+    out = F.regexp_replace(value, f"^{_FOUND}+", "")
+    for pattern, to in PATTERNS:
+        out = F.regexp_replace(out, f"^{pattern}$", f"{_FOUND}{to}")
+    return F.get(F.transform(F.array(out), lambda x: F.when(x.startswith(_FOUND), F.ltrim(x, F.lit(_FOUND)))), F.lit(0))
 
 
 def _int(c: Column) -> Column:
@@ -212,7 +219,9 @@ def to_utc(df: DataFrame, value: str, time_zone: str) -> DataFrame:
     keep = df.columns
     p = parsed(df, value, time_zone)
     need = F.col("_dl_local").isNotNull() & F.col("_dl_offset").isNull() & F.col("_dl_zone").isNotNull()
-    zones = p.where(need).select(F.col("_dl_zone").alias("z")).distinct()
+    # the zones that may be asked for, without parsing the values for it
+    named = F.when(F.col(value).rlike(_NAMED_ZONE), F.regexp_extract(value, _NAMED_ZONE, 1))
+    zones = df.select(F.explode(F.array(time_zone, named)).alias("z")).where("z is not null").distinct()
     intervals = offset_intervals(zones)
     seconds = F.col("_dl_local")
     bucket = F.greatest(F.lit(FIRST_YEAR), F.least(F.lit(LAST_YEAR), F.year(F.timestamp_seconds(seconds))))

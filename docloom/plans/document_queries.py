@@ -8,8 +8,10 @@ from docloom.functions import text as t
 from docloom.html.blocks import exploded_blocks, html_blocks
 from docloom.operators import collect, control, entities, graph, questions, tables
 from docloom.session import spread, table
+from docloom.sources import files
 
-# the configuration of the queries: text properties by document type (ordered)
+# The configuration of the queries, text properties by document type (ordered).
+# Names of types and properties are those of the test tables.
 PROPS = {
     "CHANNEL_PRICING": ["pricing_title", "pricing_description"],
     "CHANNEL_HELP": ["help_title", "profiled_content"],
@@ -19,13 +21,19 @@ PROPS = {
     "CHANNEL_ANSWERFLOW_STEPS": ["step_title", "reference_table"],
 }
 WITH_TEXT = ["CHANNEL_HELP", "CHANNEL_NEWS", "CHANNEL_PRICING", "CHANNEL_PROCESS"]
+CONFIG = "doc_types:\n" + "".join(f"  {k}:\n    text_props: [{', '.join(v)}]\n" for k, v in PROPS.items()) + f"doc_types_with_text: [{', '.join(WITH_TEXT)}]\n"
 WORDS = {"antenna": ("part", "antenna"), "splitter": ("part", "splitter"), "Kabel": ("part", "cable"), "cable": ("part", "cable")}
+PHRASES = [("exchange in", "place", "exchange"), ("still with", "state", "held"), ("It costs", "price", "cost")]
+PATCH = '{"k": {"old": true}, "seen": {"by": [1, "x"]}}'
 PATTERNS = [("ticket", "ticket", r"\b(TK|INC|AFS|CS-)(\d+)\b"), ("price", "price", r"\$\d+\.\d{2}")]
 
 
 def config(spark: SparkSession) -> DataFrame:
-    rows = [(k, p, i) for k, v in PROPS.items() for i, p in enumerate(v)]
-    return spark.createDataFrame(rows, "doc_type string, prop string, ord int")
+    return files.doc_type_config(spark, CONFIG)[0]
+
+
+def types_with_text(spark: SparkSession) -> DataFrame:
+    return files.doc_type_config(spark, CONFIG)[1]
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -40,6 +48,10 @@ def blocks(spark: SparkSession, d: str) -> DataFrame:
     return b.select("field_id", "row_id", "field_name", "seq", F.col("b.block_type").alias("type"), "b.text", "b.url", "b.heading", "b.items", "b.head", "b.body")
 
 
+def table_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return blocks(spark, d).where("type = 'table'").select(F.concat_ws("|", "field_id", "seq").alias("table_id"), "head", "body")
+
+
 def typed_fields(spark: SparkSession, d: str) -> DataFrame:
     records = table(spark, d, "content_records").select(F.col("row_id").alias("c_row"), "doc_type")
     return table(spark, d, "record_fields").join(records, F.col("row_id") == F.col("c_row")).drop("c_row")
@@ -54,7 +66,7 @@ def strip_bullets(spark, d):
 
 
 def link_strip(spark, d):
-    return documents(spark, d).where("text is not null").select("doc_id", F.length(t.strip_link_markers("text")).alias("n"))
+    return documents(spark, d).where("text is not null").select("doc_id", F.md5(t.strip_link_markers("text")).alias("digest"))
 
 
 def underscore_name(spark, d):
@@ -62,7 +74,8 @@ def underscore_name(spark, d):
 
 
 def template_variables(spark, d):
-    words = documents(spark, d).select("doc_id", F.explode(t.tokens("text")).alias("w"))
+    """Variables in braces, with how often each stands in the texts."""
+    words = documents(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit(r"\{[^{}\s]*\}"), 0)).alias("w"))
     return words.where(t.is_variable("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -71,7 +84,7 @@ def iso_millis(spark, d):
 
 
 def fix_content(spark, d):
-    return documents(spark, d).where("text is not null").select("doc_id", F.length(t.fix_content("text")).alias("n"))
+    return documents(spark, d).where("text is not null").select("doc_id", F.md5(t.fix_content("text")).alias("digest"))
 
 
 def job_key(spark, d):
@@ -83,8 +96,8 @@ def doc_type(spark, d):
 
 
 def deep_update(spark, d):
-    e = table(spark, d, "events")
-    return e.select("event_id", F.size(F.from_json(t.deep_merge("props", F.lit('{"seen": "1"}')), "map<string,string>")).alias("n_keys"))
+    e = spread(table(spark, d, "events").select("event_id", "props"))
+    return e.select("event_id", t.deep_merge("props", F.lit(PATCH)).alias("merged"))
 
 
 def line_questions(spark, d):
@@ -99,7 +112,8 @@ def block_questions(spark, d):
 
 def extract_questions(spark, d):
     q = questions.extract_questions(questions.line_blocks(documents(spark, d)), cleaned=True)
-    return q.select("doc_id", F.size("questions").alias("n_questions"), F.size("non_questions").alias("n_other"))
+    joined = lambda c: F.array_join(c, "\n").alias(c)
+    return q.select("doc_id", joined("questions"), joined("non_questions"))
 
 
 def found_questions(spark, d):
@@ -123,8 +137,8 @@ def list_items(spark, d):
 
 
 def html_structure(spark, d):
-    """Blocks by type of the texts that are HTML."""
-    pages = documents(spark, d).where(F.col("text").contains("<") & F.col("text").rlike(r"(?i)<(h[1-4]|p|div|ul|ol|table)\b"))
+    """Blocks by type of the texts that hold a tag."""
+    pages = documents(spark, d).where(F.col("text").rlike("<[A-Za-z/!]"))
     return exploded_blocks(pages, "text", "doc_id").groupBy("doc_id", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -135,8 +149,10 @@ def html_lines(spark, d):
 
 
 def json_dispatch(spark, d):
-    e = table(spark, d, "events").select("event_id", F.try_parse_json("props").isNotNull().alias("is_json"))
-    return e.groupBy("is_json").agg(F.count(F.lit(1)).alias("n"))
+    """Which payloads are JSON to the dispatching parser, and which are read as HTML."""
+    raw = spread(table(spark, d, "raw_records").select("raw_id", "payload"))
+    parsed = raw.select("raw_id", html_blocks(F.col("payload"), json_values=True)["structured_content"].alias("b"))
+    return parsed.select("raw_id", F.exists("b", lambda x: x["type"] == "json").alias("is_json"))
 
 
 def graph_nodes(spark, d):
@@ -160,19 +176,19 @@ def graph_lists(spark, d):
 
 
 def graph_tables(spark, d):
-    return graph.table_graph(blocks(spark, d), "field_id")[1].groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"))
+    return graph.table_graph(blocks(spark, d), "field_id")[1]
 
 
 def collect_fields(spark, d):
     c = collect.collect_fields(typed_fields(spark, d), config(spark))
-    return c.select("row_id", "doc_type", F.size("text").alias("n_lines"), F.size("structured_content").alias("n_blocks"))
+    kinds = F.array_join(F.transform("structured_content", lambda x: F.coalesce(x["block_type"], F.lit("?"))), ",")
+    return c.select("row_id", "doc_type", F.array_join("text", "\n").alias("lines"), kinds.alias("kinds"))
 
 
 def combine_text(spark, d):
-    types = spark.createDataFrame([(x,) for x in WITH_TEXT], "doc_type string")
     records = table(spark, d, "content_records").select(F.col("row_id").alias("c_row"), "doc_type")
     b = blocks(spark, d).join(records, F.col("row_id") == F.col("c_row"))
-    return collect.combine_text(b, types, "field_id")
+    return collect.combine_text(b, types_with_text(spark), "field_id")
 
 
 def prepare_qa(spark, d):
@@ -180,29 +196,29 @@ def prepare_qa(spark, d):
 
 
 def doc_type_filter(spark, d):
-    return table(spark, d, "content_records").where(F.col("doc_type").isin(*WITH_TEXT)).groupBy("doc_type").agg(F.count(F.lit(1)).alias("n"))
+    return collect.of_types(table(spark, d, "content_records"), types_with_text(spark)).select("row_id", "doc_type")
 
 
 def value_types(spark, d):
-    rf = tables.cells(blocks(spark, d).where("type = 'table'").withColumn("table_id", F.concat_ws("|", "field_id", "seq")))
-    return rf.groupBy(tables.value_type("value").alias("value_type")).agg(F.count(F.lit(1)).alias("n"))
+    rf = tables.cells(table_blocks(spark, d))
+    return rf.groupBy("value", tables.value_type("value").alias("value_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def column_types(spark, d):
     part = table(spark, d, "part")
-    pairs = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in part.columns if c != "p_retailprice"]
+    pairs = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in part.columns]
     typed = part.select(F.inline(F.array(*pairs))).withColumn("value_type", tables.value_type("value"))
     return tables.column_types(typed, "col").select("col", "data_type", "var_type")
 
 
 def table_schemas(spark, d):
-    tb = blocks(spark, d).where("type = 'table'").withColumn("table_id", F.concat_ws("|", "field_id", "seq"))
-    return tables.table_schema(tb).select("table_id", "n_header_rows", "has_header", "has_row_labels")
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    schema = tables.table_schema(table_blocks(spark, d))
+    return schema.select("table_id", "n_header_rows", "has_header", "has_row_labels", joined("data_types"), joined("var_types"))
 
 
 def table_sentences(spark, d):
-    tb = blocks(spark, d).where("type = 'table'").withColumn("table_id", F.concat_ws("|", "field_id", "seq"))
-    return tables.table_sentences(tb)
+    return tables.table_sentences(table_blocks(spark, d))
 
 
 def token_entities(spark, d):
@@ -211,16 +227,27 @@ def token_entities(spark, d):
 
 
 def pattern_entities(spark, d):
+    """Each line's mentions by pattern, in order."""
     lines = questions.line_blocks(documents(spark, d))
-    e = lines.select("doc_id", "seq", F.explode(entities.match_patterns(F.col("text"), PATTERNS)).alias("e"))
-    return e.groupBy("e.entity").agg(F.count(F.lit(1)).alias("n"))
+    e = lines.select("doc_id", "seq", "text", entities.match_patterns(F.col("text"), PATTERNS).alias("e"))
+    words = lambda kind: F.transform(F.filter("e", lambda m: m["entity"] == kind), lambda m: F.substring("text", m["start"] + 1, m["end"] - m["start"]))
+    found = e.where(F.size("e") > 0).select("doc_id", "seq", *[F.array_join(words(k), "|").alias(f"{k}s") for k, *_ in PATTERNS])
+    return found
 
 
 def pruned_entities(spark, d):
     lines = questions.line_blocks(documents(spark, d))
     phrases = {k: v for k, v in WORDS.items()} | {"coax cable": ("part", "coax cable")}
     e = entities.line_entities(lines, dictionary=phrases, patterns=PATTERNS)
-    return e.select("doc_id", "seq", F.explode("entities").alias("e")).groupBy("e.entity", "e.value").agg(F.count(F.lit(1)).alias("n")).where("entity <> 'sys-number'")
+    return e.select("doc_id", "seq", F.explode("entities").alias("e")).groupBy("e.entity", "e.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def phrase_entities(spark, d):
+    """Dictionary phrases of more than one word, by joining word sequences."""
+    lines = questions.line_blocks(documents(spark, d))
+    e = spark.createDataFrame(PHRASES, "phrase string, entity string, value string")
+    hits = entities.phrase_matches(lines, e).select("doc_id", "seq", "text", F.explode("mentions").alias("m"))
+    return hits.select("doc_id", "seq", F.col("m.start").alias("start"), F.substring("text", F.col("m.start") + 1, F.col("m.end") - F.col("m.start")).alias("phrase"), "m.value")
 
 
 def _entries(spark, d, step):
@@ -235,7 +262,7 @@ def restart_pending(spark, d):
 
 def restart_carried(spark, d):
     inputs = table(spark, d, "content_records").select(F.col("file_path").alias("path")).distinct()
-    return control.carried_outputs(inputs, _entries(spark, d, "collect")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return control.carried_outputs(inputs, _entries(spark, d, "collect")).groupBy("input", "path").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fileset_diff(spark, d):
@@ -244,19 +271,19 @@ def fileset_diff(spark, d):
 
 
 def file_status(spark, d):
-    files = table(spark, d, "content_records").groupBy(F.col("file_path").alias("path")).agg(
+    paths = table(spark, d, "content_records").groupBy(F.col("file_path").alias("path")).agg(
         F.lit("new").alias("status"), F.max("arrived_at").alias("time")
     )
-    return control.file_status(files, _entries(spark, d, "extract")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return control.file_status(paths, _entries(spark, d, "extract")).select("path", "status")
 
 
 def control_tables(spark, d):
-    return control.normalised(table(spark, d, "control_jobs"))["step_outputs"].groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return control.normalised(table(spark, d, "control_jobs"))["step_outputs"]
 
 
 def first_files(spark, d):
-    """The source limit: exactly that many files, in order."""
-    return table(spark, d, "content_records").select("file_path").distinct().orderBy("file_path").limit(25)
+    """The source limit: exactly that many of the files below the folder, in order."""
+    return files.list_files(spark, d, limit=3).select("filename", "length")
 
 
 def flatten_heads(spark, d):
@@ -278,8 +305,7 @@ def config_props(spark, d):
 
 def table_cells(spark, d):
     """Head and body rows of each table as one frame of cells."""
-    tb = blocks(spark, d).where("type = 'table'").withColumn("table_id", F.concat_ws("|", "field_id", "seq"))
-    return tables.cells(tb)
+    return tables.cells(table_blocks(spark, d))
 
 
 def value_words(spark, d):
@@ -323,7 +349,7 @@ clean_text strip_bullets link_strip underscore_name template_variables iso_milli
 line_questions block_questions extract_questions found_questions list_markers block_counts list_items html_structure
 html_lines json_dispatch graph_nodes graph_order graph_headings graph_links graph_lists graph_tables collect_fields
 combine_text prepare_qa doc_type_filter value_types column_types table_schemas table_sentences token_entities
-pattern_entities pruned_entities restart_pending restart_carried fileset_diff file_status control_tables first_files
+pattern_entities pruned_entities phrase_entities restart_pending restart_carried fileset_diff file_status control_tables first_files
 flatten_heads has_letters config_props table_cells value_words column_uniqueness date_validity step_progress
 """.split()
 QUERIES = {n: globals()[n] for n in _NAMES}
@@ -387,16 +413,17 @@ _DONE = "select distinct input from control_entries where step_name = 'collect'
 SQL = {
     "clean_text": f"select doc_id, {_clean('text')} as clean from documents",
     "strip_bullets": f"with {_LINES} select doc_id, seq, regexp_replace(regexp_replace(text, '^[•*o]{_WS}', ''), '[^\\x{{00}}-\\x{{7f}}]', '', 'g') as line from lines",
-    "link_strip": "select doc_id, length(replace(replace(text, '[[', ''), ']]', '')) as n from documents where text is not null",
+    "link_strip": "select doc_id, md5(replace(replace(text, '[[', ''), ']]', '')) as digest from documents where text is not null",
     "underscore_name": f"select row_id, lower(regexp_replace(regexp_replace(title, '^{_WS}+|{_WS}+$', '', 'g'), '{_WS}', '_', 'g')) as name from content_records",
-    "template_variables": f"select w, count(*) as n from (select unnest(string_split({_clean('text')}, ' ')) as w from documents) where regexp_matches(w, '^\\{{[A-Za-z_]\\w*(\\.\\w+)*\\}}$') group by w",
+    "template_variables": f"select w, count(*) as n from (select unnest(regexp_extract_all(text, '\\{{[A-Za-z_]\\w*(?:\\.\\w+)*\\}}')) as w from documents) group by w",
     "iso_millis": "select row_id, strftime(make_timestamp(cast(floor(start_timestamp_millis / 1000.0) as bigint) * 1000000), '%Y-%m-%dT%H:%M:%S') as start_time from content_records",
-    "fix_content": "select doc_id, length(text) + case when starts_with(text, '<') and not ends_with(text, '>') then 11 else 0 end as n from documents where text is not null",
+    "fix_content": "select doc_id, md5(case when starts_with(text, '<') and not ends_with(text, '>') then '<div>' || text || '</div>' else text end) as digest from documents where text is not null",
     "job_key": "select job_id, replace(write_root_dir, '/', '-') || '.json' as key from control_jobs",
     "doc_type": "select file_no, case lower(regexp_extract(filename, '\\.([^.]+)$', 1)) when 'docx' then 'Word' when 'pdf' then 'PDF' end as kind from office_files",
     "line_questions": f"with {_LINES} select doc_id, count(*) filter (where {_QUESTION}) as n_questions, count(*) as n_lines from lines group by doc_id",
     "block_questions": f"with {_BLOCKS}, b as (select type, {_clean('text')} as text, text is null as no_text from blocks) select type, case when no_text then null when text = '' then false else {_QUESTION} end as is_question, count(*) as n from b group by 1, 2",
-    "extract_questions": f"with {_LINES} select doc_id, count(distinct text) filter (where {_QUESTION}) as n_questions, count(*) filter (where not {_QUESTION}) as n_other from lines group by doc_id",
+    "extract_questions": f"""with {_LINES} select doc_id, coalesce(string_agg(distinct text, chr(10) order by text) filter (where {_QUESTION}), '') as questions,
+            coalesce(string_agg(text, chr(10) order by text) filter (where not {_QUESTION}), '') as non_questions from lines group by doc_id""",
     "found_questions": f"with {_LINES} select text from lines where {_QUESTION}",
     "list_markers": f"""with w as (select unnest(string_split({_clean('text')}, ' ')) as w from documents),
         c as (select w, count(*) as n from w group by w),
@@ -405,31 +432,31 @@ SQL = {
         select * from f where bullet or number or roman""",
     "block_counts": f"with {_BLOCKS} select type, count(*) as n_blocks from blocks group by type",
     "list_items": f"with {_BLOCKS} select field_id, seq, unnest(items) as item, generate_subscripts(items, 1) - 1 as i from blocks where type = 'list'",
-    "json_dispatch": "select coalesce(json_valid(props), false) as is_json, count(*) as n from events group by 1",
+    "json_dispatch": "select raw_id, coalesce(json_valid(payload), false) as is_json from raw_records",
     "graph_nodes": f"with {_NODES} select * from nodes",
     "graph_order": f"with {_NODES}, pairs as (select lag(node_id) over (partition by field_id order by seq) as first, node_id as second from nodes) {_BOTH}",
     "graph_headings": f"""with {_NODES}, h as (select node_id, node_type, last_value(case when node_type = 'heading' then node_id end ignore nulls)
             over (partition by field_id order by seq rows between unbounded preceding and 1 preceding) as h from nodes)
         select node_id as node_id1, h as node_id2, 'has_heading' as edge_type from h where node_type <> 'heading' and h is not null""",
-    "graph_links": f"""with {_BLOCKS}, m as (select field_id, seq, unnest(regexp_extract_all(text, '\\[\\[(.*?)\\]\\]', 1)) as mark from blocks where type in ('text', 'heading')),
-        j as (select m.field_id, m.seq, mark, max(l.seq) as l_seq from m join blocks l on l.type = 'link' and l.field_id = m.field_id and l.text = mark and l.seq < m.seq group by all)
-        select {_ID.format('field_id, seq')} as node_id1, {_ID.format('field_id, l_seq')} as node_id2, 'has_link' as edge_type from j""",
+    "graph_links": f"""with {_BLOCKS}, m as (
+            select field_id, seq, {_ID.format('field_id, seq')} as id, unnest(regexp_extract_all(text, '\\[\\[(.*?)\\]\\]', 1)) as mark from blocks where type in ('text', 'heading')
+            union all select field_id, seq, {_ID.format("field_id, seq, 'item', i")}, unnest(regexp_extract_all(x, '\\[\\[(.*?)\\]\\]', 1))
+            from (select field_id, seq, unnest(items) as x, generate_subscripts(items, 1) - 1 as i from blocks where type = 'list')),
+        j as (select m.field_id, m.id, mark, max(l.seq) as l_seq from m join blocks l on l.type = 'link' and l.field_id = m.field_id and l.text = mark and l.seq < m.seq group by all)
+        select id as node_id1, {_ID.format('field_id, l_seq')} as node_id2, 'has_link' as edge_type from j""",
     "graph_lists": f"""with {_BLOCKS}, items as (select field_id, seq, unnest(items) as x, generate_subscripts(items, 1) - 1 as i from blocks where type = 'list'),
         n as (select field_id, seq, i, {_ID.format("field_id, seq, 'item', i")} as node_id, {_ID.format('field_id, seq')} as parent from items),
         pairs as (select lag(node_id) over (partition by field_id, seq order by i) as first, node_id as second from n)
         select node_id as node_id1, parent as node_id2, 'item_of' as edge_type from n union all {_BOTH}""",
-    "collect_fields": f"""with {_CONFIG} select f.row_id, c.doc_type, cast(sum(coalesce(len(f.text), 0)) as bigint) as n_lines,
-            cast(sum(coalesce(len(f.structured_content), 0)) as bigint) as n_blocks
+    "collect_fields": f"""with {_CONFIG} select f.row_id, c.doc_type, coalesce(array_to_string(flatten(list(coalesce(f.text, []) order by c.ord, f.field_name, f.text)), chr(10)), '') as lines,
+            coalesce(array_to_string(flatten(list(list_transform(coalesce(f.structured_content, []), lambda x: coalesce(x.block_type, '?')) order by c.ord, f.field_name, f.text)), ','), '') as kinds
         from record_fields f join content_records r using (row_id) join config c on c.doc_type = r.doc_type and c.prop = f.field_name group by all""",
     "combine_text": f"""with {_BLOCKS}, l as (select b.field_id, b.seq, case when type in ('text', 'heading') then [b.text] when type = 'list' then b.items end as lines
             from blocks b join content_records r using (row_id) where r.doc_type in ({_TYPES})),
         e as (select field_id, seq, unnest(lines) as line, generate_subscripts(lines, 1) - 1 as i from l)
         select field_id, seq, i, line from e where {_clean('line')} <> ''""",
-    "prepare_qa": f"""with {_BLOCKS}, l as (select {_ID.format('field_id, seq')} as id, case when type = 'text' then text
-            when type = 'list' and items is not null then coalesce(heading, '') || '<ul>' || coalesce(array_to_string(list_transform(list_filter(items, lambda x: x is not null), lambda x: '<li>' || x || '</li>'), ''), '') || '</ul>' end as text from blocks)
-        select id, text from l where {_clean('text')} <> ''""",
-    "doc_type_filter": f"select doc_type, count(*) as n from content_records where doc_type in ({_TYPES}) group by doc_type",
-    "value_types": f"with {_CELLS} select value_type, count(*) as n from typed group by value_type",
+    "doc_type_filter": f"select row_id, doc_type from content_records where doc_type in ({_TYPES})",
+    "value_types": f"with {_CELLS} select value, value_type, count(*) as n from typed group by value, value_type",
     "column_types": f"""with v as (unpivot (select {{cols}} from part) on columns(*) into name col value value),
         ty as (select col, value, {_TYPE_OF} as value_type from v),
         a as (select col, list(distinct value_type) as types, count(distinct value) / count(*) as uniq from ty group by col),
@@ -442,24 +469,24 @@ SQL = {
                 (count(distinct value) + max(case when value is null then 1 else 0 end)) / count(*) as uniq
               from typed join n using (table_id) where r >= n_header_rows group by all),
         k as (select *, {_COLUMN} as data_type from a), v as (select *, {_VAR} as var_type from k)
-        select table_id, n_header_rows, n_header_rows > 0 as has_header, coalesce(arg_min(var_type, c) = 'TEXT', false) as has_row_labels
+        select table_id, n_header_rows, n_header_rows > 0 as has_header, coalesce(arg_min(var_type, c) = 'TEXT', false) as has_row_labels,
+            string_agg(data_type, ',' order by c) as data_types, string_agg(var_type, ',' order by c) as var_types
         from v group by table_id, n_header_rows""",
     "token_entities": """with e(phrase, entity, value) as (values """ + ", ".join(f"('{k}', '{a}', '{b}')" for k, (a, b) in WORDS.items()) + """),
         w as (select doc_id, unnest(regexp_split_to_array(text, '[^\\p{L}\\p{N}_]+')) as token from documents)
         select doc_id, token, count(*) as n, entity, value from w join e on token = phrase group by all""",
-    "pattern_entities": f"""with {_LINES}, m as (select 'ticket' as entity, len(regexp_extract_all(text, '\\b(TK|INC|AFS|CS-)([0-9]+)\\b')) as k from lines
-            union all select 'price', len(regexp_extract_all(text, '\\$[0-9]+\\.[0-9]{{2}}')) from lines)
-        select entity, cast(sum(k) as bigint) as n from m group by entity having sum(k) > 0""",
+    "pattern_entities": f"""with {_LINES}, m as (select doc_id, seq, array_to_string(regexp_extract_all(text, '\\b(?:TK|INC|AFS|CS-)[0-9]+\\b'), '|') as tickets,
+            array_to_string(regexp_extract_all(text, '\\$[0-9]+\\.[0-9]{{2}}'), '|') as prices from lines)
+        select * from m where tickets <> '' or prices <> ''""",
     "restart_pending": f"with done as ({_DONE}) select distinct file_path as path from content_records where file_path not in (select input from done)",
-    "restart_carried": f"""select path, count(*) as n from control_entries where step_name = 'collect' and lower(trim(status)) = 'processed'
-        and input in (select file_path from content_records) group by path""",
+    "restart_carried": """select input, path, count(*) as n from control_entries where step_name = 'collect' and lower(trim(status)) = 'processed'
+        and input in (select file_path from content_records) group by input, path""",
     "fileset_diff": """with a as (select distinct file_path as path from content_records), b as (select distinct input as path from control_entries where step_name = 'extract')
         select path, 'left' as side from (select * from a except select * from b) union all select path, 'right' from (select * from b except select * from a)""",
-    "file_status": """with o as (select input, arg_max(status, (entry_at, coalesce(status, ''))) as s0, max((entry_at, status)) as m from control_entries
-            where step_name = 'extract' and input is not null group by input),
+    "file_status": """with o as (select input, max((entry_at, status)) as m from control_entries where step_name = 'extract' and input is not null group by input),
         f as (select distinct file_path as path from content_records)
-        select coalesce(m[2], 'new') as status, count(*) as n from f left join o on f.path = o.input group by 1""",
-    "control_tables": "select f.status as status, count(*) as n from (select unnest(files_output) as f from control_jobs) group by 1",
+        select f.path, coalesce(m[2], 'new') as status from f left join o on f.path = o.input""",
+    "control_tables": "select job_id, f.filename as filename, f.input as input, f.path as path, f.status as status from (select job_id, unnest(files_output) as f from control_jobs)",
     "flatten_heads": f"with {_BLOCKS} select field_id, seq, flatten(head) as names from blocks where type = 'table' and head is not null",
     "has_letters": f"select doc_id, len(list_filter(string_split({_clean('text')}, ' '), lambda x: regexp_full_match(x, '\\p{{L}}+'))) > 0 as alpha from documents where text is not null",
     "config_props": f"""with {_CONFIG}, u as (select r.doc_type, f.field_name, count(*) as n from record_fields f join content_records r using (row_id) group by all)
@@ -474,18 +501,25 @@ SQL = {
         from orders where o_orderkey % 7 <> 0 and 1985 + o_orderkey % 50 between 1990 and 2025""",
     "step_progress": """select job_id, step_name, count(*) filter (where lower(trim(status)) = 'processed') as n_processed,
         count(*) filter (where coalesce(lower(trim(status)) <> 'processed', true)) as n_other from control_entries group by job_id, step_name""",
-    "first_files": "select distinct file_path from content_records order by file_path limit 25",
 }
 _SCHEMAS = SQL["table_schemas"].removeprefix(f"with {_CELLS}, ")
 SQL |= {
-    "deep_update": "select event_id, coalesce(len(json_keys(case when json_valid(props) then props end)), 0) + 1 as n_keys from events",
-    "graph_tables": f"""with {_BLOCKS}, b as (select field_id, seq, coalesce(head, []) as head, coalesce(body, []) as body from blocks where type = 'table'),
-        n as (select sum(len(head)) as h, sum(len(body)) as b, sum(greatest(len(head) - 1, 0) + greatest(len(body) - 1, 0)) as chain from b),
-        r as (select unnest(list_concat(head, body)) as row from b),
-        c as (select sum(len(row)) as cells, sum(greatest(len(row) - 1, 0)) as chain from r)
-        select 'head_row_of' as edge_type, cast(h as bigint) as n from n union all select 'body_row_of', cast(b as bigint) from n
-        union all select 'cell_of', cast(cells as bigint) from c
-        union all select 'before', cast(n.chain + c.chain as bigint) from n, c union all select 'after', cast(n.chain + c.chain as bigint) from n, c""",
+    "deep_update": f"select event_id, cast(json_merge_patch(coalesce(case when json_valid(props) then props end, '{{}}')::json, '{PATCH}'::json) as varchar) as merged from events",
+    "phrase_entities": f"""with {_LINES}, e(phrase, entity, value) as (values """ + ", ".join(str(p) for p in PHRASES) + """),
+        hits as (select doc_id, seq, text, phrase, value, list_filter(range(0, length(text)), lambda i: substring(text, i + 1, length(phrase)) = phrase
+                   and not regexp_matches(substring(text, i, 1), '[\\p{L}\\p{N}_]') and not regexp_matches(substring(text, i + 1 + length(phrase), 1), '[\\p{L}\\p{N}_]')) as starts
+               from lines join e on contains(text, phrase))
+        select doc_id, seq, cast(unnest(starts) as integer) as start, phrase, value from hits""",
+    "graph_tables": f"""with {_BLOCKS},
+        r as (select field_id, seq, 'head' as part, unnest(head) as cells, generate_subscripts(head, 1) - 1 as r from blocks where type = 'table'
+              union all select field_id, seq, 'body', unnest(body), generate_subscripts(body, 1) - 1 from blocks where type = 'table'),
+        rows as (select *, {_ID.format("field_id, seq, 'row', part, r")} as id, {_ID.format('field_id, seq')} as parent from r),
+        c as (select field_id, seq, part, r, id as parent, unnest(cells) as x, generate_subscripts(cells, 1) - 1 as c from rows),
+        cells as (select *, {_ID.format("field_id, seq, 'cell', part, r, c")} as id from c),
+        pairs as (select lag(id) over (partition by field_id, seq, part order by r) as first, id as second from rows
+                  union all select lag(id) over (partition by field_id, seq, part, r order by c), id from cells)
+        select id as node_id1, parent as node_id2, part || '_row_of' as edge_type from rows
+        union all select id, parent, 'cell_of' from cells union all {_BOTH}""",
     "table_sentences": f"""with {_CELLS}, s as (with {_SCHEMAS}),
         j as (select typed.*, n_header_rows, has_header and has_row_labels as labelled, case when value_type = 'NULL' then 'NA' else value end as words
               from typed join s using (table_id)),
@@ -496,4 +530,8 @@ SQL |= {
         where labelled and j.c > 0 and j.r >= n_header_rows
         union all select table_id, r, 0, string_agg(words, ' ' order by c) from j where not labelled and r >= n_header_rows group by table_id, r""",
 }
-SQL["column_types"] = SQL["column_types"].replace("{cols}", "p_partkey::varchar as p_partkey, p_name, p_brand, p_type, p_size::varchar as p_size")
+SQL["prepare_qa"] = f"""with {_BLOCKS}, l as (select {_ID.format('field_id, seq')} as id, case when type = 'text' then text
+            when type = 'list' and items is not null then coalesce(heading, '') || '<ul>' || coalesce(array_to_string(list_transform(list_filter(items, lambda x: x is not null), lambda x: '<li>' || x || '</li>'), ''), '') || '</ul>' end as text from blocks)
+        select id, text from l where {_clean('text')} <> ''
+        union all select {_ID.format('table_id, r, c')}, sentence from ({SQL['table_sentences']}) where {_clean('sentence')} <> ''"""
+SQL["column_types"] = SQL["column_types"].replace("{cols}", "p_partkey::varchar as p_partkey, p_name, p_brand, p_type, p_size::varchar as p_size, p_retailprice::varchar as p_retailprice")

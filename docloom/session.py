@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a local folder is made
-    and set as the checkpoint folder of this session.
+    Only where the setting is absent in local mode (tests, a laptop) a local folder
+    is made and set as the checkpoint folder of this session. On a cluster that
+    folder would not be shared: there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
@@ -23,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="docloom-")
     spark.sparkContext.setCheckpointDir(f"file://{local}")
     return f"file://{local}"
@@ -79,13 +82,30 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(uri)
 
 
+# operators that leave rows where they are (names of the optimiser's plan nodes)
+_NARROW = set("Project Filter LogicalRelation LogicalRDD LocalRelation Range Generate Union MapInArrow MapInPandas ArrowEvalPython".split())
+
+
+def _only_scans(plan) -> bool:
+    """Whether a plan has no operator that moves rows between tasks."""
+    todo = [plan]
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "Repartition" and p.shuffle() or name not in _NARROW | {"Repartition"} and not name.startswith("Relation"):
+            return False
+        children = p.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return True
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores.
 
     Only a small input (a single file, say) has fewer; it is spread before
     costly work. Larger inputs are left as they are, without a shuffle.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if not _only_scans(df._jdf.queryExecution().optimizedPlan()):
         return df  # it has been partitioned, and asking for the number would run its stages
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

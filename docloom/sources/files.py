@@ -19,19 +19,29 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docloom.functions.text import doc_type_of_file, iso_from_millis
+from docloom.html.blocks import parsed_value
+from docloom.schema import PARSED
+
+
+def _files(spark: SparkSession, paths) -> DataFrame:
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    return df.select(name.alias("filename"), "path", F.col("modificationTime").alias("time"), "length", "content")
 
 
 def list_files(spark: SparkSession, path: str, hidden: bool = False, limit: int | None = None) -> DataFrame:
     """filename, path, time, length, content of all files below ``path``.
 
-    ``limit`` gives exactly that many files, in path order.
+    ``limit`` gives exactly that many files, in path order: the paths are sorted
+    without reading any content, then only the chosen files are read.
     """
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    df = df.select(name.alias("filename"), "path", F.col("modificationTime").alias("time"), "length", "content")
+    df = _files(spark, path)
     if not hidden:
         df = df.where(~F.col("filename").rlike(r"^[~.]"))
-    return df.orderBy("path").limit(limit) if limit is not None else df
+    if limit is None:
+        return df
+    chosen = [re.sub(r"([\\\[\]{}*?])", r"\\\1", r.path) for r in df.select("path").orderBy("path").limit(limit).collect()]
+    return _files(spark, chosen) if chosen else df.limit(0)
 
 
 # --- XML records ------------------------------------------------------------------------
@@ -54,21 +64,21 @@ def _xml_record(content: bytes, excluded: frozenset[str]):
         return None, str(e)[:200], {}, {}
     meta, data = {}, {}
     doc_type = next((t.text.strip() for t in root.iter("TYPE") if t.text and t.text.strip()), None)
-
-    def visit(e, inside: bool) -> None:
-        now = inside or (doc_type is not None and e.tag == doc_type)
-        for c in e:
-            visit(c, now)
-        if e.tag in excluded:
-            return
+    todo = [(root, False, False)]
+    while todo:  # in the order in which elements end
+        e, inside, leaving = todo.pop()
+        if not leaving:
+            todo.append((e, inside, True))
+            now = inside or (doc_type is not None and e.tag == doc_type)
+            todo.extend((c, now, False) for c in reversed(e))
+            continue
         text = (e.text or "").strip()
+        if e.tag in excluded or not text:
+            continue
         if e.tag in METADATA or e.tag in MILLIS:
-            if text:
-                meta[METADATA.get(e.tag) or MILLIS[e.tag]] = text
-        elif inside and text:
+            meta[METADATA.get(e.tag) or MILLIS[e.tag]] = text
+        elif inside:
             data[e.tag.lower()] = e.text
-
-    visit(root, False)
     return root.get("RECORDID"), None, meta, data
 
 
@@ -89,6 +99,23 @@ def xml_records(files: DataFrame, excluded_tags: tuple[str, ...] = ("GUID",)) ->
     return parsed.select("path", F.col("x.record_id").alias("record_id"), *cols, F.col("x.data").alias("data"), F.col("x.error").alias("error"))
 
 
+def xml_documents(files: DataFrame, excluded_tags: tuple[str, ...] = ("GUID",), **options) -> DataFrame:
+    """As ``xml_records``, with each field as its text lines and typed blocks: the whole
+    document. A field that holds JSON becomes one json block. ``options`` as of ``html_blocks``.
+    """
+    parsed = xml_records(files, excluded_tags)
+    one = f"struct<{PARSED.replace('text array', 'text: array', 1).replace('structured_content array', 'structured_content: array', 1)}>"
+
+    @F.pandas_udf(f"map<string, {one}>")
+    def run(data: pd.Series) -> pd.Series:
+        def of(fields):
+            return {k: dict(zip(("text", "structured_content"), parsed_value(v, **options))) for k, v in dict(fields if fields is not None else {}).items()}
+
+        return data.map(of)
+
+    return parsed.withColumn("data", run("data"))
+
+
 # --- office documents ---------------------------------------------------------------------
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as t
 from docloom.operators import collect, control, delta, entities, graph, nested, questions, tables, timestamps
-from docloom.plans.pipeline import Pipeline
+from docloom.plans.pipeline import Parallel, Pipeline
 from docloom.plugins import question_scorer, token_features
 from docloom.sinks import writers
 from docloom.sources import files
@@ -34,8 +34,11 @@ def test_text_functions(spark):
     assert [tuple(r) for r in w.select(t.is_bullet("w"), t.is_list_number("w"), t.is_roman_numeral("w")).collect()] == [
         (False, False, True), (True, False, False), (False, True, False), (False, False, True), (False, False, False), (False, False, False),
     ]
-    d = spark.createDataFrame([('{"a": {"x": "1"}, "b": "2"}', '{"a": {"y": "3"}, "b": "4"}')], "a string, b string")
-    assert json.loads(json.loads(d.select(t.deep_merge("a", "b")).first()[0])["a"]) == {"x": "1", "y": "3"}
+    d = spark.createDataFrame([('{"a": {"x": "1", "d": {"l": [1], "k": 1}}, "b": "2"}', '{"a": {"y": "3", "d": {"l": [2], "n": {}}}, "b": [4]}'), (None, '{"a": 1}'), ('{"a": 1}', "no json"), (None, None)],
+                              "a string, b string")
+    got = [r[0] and json.loads(r[0]) for r in d.select(t.deep_merge("a", "b")).collect()]
+    assert got == [{"a": {"x": "1", "d": {"l": [2], "k": 1, "n": {}}, "y": "3"}, "b": [4]}, {"a": 1}, {"a": 1}, None]
+    assert json.loads(d.select(t.deep_merge("a", "b", append_to_lists=True)).first()[0])["a"]["d"]["l"] == [1, 2]
 
 
 @given(st.text(max_size=60))
@@ -74,6 +77,9 @@ def test_graph(spark):
     }
     ids = [r.node_id for r in nodes.collect()]
     assert len(ids) == len(set(ids)) == 6 + 3 + 2 + 3
+    more = block_df(spark).withColumn("items", F.when(F.col("type") == "list", F.array(F.lit("see [[more]] or [[more]]"), F.lit("[[H]]"))))
+    linked = {r.node_id1 for r in graph.link_edges(more).collect()}
+    assert linked == {r.node_id for r in graph.content_graph(more)[0].where("node_type = 'list_item' and seq_index = 0 or node_text like 'see [[more]] and%'").collect()}
     both = {tuple(r)[:2] for r in edges.where("edge_type = 'before'").collect()}
     assert both == {tuple(r)[1::-1] for r in edges.where("edge_type = 'after'").collect()}
     assert graph.content_graph(block_df(spark).limit(0))[1].count() == 0
@@ -92,7 +98,8 @@ def test_collect_and_combine(spark):
         "H", "see [[more]] and [[none]]", "a", "b", "alone",
     ]
     qa = [r.text for r in collect.prepare_qa(b, "doc_id").collect()]
-    assert "Head<ul><li>a</li><li>b</li></ul>" in qa and len(qa) == 3
+    assert "Head<ul><li>a</li><li>b</li></ul>" in qa and "1 2" in qa and len(qa) == 4
+    assert [r.line for r in collect.combine_text(b, types.limit(0), "doc_id").collect()] == [] and collect.of_types(b, types).count() == b.count()
 
 
 def test_tables(spark):
@@ -112,6 +119,16 @@ def test_tables(spark):
     assert got["t"].has_header and got["t"].data_types == ["STRING", "INT", "DATE"] and not got["u"].has_header and "e" not in got
     s = {r.sentence for r in tables.table_sentences(tb, reference="2019-01-10").collect()}
     assert "Dec 12, the Sales of East is 12." in s and "a b" in s
+    odd = spark.createDataFrame(
+        [("n", None, [None, [], ["a"]], 1), ("m", [["H", "I"], None], [["x y z", "1", "2"], ["w", None]], 2), ("o", [[]], [], 3), ("d", [["N", "When"]], [["one", "1/2/2019"], ["two", None]], 4)],
+        "table_id string, head array<array<string>>, body array<array<string>>, r int",
+    )
+    assert {r.table_id: (r.n_header_rows, r.data_types) for r in tables.table_schema(odd).collect()} == {
+        "n": (0, ["STRING"]), "m": (1, ["STRING", "BOOL", "INT"]), "d": (1, ["STRING", "DATE"])}
+    assert rows(tables.table_sentences(odd, reference="2019-02-01")) == [
+        ("d", 2, 1, "The When of two is NA."), ("m", 2, 1, "The I of x y z is 1."), ("m", 3, 1, "The I of w is NA."), ("n", 2, 0, "a")]
+    long = spark.createDataFrame([("l", [["N", "V"]], [["k" * 5000, "v" * 5000]])], "table_id string, head array<array<string>>, body array<array<string>>")
+    assert [len(r.sentence) for r in tables.table_sentences(long).collect()] == [10_014]
     w = spark.createDataFrame([("1234567",), ("0.5",), ("yes",), ("",)], "v string")
     assert [r[0] for r in w.select(tables.value_text("v")).collect()] == ["1.2 million", "0.50", "true", "NA"]
     u = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "value string").withColumn("value_type", tables.value_type("value"))
@@ -138,6 +155,21 @@ def test_entities(spark):
     assert len(lines.select(token_features(F.col("text"))).collect()) == 3
 
 
+def test_phrases_by_join_equal_the_trie(spark, monkeypatch):
+    texts = ["New York is not York, New York City is", "york New  York", "a-b c.d New York-New", None, "", "x" * 5000 + " York"]
+    lines = spark.createDataFrame([(i, x, "m") for i, x in enumerate(texts)] * 2, "doc_id int, text string, mentions string")
+    dictionary = {"New York": ("city", "NYC"), "York": ("city", "York"), "New York City": ("city", "NYC"), "c.d": ("code", "cd"), "b": ("code", "b")}
+    entries = spark.createDataFrame([(p, *v) for p, v in dictionary.items()], "phrase string, entity string, value string")
+    plain = lines.select("doc_id", entities.match_dictionary(F.col("text"), dictionary).alias("m"))
+    spans = lambda df: sorted((r.doc_id, [(m.start, m.end, m.value) for m in r.m or []]) for r in df.collect())
+    joined = entities.phrase_matches(lines, entries).select("doc_id", F.col("mentions").alias("m"))
+    assert spans(joined) == spans(plain)
+    by_trie = rows(entities.line_entities(lines, dictionary=dictionary).select("doc_id", F.col("entities").cast("string")))
+    monkeypatch.setattr(entities, "MAX_ENTRIES", 2)
+    assert rows(entities.line_entities(lines, dictionary=dictionary).select("doc_id", F.col("entities").cast("string"))) == by_trie
+    assert entities.phrase_matches(lines.limit(0), entries).count() == 0
+
+
 span = st.tuples(st.integers(0, 12), st.integers(0, 12)).map(lambda p: (min(p), max(p) + 1))
 
 
@@ -183,6 +215,8 @@ def test_list_helpers(spark):
     assert [tuple(r) for r in df.select(t.list_intro("s"), t.normal_list_item("s")).collect()] == [
         ("You need", "you need"), (None, "cables"), (None, "USB stick"), (None, ""), (None, ""),
     ]
+    long = "Long " + "x" * 2_000_000
+    assert spark.createDataFrame([(long,)], "s string").select(t.normal_list_item("s")).first()[0] == "l" + long[1:]
 
 
 def test_pipeline_order_errors_and_log(spark):
@@ -190,6 +224,10 @@ def test_pipeline_order_errors_and_log(spark):
     p = Pipeline().add_step("one", lambda d: d.withColumn("x", F.lit(1))).add_step("two", lambda d: d.withColumn("y", F.col("x") + 1))
     out = p.run(spark.range(2), sink=lambda n, d: seen.append(n))
     assert seen == ["one", "two"] and out["two"].columns == ["id", "x", "y"] and [e["status"] for e in p.log] == ["processed"] * 2
+    plan = Pipeline().add_step("one", lambda d: d)
+    plan.run(spark.range(2))
+    assert plan.log[0]["status"] == "planned"  # nothing ran
+    assert Pipeline().run(spark.range(1)) == {}
     bad = Pipeline(on_error="record").add_step("bad", lambda d: d.select("none"))
     bad.run(spark.range(1))
     assert bad.log[0]["status"] == "error"
@@ -201,6 +239,52 @@ def test_pipeline_order_errors_and_log(spark):
         Pipeline(on_error="record").add_step("x", stop).run(spark.range(1))
 
 
+def test_pipeline_restarts_where_it_stopped(spark, tmp_path):
+    source = lambda *names: spark.createDataFrame([(n, f"text {n}") for n in names], "path string, text string")
+    done = []
+
+    def first(df):
+        done.append(("first", sorted(r.path for r in df.collect())))
+        return df.withColumn("n", F.length("text"))
+
+    def second(df):
+        done.append(("second", sorted(r.path for r in df.collect())))
+        if fail:
+            raise RuntimeError("stop here")
+        return df.withColumn("m", F.col("n") + 1)
+
+    make = lambda: Pipeline(root=f"file://{tmp_path}/work").add_steps(("first", first), ("second", second))
+    fail = True
+    with pytest.raises(RuntimeError):
+        make().run(source("a", "b"))
+    fail = False
+    out = make().run(source("a", "b", "c"))
+    assert done == [("first", ["a", "b"]), ("second", ["a", "b"]), ("first", ["c"]), ("second", ["a", "b", "c"])]
+    assert rows(out["second"].select("path", "m")) == [("a", 7), ("b", 7), ("c", 7)]
+    make().run(source("a", "b", "c"))
+    assert done[-2:] == [("first", []), ("second", [])]
+    p = make()
+    jobs, entries = p.jobs(spark), p.entries(spark)
+    assert [j["status"] for j in jobs] == ["error", "processed", "processed"] and "stop here" in jobs[0]["message"] and jobs[1]["steps"] == ["first", "second"]
+    assert rows(entries.groupBy("step", "input").count()) == [(s, i, 1) for s in ("first", "second") for i in "abc"]
+    # an output whose entries are missing is not read, its inputs are done again
+    source("z").withColumn("n", F.lit(0)).write.parquet(f"file://{tmp_path}/work/first/run=orphan")
+    assert make().run(source("a", "b", "c"))["first"].count() == 3
+
+
+def test_parallel_steps(spark, tmp_path):
+    add = lambda c: lambda d: d.withColumn(c, F.lit(1))
+    group = Parallel().add_step("a", add("a")).add_step("a2", add("a2")).add_step("b", add("b"), "parent").add_step("b2", add("b2"), "b")
+    for root in (None, f"file://{tmp_path}/par"):
+        out = Pipeline(root=root).add_step("start", add("s")).add_step("both", group).add_step("end", add("e")).run(spark.createDataFrame([("x",)], "path string"))
+        assert {k: sorted(v.columns) for k, v in out.items()} == {
+            "start": ["path", "s"], "a": ["a", "path", "s"], "a2": ["a", "a2", "path", "s"], "b": ["b", "path", "s"], "b2": ["b", "b2", "path", "s"],
+            "both": ["b", "b2", "path", "s"], "end": ["b", "b2", "e", "path", "s"]}
+    bad = Pipeline(on_error="record").add_step("both", Parallel().add_step("x", lambda d: d.select("none")))
+    bad.run(spark.range(1))
+    assert bad.log[0]["status"] == "error"
+
+
 def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "in" / "sub").mkdir(parents=True)
     xml = """<CONTENT RECORDID="r1"><MASTERIDENTIFIER>T</MASTERIDENTIFIER><TYPE>HELP</TYPE><VERSION>1.0</VERSION>
@@ -210,10 +294,25 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "in" / "sub" / "b.xml").write_text("<broken")
     (tmp_path / "in" / "~c.xml").write_text("x")
     found = files.list_files(spark, str(tmp_path / "in"))
-    assert found.count() == 2 and files.list_files(spark, str(tmp_path / "in"), limit=1).count() == 1
+    assert found.count() == 2 and [r.filename for r in files.list_files(spark, str(tmp_path / "in"), limit=1).collect()] == ["a.xml"]
+    assert files.list_files(spark, str(tmp_path / "in"), limit=0).count() == 0
+    assert files.list_files(spark, str(tmp_path / "in"), hidden=True).count() == 3
+    odd = tmp_path / "odd [1]{x}*"
+    odd.mkdir()
+    (odd / "q?.txt").write_text("x")
+    assert [r.filename for r in files.list_files(spark, str(tmp_path / "odd*"), limit=5).collect()] == ["q?.txt"]
     rec = {r.path[-5:]: r for r in files.xml_records(found).collect()}
     assert rec["a.xml"].record_id == "r1" and rec["a.xml"].doc_type == "HELP" and list(rec["a.xml"].data) == ["step_title"]
     assert rec["a.xml"].start_time == "2020-05-14T21:22:20" and rec["b.xml"].error
+    whole = {r.path[-5:]: r.data for r in files.xml_documents(found).collect()}
+    step = whole["a.xml"]["step_title"]
+    assert step.text == ["My Heading", "First line"] and [(b.seq, b.type, b.text) for b in step.structured_content] == [(0, "heading", "My Heading"), (1, "text", "First line")]
+    assert whole["b.xml"] == {}
+    deep = "<CONTENT RECORDID='d'><TYPE>T</TYPE><T>" + "<X>" * 3000 + "end" + "</X>" * 3000 + '<J>{"a": [1]}</J></T></CONTENT>'
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "d.xml").write_text(deep)
+    got = files.xml_documents(files.list_files(spark, str(tmp_path / "deep"))).first()
+    assert got.data["x"].text == ["end"] and got.data["j"].structured_content[0].json == '{"a": [1]}' and got.data["j"].text == []
     word = tmp_path / "in" / "My doc.docx"
     ns = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
     with zipfile.ZipFile(word, "w") as z:
@@ -233,12 +332,38 @@ def test_sources_and_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("r1", {"f": {"text": ["one"]}})], "record_id string, data map<string, struct<text: array<string>>>")
     written = writers.write_document_files(docs, str(tmp_path / "out"), "extract").collect()
     assert json.loads(open(written[0].path).read())["data"]["f"]["text"] == "one"
+    again = docs.unionByName(spark.createDataFrame([("a/b", None), (None, {})], docs.schema))
+    written = writers.write_document_files(again, f"file://{tmp_path}/out", "extract")
+    assert written.count() == 3 and sorted(x.name for x in (tmp_path / "out" / "extract").iterdir()) == ["extract_.json", "extract_a_b.json", "extract_r1.json"]
     writers.write_text_lines(spark.createDataFrame([("x",)], "text string"), str(tmp_path / "t"))
     writers.write_json_lines(qa, str(tmp_path / "j"))
     nodes, edges = graph.content_graph(block_df(spark))
     writers.write_graph(nodes, edges, str(tmp_path / "g"), "csv")
     assert spark.read.option("header", "true").csv(str(tmp_path / "g" / "edges")).count() == edges.count()
-    assert writers.delete_sources(found) == 0
+    writers.write_graph_import(nodes, edges, f"file://{tmp_path}/i")
+    assert (tmp_path / "i" / "edges_header.csv").read_text() == ":START_ID,:END_ID,:TYPE\n"
+    assert spark.read.csv(str(tmp_path / "i" / "nodes")).count() == nodes.count() and len(spark.read.csv(str(tmp_path / "i" / "edges")).columns) == 3
+    assert writers.delete_sources(found) == 0 and found.count() == 2
+    assert writers.delete_sources(found.unionByName(found), confirmed=True) == 2 and not (tmp_path / "in" / "a.xml").exists()
+    assert (tmp_path / "in" / "~c.xml").exists() and writers.delete_sources(spark.createDataFrame([("/no/such/file",), (None,)], "path string"), confirmed=True) == 0
+
+
+def test_graph_is_written_in_one_transaction_a_document(spark, tmp_path):
+    import functools
+    import sqlite3
+
+    place = str(tmp_path / "graph.db")
+    with sqlite3.connect(place) as db:
+        for statement in writers.GRAPH_TABLES:
+            db.execute(statement)
+    nodes, edges = graph.content_graph(block_df(spark))
+    connect = functools.partial(sqlite3.connect, place, timeout=60)
+    for _ in range(2):  # a second run replaces the first
+        writers.write_graph_transactions(nodes, edges, connect)
+    with sqlite3.connect(place) as db:
+        assert sorted(r[0] for r in db.execute("select node_id from content_node")) == sorted(r.node_id for r in nodes.collect())
+        assert sorted(db.execute("select node_id1, node_id2, edge_type from content_edge")) == rows(edges)
+        assert db.execute("select count(distinct doc) from content_node").fetchone() == (2,)
 
 
 def test_stream_of_files(spark, tmp_path):
