@@ -201,11 +201,11 @@ def phrase_matches(lines: DataFrame, entries: DataFrame, text: str = "text", out
     return joined.select(*[c for c in lines.columns if c != out], thinned(F.col("_dl_hits")).alias(out))
 
 
-def line_entities(lines: DataFrame, text: str = "text", dictionary=None, patterns=None, system: bool = True, persons=None) -> DataFrame:
+def line_entities(lines: DataFrame, text: str = "text", dictionary=None, patterns=None, system: bool = True, persons=False) -> DataFrame:
     """Adds ``entities``: all candidates, pruned by containment, then checked.
 
     ``dictionary``: phrase → (entity, value); a large one is joined instead of sent to the
-    workers. ``persons``: loader of a person recogniser (see ``plugins``).
+    workers. ``persons``: True for the rule, or the loader of a recogniser (see ``plugins``).
     """
     none = F.array().cast(f"array<{ENTITY}>")
     found, columns = [none], lines.columns
@@ -220,7 +220,7 @@ def line_entities(lines: DataFrame, text: str = "text", dictionary=None, pattern
     if system:
         found.append(match_system(F.col(text)))
     if persons:
-        found.append(person_entities(F.col(text), persons))
+        found.append(person_entities(F.col(text), None if persons is True else persons))
     out = lines.withColumn("_candidates", F.concat(*found))
     return out.select(*columns, valid_mentions(prune_contained("_candidates")).alias("entities"))
 

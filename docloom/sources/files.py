@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docloom.functions.text import doc_type_of_file, iso_from_millis
 from docloom.html.blocks import parsed_value
 from docloom.schema import PARSED
+from docloom.sources.pdf import pdf_to_xhtml
 
 
 def _files(spark: SparkSession, paths) -> DataFrame:
@@ -158,10 +159,11 @@ Parser = Callable[[bytes], tuple[str, dict[str, str]]]
 def office_documents(files: DataFrame, parsers: dict[str, Parser] | None = None, now: str | None = None) -> DataFrame:
     """path, doc_type, record_id, author, word_count, dates and xhtml of office files.
 
-    ``parsers`` by lower-case extension; only ``docx`` is built in. PDF needs a
-    parser to be plugged in. Missing dates are ``now`` (default: current time).
+    ``parsers`` by lower-case extension; ``docx`` and ``pdf`` (see ``sources.pdf`` for
+    what it reads) are built in and may be replaced. Missing dates are ``now``
+    (default: current time).
     """
-    table: dict[str, Parser] = {"docx": docx_to_xhtml, **(parsers or {})}
+    table: dict[str, Parser] = {"docx": docx_to_xhtml, "pdf": pdf_to_xhtml, **(parsers or {})}
 
     def run(names: pd.Series, contents: pd.Series) -> pd.DataFrame:
         rows = []

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as t
 from docloom.operators import collect, control, delta, entities, graph, nested, questions, tables, timestamps
 from docloom.plans.pipeline import Parallel, Pipeline
-from docloom.plugins import question_scorer, token_features
+from docloom.plugins import question_scorer, relation_edges, token_features
 from docloom.sinks import writers
 from docloom.sources import files
 from docloom.streaming import incremental
@@ -155,6 +155,23 @@ def test_entities(spark):
     assert len(lines.select(token_features(F.col("text"))).collect()) == 3
 
 
+def test_persons_and_relations(spark):
+    lines = spark.createDataFrame([(1, "Dr. Ada Vint works for Prof J. Kalder in York. Mr. went home"), (2, None), (3, "Herr Ößt met Sgt. Grestal. Then Ms Lo")], "doc_id int, text string")
+    e = entities.line_entities(lines, dictionary={"York": ("city", "York")}, system=False, persons=True)
+    found = {r.doc_id: [(x.entity, x.value) for x in sorted(r.entities, key=lambda x: x.start)] for r in e.collect()}
+    assert found[1] == [("sys-person", "Ada Vint"), ("sys-person", "J. Kalder"), ("city", "York")] and found[2] == []
+    assert found[3] == [("sys-person", "Ößt"), ("sys-person", "Grestal"), ("sys-person", "Lo")]
+    r = e.select("doc_id", relation_edges(F.col("text"), F.col("entities")).alias("r")).select("doc_id", entities.relation_triples("r.tokens", "r.edgeSet").alias("t"))
+    assert {x.doc_id: [tuple(y) for y in x.t] for x in r.collect()} == {
+        1: [("Ada Vint", "works for Prof", "J . Kalder"), ("J . Kalder", "in", "York")], 2: [], 3: []}
+
+    def load():
+        return lambda texts: [[{"entity": "sys-person", "start": 0, "end": 1, "value": x[:1], "confidence": 0.5, "groups": None}] if x else [] for x in texts]
+
+    model = entities.line_entities(lines, system=False, persons=load)
+    assert {r.doc_id: [x.value for x in r.entities] for r in model.collect()} == {1: ["D"], 2: [], 3: ["H"]}
+
+
 def test_phrases_by_join_equal_the_trie(spark, monkeypatch):
     texts = ["New York is not York, New York City is", "york New  York", "a-b c.d New York-New", None, "", "x" * 5000 + " York"]
     lines = spark.createDataFrame([(i, x, "m") for i, x in enumerate(texts)] * 2, "doc_id int, text string, mentions string")
