@@ -78,11 +78,12 @@ def _table() -> dict[int, str]:
 
 _FOLD = _table()
 _STRETCH = re.compile(r"(.)\1+")
-_SPELLED = re.compile(r"(?<!\w)\w(?:[ .,\-_*·•/|]{1,2}\w){2,}(?!\w)")
+_SPELLED = re.compile(r"(?<!\w)\w(?:[ .,\-_*·•/|]{1,2}\w){2,}(?!\w)")  # letters set apart
+_SPELLED_HINT = re.compile(r" \w[.,*-]? \w[.,*-]? \w")  # what such letters in pieces of their own hold; cheap to search
 _SEPARATORS = re.compile(r"[ .,\-_*·•/|]+")
 _MARKS = re.compile(r"'{2,}|\*\*|__|~~|`|(?<!\w)_(?=\w)|(?<=\w)_(?!\w)")
 _TEMPLATE = re.compile(r"\{\{(?:[^{}|]*\|)?([^{}|]*)\}\}|\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]|\[https?://\S+ ([^\[\]]*)\]|\{\\[a-z]+ ([^{}]*)\}")
-_CLAUSES = re.compile(r"\n|(?<=[.!?…।؟])\s+|(?<=[。！？])")
+_CLAUSES = re.compile(r"\n|[.!?…।؟]\s+|[。！？]")
 
 
 def visible(text: str) -> str:
@@ -100,7 +101,13 @@ def visible(text: str) -> str:
         text = _COMMAND.sub("", text)
     if not text.isascii():
         text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
-    return _SPELLED.sub(lambda m: _SEPARATORS.sub("", m.group()), _MARKS.sub("", text))
+    if "_" in text or "`" in text or "**" in text or "''" in text or "~~" in text:
+        text = _MARKS.sub("", text)
+    return _SPELLED.sub(_joined, text) if _SPELLED_HINT.search(text) else text
+
+
+def _joined(m: re.Match) -> str:
+    return _SEPARATORS.sub("", m.group())
 
 
 def folded(text: str) -> list[str]:
@@ -185,7 +192,7 @@ class Words:
             for piece in clause.split():
                 own = get(piece)
                 if own is None:
-                    own = self.pieces[piece] = [self.number(w) for w in folded(piece)]
+                    own = self.pieces[piece] = [self.number(w) for w in folded(_SPELLED.sub(_joined, piece))]
                 line += own
             if len(line) <= WINDOW:
                 if line:
