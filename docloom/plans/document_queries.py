@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.functions import text as t
 from docloom.html.blocks import exploded_blocks, html_blocks
@@ -142,6 +142,46 @@ def html_structure(spark, d):
     return exploded_blocks(pages, "text", "doc_id").groupBy("doc_id", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _escaped(c) -> Column:
+    out = F.coalesce(c, F.lit(""))
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def html_round_trip(spark, d):
+    """The headings, texts, lists and links of each parsed field, written as one HTML page and read again."""
+    rf = spread(table(spark, d, "record_fields").select("field_id", "structured_content"))
+    tag = lambda name, inner: F.concat(F.lit(f"<{name}>"), inner, F.lit(f"</{name}>"))
+
+    def block(b):
+        items = F.array_join(F.transform(b["items"], lambda x: tag("li", _escaped(x))), "")
+        link = F.concat(F.lit('<a href="'), _escaped(b["url"]), F.lit('">'), _escaped(b["text"]), F.lit("</a>"))
+        kind = b["block_type"]
+        return F.when(kind == "heading", tag("h2", _escaped(b["text"]))).when(kind == "text", tag("p", _escaped(b["text"]))).when(
+            kind == "list", tag("ul", F.coalesce(items, F.lit("")))).when(kind == "link", tag("p", link)).otherwise("")
+
+    pages = rf.select("field_id", F.array_join(F.transform("structured_content", block), "").alias("html"))
+    read = exploded_blocks(pages, "html", "field_id")
+    return read.select("field_id", "seq", "type", "text", "url", F.array_join("items", "|").alias("items"))
+
+
+def html_tables(spark, d):
+    """The tables of the parsed fields that have a head and more than one column, written as HTML and read again."""
+    tb = blocks(spark, d).where("type = 'table'").where(
+        F.exists("head", lambda r: F.exists(r, lambda c: t.clean_text(c) != "")) & F.exists(F.concat("head", F.coalesce("body", F.array().cast("array<array<string>>"))), lambda r: F.size(r) > 1)
+    )
+
+    def rows(c, name):
+        row = lambda r: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, lambda x: F.concat(F.lit(f"<{name}>"), _escaped(x), F.lit(f"</{name}>"))), ""), F.lit("</tr>"))
+        return F.coalesce(F.array_join(F.transform(F.filter(c, F.isnotnull), row), ""), F.lit(""))
+
+    html = F.concat(F.lit("<table>"), rows("head", "th"), rows("body", "td"), F.lit("</table>"))
+    read = exploded_blocks(spread(tb).select("field_id", F.col("seq").alias("block"), html.alias("html")), "html", "field_id", "block").where("type = 'table'")
+    part = lambda c: read.select("field_id", "block", F.lit(c).alias("part"), F.posexplode(c).alias("r", "row"))
+    return part("head").unionByName(part("body")).select("field_id", "block", "part", "r", F.posexplode("row").alias("c", "value"))
+
+
 def html_lines(spark, d):
     """Text lines of all documents in the segmenting mode."""
     docs = documents(spark, d).where("text is not null")
@@ -347,7 +387,7 @@ def step_progress(spark, d):
 _NAMES = """
 clean_text strip_bullets link_strip underscore_name template_variables iso_millis fix_content job_key doc_type deep_update
 line_questions block_questions extract_questions found_questions list_markers block_counts list_items html_structure
-html_lines json_dispatch graph_nodes graph_order graph_headings graph_links graph_lists graph_tables collect_fields
+html_round_trip html_tables html_lines json_dispatch graph_nodes graph_order graph_headings graph_links graph_lists graph_tables collect_fields
 combine_text prepare_qa doc_type_filter value_types column_types table_schemas table_sentences token_entities
 pattern_entities pruned_entities phrase_entities restart_pending restart_carried fileset_diff file_status control_tables first_files
 flatten_heads has_letters config_props table_cells value_words column_uniqueness date_validity step_progress
@@ -504,6 +544,20 @@ SQL = {
 }
 _SCHEMAS = SQL["table_schemas"].removeprefix(f"with {_CELLS}, ")
 SQL |= {
+    "html_round_trip": f"""with {_BLOCKS}, b as (select field_id, seq, type, {_clean('text')} as t, coalesce(url, '') as url,
+            list_filter(list_transform(items, lambda x: {_clean('x')}), lambda x: x <> '') as items from blocks),
+        e as (select field_id, seq, 0 as sub, type, t as text, null as url, '' as items from b where type in ('heading', 'text') and t <> ''
+              union all select field_id, seq, 0, 'list', null, null, array_to_string(items, '|') from b where type = 'list' and len(items) > 0
+              union all select field_id, seq, 0, 'link', t, url, '' from b where type = 'link' and t <> ''
+              union all select field_id, seq, 1, 'text', '[[' || t || ']]', null, '' from b where type = 'link' and t <> '')
+        select field_id, row_number() over (partition by field_id order by seq, sub) - 1 as seq, type, text, url, case when type = 'list' then items end as items from e""",
+    "html_tables": f"""with {_BLOCKS}, r as (select field_id, seq as block, 'head' as part, unnest(head) as row, generate_subscripts(head, 1) as r from blocks where type = 'table'
+              union all select field_id, seq, 'body', unnest(body), generate_subscripts(body, 1) from blocks where type = 'table'),
+        k as (select *, list_transform(row, lambda x: {_clean('x')}) as cells from r),
+        n as (select * from k where len(list_filter(cells, lambda x: x <> '')) > 0),
+        good as (select field_id, block from k group by field_id, block having max(len(row)) > 1 and bool_or(part = 'head' and len(list_filter(cells, lambda x: x <> '')) > 0)),
+        m as (select field_id, block, part, row_number() over (partition by field_id, block, part order by r) - 1 as r, cells from n join good using (field_id, block))
+        select field_id, block, part, r, unnest(cells) as value, generate_subscripts(cells, 1) - 1 as c from m""",
     "deep_update": f"select event_id, cast(json_merge_patch(coalesce(case when json_valid(props) then props end, '{{}}')::json, '{PATCH}'::json) as varchar) as merged from events",
     "phrase_entities": f"""with {_LINES}, e(phrase, entity, value) as (values """ + ", ".join(str(p) for p in PHRASES) + """),
         hits as (select doc_id, seq, text, phrase, value, list_filter(range(0, length(text)), lambda i: substring(text, i + 1, length(phrase)) = phrase
