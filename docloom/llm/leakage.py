@@ -384,8 +384,10 @@ def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[int, list[int]]]
 def _read_corpus(docs: DataFrame, items: DataFrame, shortest: int) -> tuple[DataFrame, np.ndarray]:
     """Passages of the documents, and the inverse document frequencies."""
     bitmap = np.zeros(MEMBERS, np.uint8)
-    places = items.select(F.explode("ids").alias("w")).select(F.shiftright("w", 24).bitwiseAND(F.lit(MEMBERS - 1).cast("bigint")).alias("p")).distinct()
-    bitmap[[r.p for r in places.collect()]] = 1  # at most MEMBERS places
+    places = items.select(F.explode("ids").alias("w")).select(F.shiftright("w", 24).bitwiseAND(F.lit(MEMBERS - 1).cast("bigint")).alias("p"))
+    blocks = places.groupBy(F.shiftright("p", 12).alias("block")).agg(F.collect_set(F.col("p").bitwiseAND(F.lit(4095).cast("bigint"))).alias("at"))
+    for r in blocks.collect():  # at most 512 blocks of 4,096 places
+        bitmap[r.block * 4096 + np.array(r.at)] = 1
     read = _read(np.packbits(bitmap).tobytes(), least_shared(shortest))
     table = materialise(spread(docs.select("doc_id", "text")).mapInArrow(read, PASSAGES), "passages")
     counts = np.zeros(DIMENSIONS)
