@@ -208,7 +208,7 @@ def offset_intervals(zones: DataFrame) -> DataFrame:
     At most one row for each of the about 600 zone names and 201 years, some
     12 MB: bounded whatever the input holds, so it may be broadcast.
     """
-    return zones.mapInPandas(_explode, INTERVALS)
+    return zones.repartition(zones.sparkSession.sparkContext.defaultParallelism).mapInPandas(_explode, INTERVALS)
 
 
 def to_utc(df: DataFrame, value: str, time_zone: str) -> DataFrame:
