@@ -6,7 +6,8 @@
    a range, is one row of the shuffle.
 3. Each range merges its segments k ways, as a stream of rows in order, and rolls
    them into output files by bytes. All duplicates are kept. A range is bounded by
-   bytes, not by keys: a key that holds a third of all rows spans many ranges.
+   bytes, not by keys: a key that holds a third of all rows spans many ranges. A
+   task holds a range's segments compressed and a page of each unpacked.
 4. The range metadata (key range, rows, bytes of each file) is taken from the files
    as written.
 
@@ -32,7 +33,9 @@ from docloom.session import materialise, scratch_path
 TARGET_BYTES = 128 << 20  # of an output file
 RANGE_BYTES = 64 << 20  # of a key range, which one task merges
 RUN_BYTES = 16 << 20  # of a sorted run
-BOUND_SAMPLES = 20  # sampled keys for each range bound
+MOST_RANGES = 100_000  # whose bounds the driver holds and tasks get; beyond that ranges grow with the data
+BOUND_SAMPLES, MOST_SAMPLES = 20, 1_000_000  # sampled keys for each range bound, and at most
+PAGE_ROWS = 1024  # of a segment that are unpacked at once
 
 LINES = "record_id string, written_at timestamp, file_id bigint, line_no int, line string"
 
@@ -88,8 +91,8 @@ def sort_key(record_id: str, micros: int | None, file_id: int, line_no: int) ->
 
 def _packed(rows: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _ROWS) as w:
-        w.write_table(rows)
+    with pa.ipc.new_stream(sink, _ROWS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(rows, max_chunksize=PAGE_ROWS)
     return sink.getvalue().to_pybytes()
 
 
@@ -132,12 +135,16 @@ def _rows_of(segment: bytes) -> Iterator[tuple[Key, tuple]]:
                 yield sort_key(*row[:4]), row
 
 
+_MERGED = pa.schema([*(pa.field("written_at", pa.timestamp("us", "UTC")) if f.name == "written_at" else f for f in _ROWS), pa.field("out_file", pa.string())])
+
+
 def _merge(target: int):
-    def run(segments: pa.Table) -> pa.Table:
-        number = segments.column("range")[0].as_py()
-        streams = [_rows_of(s.as_buffer()) for s in segments.column("rows")]
-        schema = pa.schema([*_ROWS, pa.field("out_file", pa.string())])
-        out, done, seq, filled = [], [], 0, 0
+    def run(segments: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, streams = 0, []
+        for b in segments:
+            number = b.column("range")[0].as_py()
+            streams += [_rows_of(s.as_buffer()) for s in b.column("rows")]
+        out, seq, filled = [], 0, 0
         for _, row in heapq.merge(*streams, key=lambda x: x[0]):
             size = len(row[4].encode()) + 1
             if filled and filled + size > target:
@@ -145,22 +152,21 @@ def _merge(target: int):
             filled += size
             out.append((*row, f"range-{number:06d}-{seq:04d}"))
             if len(out) == 4096:
-                done.append(pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema))
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), _MERGED)], schema=_MERGED)
                 out = []
         if out:
-            done.append(pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema))
-        t = pa.Table.from_batches(done)
-        return t.set_column(1, "written_at", t.column("written_at").cast(pa.timestamp("us", "UTC")))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), _MERGED)], schema=_MERGED)
 
     return run
 
 
 def range_bounds(lines: DataFrame, ranges: int) -> list[Key]:
-    """Lower bounds of all ranges but the first, from a sample of about BOUND_SAMPLES keys a range."""
+    """Lower bounds of all ranges but the first, from a sample of about BOUND_SAMPLES keys a
+    range (MOST_SAMPLES in all)."""
     if ranges < 2:
         return []
     total = lines.count()
-    share = min(1.0, BOUND_SAMPLES * ranges / max(total, 1))
+    share = min(1.0, min(BOUND_SAMPLES * ranges, MOST_SAMPLES) / max(total, 1))
     picked = lines.where(F.pmod(F.xxhash64("file_id", "line_no"), F.lit(1 << 30)) < int(share * (1 << 30)))
     keys = picked.select("record_id", F.unix_micros("written_at").alias("m"), "file_id", "line_no", F.octet_length("line").alias("n")).collect()
     weighed = sorted((sort_key(*r[:4]), r.n) for r in keys)
@@ -178,7 +184,7 @@ def merge_runs(lines: DataFrame, target_bytes: int = TARGET_BYTES, range_bytes:
     ``lines`` is read three times (bytes, bounds, runs): give it written.
     """
     n_bytes = lines.agg(F.sum(F.octet_length("line"))).first()[0] or 0
-    ranges = max(1, -(-int(n_bytes) // range_bytes))
+    ranges = min(MOST_RANGES, max(1, -(-int(n_bytes) // range_bytes)))
     bounds = range_bounds(lines, ranges)
     micros = lines.select("record_id", F.unix_micros("written_at").alias("written_at"), "file_id", "line_no", "line")
     segments = micros.mapInArrow(_segments(bounds, run_bytes), SEGMENTS)
