@@ -26,3 +26,26 @@ def test_package_reaches_the_workers(spark):
             yield b.assign(name=docloom.__name__)[["name"]]
 
     assert {r.name for r in spark.range(3).mapInPandas(name, "name string").collect()} == {"docloom"}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import types
+
+    import pytest
+
+    none = types.SimpleNamespace(isDefined=lambda: False)
+    jsc = types.SimpleNamespace(sc=lambda: types.SimpleNamespace(getCheckpointDir=lambda: none))
+    context = types.SimpleNamespace(getConf=lambda: {}, _jsc=jsc, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        session.shared_dir(types.SimpleNamespace(conf={}, sparkContext=context))
+
+
+def test_only_small_inputs_are_spread(spark, tmp_path):
+    one = spark.range(100).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    narrow = one.where("id > 3").select(F.col("id") + 1, F.explode(F.array(F.lit(1), F.lit(2))))
+    assert session.spread(narrow).rdd.getNumPartitions() == cores
+    wide = spark.range(100).repartition(2 * cores)
+    assert session.spread(wide) is wide
+    joined = one.join(one.withColumnRenamed("id", "j"), F.col("id") == F.col("j"))
+    assert session.spread(joined) is joined
