@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from docloom.functions import text as t
 from docloom.html.blocks import exploded_blocks, html_blocks
 from docloom.operators import collect, control, entities, graph, questions, tables
-from docloom.session import spread, table
+from docloom.session import delete_at_exit, scratch_path, spread, table
+from docloom.sinks import writers
 from docloom.sources import files
 
 # The configuration of the queries, text properties by document type (ordered).
@@ -326,6 +327,65 @@ def first_files(spark, d):
     return files.list_files(spark, d, limit=3).select("filename", "length")
 
 
+def xml_records(spark, d):
+    """The delivered revisions written as XML records and read as whole documents."""
+    rows = spread(table(spark, d, "content_records").select(
+        "row_id", "record_id", "title", "doc_type", "document_no", "version_no", "author", "start_timestamp_millis",
+        "last_modified_timestamp_millis", "published_timestamp_millis", "doc_location_path", "file_path",
+    ))
+    element = lambda name, c: F.concat(F.lit(f"<{name}>"), _escaped(F.col(c).cast("string")), F.lit(f"</{name}>"))
+    members = {
+        "MASTERIDENTIFIER": "title", "TYPE": "doc_type", "DOCUMENTID": "document_no", "VERSION": "version_no", "AUTHOR": "author",
+        "STARTTIMESTAMP_MILLIS": "start_timestamp_millis", "LASTMODIFIEDTIMESTAMP_MILLIS": "last_modified_timestamp_millis",
+        "RESOURCEPATH": "doc_location_path", "PUBLISHEDTIMESTAMP_MILLIS": "published_timestamp_millis",
+    }
+    body = F.concat(F.lit("<"), F.col("doc_type"), F.lit("><GUID>g</GUID>"), element("STEP_TITLE", "file_path"), F.lit("</"), F.col("doc_type"), F.lit(">"))
+    xml = F.concat(F.lit('<CONTENT RECORDID="'), _escaped(F.col("record_id")), F.lit('">'), *[element(k, c) for k, c in members.items()], F.coalesce(body, F.lit("")), F.lit("</CONTENT>"))
+    read = files.xml_documents(rows.select(F.col("row_id").cast("string").alias("path"), xml.cast("binary").alias("content")))
+    lines = F.array_join(F.try_element_at(F.col("data"), F.lit("step_title"))["text"], "\n")
+    return read.select(
+        F.col("path").cast("bigint").alias("row_id"), "record_id", "title", "doc_type", "doc_id", "version", "author", "start_timestamp_millis", "start_time",
+        "last_modified_timestamp_millis", "published_time", "doc_location_path", lines.alias("lines"), F.size("data").alias("n_fields"), "error",
+    )
+
+
+def document_files(spark, d):
+    """Sites written as one JSON file each and read again."""
+    sites = table(spark, d, "sites").select(F.col("site_id").alias("record_id"), F.create_map(F.lit("name"), F.struct(F.array("site_name").alias("text")),
+                                                                                             F.lit("zone"), F.struct(F.array("time_zone", "site_id").alias("text"))).alias("data"))
+    root = scratch_path(spark, "documents")
+    writers.write_document_files(sites, root, "extract")
+    read = files.json_documents(spark, f"{root}/extract", "record_id string, data struct<name: struct<text: string>, zone: struct<text: array<string>>>")
+    delete_at_exit(spark, root)
+    return read.select("record_id", F.col("data.name.text").alias("site_name"), F.array_join("data.zone.text", "|").alias("zone"))
+
+
+def json_lines(spark, d):
+    """Job files written as JSON lines, overwritten and appended to, and read again."""
+    jobs = table(spark, d, "control_jobs").select("job_id", "status", "steps", "started_at", "message")
+    path = scratch_path(spark, "lines")
+    writers.write_json_lines(jobs.limit(0), path)
+    writers.write_json_lines(jobs, path)
+    delete_at_exit(spark, path)
+    writers.write_json_lines(jobs, path, overwrite=False)
+    read = spark.read.schema("job_id string, status string, steps array<string>, message string").json(path)
+    return read.groupBy("job_id", "status", F.array_join("steps", "|").alias("steps"), "message").agg(F.count(F.lit(1)).alias("n"))
+
+
+def qa_file(spark, d):
+    """Question-answer pairs written as tab-separated lines, read, and turned into JSON lines."""
+    lines = table(spark, d, "content_records").where("title is not null and document_no is not null and doc_type is not null").select(
+        F.concat_ws("\t", "doc_type", F.concat_ws(", ", "site_id", "record_id"), F.concat(F.lit("Is it "), t.clean_text("title")), "document_no", F.lit("Where"), "record_id", F.lit("odd")).alias("text")
+    )
+    path = scratch_path(spark, "pairs")
+    writers.write_text_lines(lines, path)
+    delete_at_exit(spark, path)
+    pairs = files.qa_pairs(spark, path)
+    return pairs.select("intent", F.array_join("entities", "|").alias("entities"), "question", "answer").withColumn(
+        "line", F.to_json(F.struct("question", F.array("answer").alias("answer")))
+    )
+
+
 def flatten_heads(spark, d):
     """One-level flattening of the head rows of each table."""
     return blocks(spark, d).where("type = 'table' and head is not null").select("field_id", "seq", F.flatten("head").alias("names"))
@@ -390,7 +450,7 @@ line_questions block_questions extract_questions found_questions list_markers bl
 html_round_trip html_tables html_lines json_dispatch graph_nodes graph_order graph_headings graph_links graph_lists graph_tables collect_fields
 combine_text prepare_qa doc_type_filter value_types column_types table_schemas table_sentences token_entities
 pattern_entities pruned_entities phrase_entities restart_pending restart_carried fileset_diff file_status control_tables first_files
-flatten_heads has_letters config_props table_cells value_words column_uniqueness date_validity step_progress
+xml_records document_files json_lines qa_file flatten_heads has_letters config_props table_cells value_words column_uniqueness date_validity step_progress
 """.split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 
@@ -558,6 +618,18 @@ SQL |= {
         good as (select field_id, block from k group by field_id, block having max(len(row)) > 1 and bool_or(part = 'head' and len(list_filter(cells, lambda x: x <> '')) > 0)),
         m as (select field_id, block, part, row_number() over (partition by field_id, block, part order by r) - 1 as r, cells from n join good using (field_id, block))
         select field_id, block, part, r, unnest(cells) as value, generate_subscripts(cells, 1) - 1 as c from m""",
+    "xml_records": f"""select row_id, record_id, nullif({_clean('title')}, '') as title, nullif({_clean('doc_type')}, '') as doc_type, nullif({_clean('document_no')}, '') as doc_id,
+            nullif({_clean('version_no::varchar')}, '') as version, nullif({_clean('author')}, '') as author, start_timestamp_millis,
+            strftime(make_timestamp(cast(floor(start_timestamp_millis / 1000.0) as bigint) * 1000000), '%Y-%m-%dT%H:%M:%S') as start_time, last_modified_timestamp_millis,
+            strftime(make_timestamp(cast(floor(published_timestamp_millis / 1000.0) as bigint) * 1000000), '%Y-%m-%dT%H:%M:%S') as published_time,
+            nullif({_clean('doc_location_path')}, '') as doc_location_path, case when doc_type is not null and {_clean('file_path')} <> '' then {_clean('file_path')} end as lines,
+            cast(doc_type is not null and {_clean('file_path')} <> '' as integer) as n_fields, cast(null as varchar) as error from content_records""",
+    "document_files": "select site_id as record_id, site_name, concat_ws('|', time_zone, site_id) as zone from sites",
+    "json_lines": "select job_id, status, array_to_string(steps, '|') as steps, message, 2 * count(*) as n from control_jobs group by all",
+    "qa_file": f"""with p as (select doc_type as intent, concat_ws('|', site_id, record_id) as entities, 'Is it ' || {_clean('title')} as q1, document_no as a1, record_id as a2
+              from content_records where title is not null and document_no is not null and doc_type is not null),
+        u as (select intent, entities, q1 as question, a1 as answer from p union all select intent, entities, 'Where', a2 from p)
+        select *, '{{"question":' || to_json(question) || ',"answer":[' || to_json(answer) || ']}}' as line from u""",
     "deep_update": f"select event_id, cast(json_merge_patch(coalesce(case when json_valid(props) then props end, '{{}}')::json, '{PATCH}'::json) as varchar) as merged from events",
     "phrase_entities": f"""with {_LINES}, e(phrase, entity, value) as (values """ + ", ".join(str(p) for p in PHRASES) + """),
         hits as (select doc_id, seq, text, phrase, value, list_filter(range(0, length(text)), lambda i: substring(text, i + 1, length(phrase)) = phrase

@@ -77,7 +77,7 @@ def _xml_record(content: bytes, excluded: frozenset[str]):
         if e.tag in excluded or not text:
             continue
         if e.tag in METADATA or e.tag in MILLIS:
-            meta[METADATA.get(e.tag) or MILLIS[e.tag]] = text
+            meta[METADATA.get(e.tag) or MILLIS[e.tag]] = " ".join(text.split())
         elif inside:
             data[e.tag.lower()] = e.text
     return root.get("RECORDID"), None, meta, data
